@@ -86,14 +86,17 @@ def category_level(code, n: int) -> Column:
 
 
 def event_identity(ts, event_type, product_id, user_id, user_session) -> Column:
-    """hex(sha256(micros|type|product|user|session)), lower-case."""
+    """hex(sha256(micros|type|product|user|session)), lower-case.
+
+    CONCAT semantics: any NULL part gives a NULL id (as in the warehouse).
+    """
+    sep = F.lit("|")
     return F.sha2(
-        F.concat_ws(
-            "|",
-            F.unix_micros(_c(ts)).cast("string"),
-            _c(event_type),
-            _c(product_id).cast("string"),
-            _c(user_id).cast("string"),
+        F.concat(
+            F.unix_micros(_c(ts)).cast("string"), sep,
+            _c(event_type), sep,
+            _c(product_id).cast("string"), sep,
+            _c(user_id).cast("string"), sep,
             _c(user_session),
         ),
         256,

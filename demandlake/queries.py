@@ -72,3 +72,397 @@ def q_fct_events(spark, sf_dir):
 def q_product_features_monthly(spark, sf_dir):
     """F-02 (flagship): product snapshot 2024-02-01 of the A2 clickstream month."""
     return gold.product_features_monthly(a2_fct(spark, sf_dir), FX.A2_SNAPSHOT)
+
+
+# ------------------------------------------------------------ shared inputs
+
+from .functions import scalars as X  # noqa: E402
+from .operators import features as FE  # noqa: E402
+from .operators import hurdle as H  # noqa: E402
+from .operators import metrics as M  # noqa: E402
+from .operators import quality as Q  # noqa: E402
+from .operators import reports as R  # noqa: E402
+
+
+def a1_bronze(spark, sf_dir):
+    return FX.a1_bronze(spark, sf_dir)
+
+
+def a1_parsed(spark, sf_dir):
+    return silver.parse_events(a1_bronze(spark, sf_dir))
+
+
+def a1_calendar(spark, sf_dir):
+    return silver.calendar_dates(a1_fct(spark, sf_dir))
+
+
+def a1_sessions(spark, sf_dir):
+    return silver.sessions(a1_fct(spark, sf_dir))
+
+
+def a1_product_backfill(spark, sf_dir):
+    return gold.product_features_backfill(a1_fct(spark, sf_dir))
+
+
+def a1_training(spark, sf_dir):
+    return FE.training_set(a1_product_backfill(spark, sf_dir), a1_calendar(spark, sf_dir))
+
+
+def a1_features(spark, sf_dir, feature_set="extended"):
+    df, _ = FE.prepare_features(a1_training(spark, sf_dir), feature_set)
+    return df
+
+
+def a3_predictions(spark, sf_dir):
+    """Validation rows with deterministic stand-in model outputs (fixture A3):
+    p_nonzero = purchases/(purchases+1), positive_count = 1 + purchases,
+    baseline = purchases."""
+    df = FE.with_split(a1_features(spark, sf_dir)).where(F.col("split") == "val")
+    pc = F.col("product_purchase_count_last_month")
+    df = df.select("product_id", "snapshot_date", "target_next_period", pc,
+                   (F.col("target_next_period") > 0).cast("int").alias("label"),
+                   (pc / (pc + 1)).alias("p_nonzero"), (pc + 1).alias("positive_count"))
+    return H.baseline_prediction(H.hurdle_combine(df))
+
+
+def round_cols(df: DataFrame, cols, digits: int = 9) -> DataFrame:
+    return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+# ------------------------------------------------------------ bronze / silver
+
+@query("bronze_load")
+def q_bronze_load(spark, sf_dir):
+    """S-02: bronze rows with lineage (the ingest clock excluded)."""
+    return a1_bronze(spark, sf_dir).drop("_ingested_at")
+
+
+@query("bronze_month_scan")
+def q_bronze_month_scan(spark, sf_dir):
+    """S-09: bronze pruned to one load month."""
+    return silver.bronze_month_scan(a1_bronze(spark, sf_dir), "1998-01").drop("_ingested_at")
+
+
+@query("parse_events")
+def q_parse_events(spark, sf_dir):
+    """P-01: raw strings to typed columns (before validation)."""
+    return a1_parsed(spark, sf_dir)
+
+
+@query("valid_events")
+def q_valid_events(spark, sf_dir):
+    """P-02: validity filter."""
+    return silver.valid_events(a1_parsed(spark, sf_dir))
+
+
+@query("dedup_events")
+def q_dedup_events(spark, sf_dir):
+    """W-01: newest valid copy per natural key."""
+    return silver.dedup_events(silver.valid_events(a1_parsed(spark, sf_dir)))
+
+
+@query("event_identity")
+def q_event_identity(spark, sf_dir):
+    """P-03: hashed event id next to its natural key."""
+    return a1_fct(spark, sf_dir).select("event_id", *silver.NATURAL_KEY)
+
+
+@query("category_levels")
+def q_category_levels(spark, sf_dir):
+    """P-04: category code split into three levels."""
+    return a1_fct(spark, sf_dir).select("category_code", "category_l1", "category_l2", "category_l3").distinct()
+
+
+@query("window_month_filter")
+def q_window_month_filter(spark, sf_dir):
+    """P-06: events of the calendar month before the snapshot."""
+    fct = a1_fct(spark, sf_dir)
+    return fct.where(gold.in_window(A1_SNAPSHOT)).select("event_id", "event_date", "event_type")
+
+
+@query("history_filter")
+def q_history_filter(spark, sf_dir):
+    """P-07: purchase events strictly before the snapshot."""
+    fct = gold.history(a1_fct(spark, sf_dir), A1_SNAPSHOT)
+    return fct.where(F.col("event_type") == "purchase").select("event_id", "event_date", "user_id")
+
+
+@query("calendar_dates")
+def q_calendar_dates(spark, sf_dir):
+    """P-08 / J-06: date spine of the events with its attributes."""
+    return a1_calendar(spark, sf_dir)
+
+
+@query("dim_calendar")
+def q_dim_calendar(spark, sf_dir):
+    """P-09: calendar republished to gold."""
+    return silver.dim_calendar(silver.calendar_dates(a2_fct(spark, sf_dir)))
+
+
+@query("session_event_rank")
+def q_session_event_rank(spark, sf_dir):
+    """W-02: rank of each event within its session."""
+    r = silver.session_event_rank(a1_fct(spark, sf_dir))
+    return r.select("event_id", "user_session", "user_id", "event_rank_in_session")
+
+
+@query("sessions")
+def q_sessions(spark, sf_dir):
+    """F-01: session aggregate with the first event's attributes."""
+    return a1_sessions(spark, sf_dir)
+
+
+@query("sessions_clickstream")
+def q_sessions_clickstream(spark, sf_dir):
+    """F-01 on the A2 clickstream month."""
+    return silver.sessions(a2_fct(spark, sf_dir))
+
+
+@query("session_start")
+def q_session_start(spark, sf_dir):
+    """J-04: sessions joined to the calendar (hour, weekend)."""
+    fct = a1_fct(spark, sf_dir)
+    return silver.session_start(silver.sessions(fct), silver.calendar_dates(fct))
+
+
+# ------------------------------------------------------------------ gold
+
+@query("product_features_monthly_a1")
+def q_product_features_a1(spark, sf_dir):
+    """F-02 / J-01 on the multi-month store, one snapshot."""
+    return gold.product_features_monthly(a1_fct(spark, sf_dir), A1_SNAPSHOT)
+
+
+@query("user_features_monthly")
+def q_user_features(spark, sf_dir):
+    """F-03 / J-02: user snapshot of the multi-month store."""
+    return gold.user_features_monthly(a1_fct(spark, sf_dir), A1_SNAPSHOT)
+
+
+@query("user_features_clickstream")
+def q_user_features_a2(spark, sf_dir):
+    """F-03 on the A2 clickstream month."""
+    return gold.user_features_monthly(a2_fct(spark, sf_dir), FX.A2_SNAPSHOT)
+
+
+@query("user_product_interactions_monthly")
+def q_interactions(spark, sf_dir):
+    """F-04 / J-03 / F-06: user-product snapshot with recency score."""
+    df = gold.user_product_interactions_monthly(a1_fct(spark, sf_dir), A1_SNAPSHOT)
+    return round_cols(df, {"ui_recency_score"})
+
+
+@query("days_since_last_purchase")
+def q_days_since_last_purchase(spark, sf_dir):
+    """F-05: recency over the full history (NULL without purchases)."""
+    return gold.user_features_monthly(a1_fct(spark, sf_dir), A1_SNAPSHOT).select(
+        "user_id", "days_since_last_purchase")
+
+
+@query("favorite_category")
+def q_favorite_category(spark, sf_dir):
+    """W-03: most frequent category tuple per user in the window."""
+    fct = a1_fct(spark, sf_dir).where(gold.in_window(A1_SNAPSHOT))
+    fc = gold.favorite_category(fct)
+    return fc.select("user_id", "_fc.category_l1", "_fc.category_l2", "_fc.category_l3")
+
+
+@query("favorite_brand")
+def q_favorite_brand(spark, sf_dir):
+    """W-04: most frequent brand per user in the window."""
+    fct = a1_fct(spark, sf_dir).where(gold.in_window(A1_SNAPSHOT))
+    return gold.favorite_brand(fct).select("user_id", F.col("_fb.brand").alias("brand"))
+
+
+@query("backfill_snapshots")
+def q_backfill(spark, sf_dir):
+    """F-07: product snapshots of every load month in one job."""
+    return a1_product_backfill(spark, sf_dir)
+
+
+@query("target_next_period")
+def q_target(spark, sf_dir):
+    """W-05: next existing snapshot's purchases per product."""
+    from pyspark.sql import Window
+    pf = a1_product_backfill(spark, sf_dir)
+    w = Window.partitionBy("product_id").orderBy("snapshot_date")
+    return pf.select("product_id", "snapshot_date", "product_purchase_count_last_month",
+                     F.lead("product_purchase_count_last_month", 1).over(w).alias("target_next_period"))
+
+
+@query("join_snapshot_calendar")
+def q_join_snapshot_calendar(spark, sf_dir):
+    """J-05: product snapshots joined to the calendar."""
+    j = FE.join_snapshot_calendar(a1_product_backfill(spark, sf_dir), a1_calendar(spark, sf_dir))
+    return j.select("product_id", "snapshot_date", "month", "week_of_year", "days_to_end_of_month")
+
+
+# ------------------------------------------------------- single aggregates
+
+def _a1_group(spark, sf_dir, keys, *aggs):
+    return a1_fct(spark, sf_dir).groupBy(*keys).agg(*aggs)
+
+
+@query("agg_countif")
+def q_agg_countif(spark, sf_dir):
+    """G-01: COUNTIF per product."""
+    t = F.col("event_type")
+    return _a1_group(spark, sf_dir, ["product_id"], F.count_if(t == "view").alias("views"),
+                     F.count_if(t == "cart").alias("carts"), F.count_if(t == "purchase").alias("purchases"))
+
+
+@query("agg_count_star")
+def q_agg_count_star(spark, sf_dir):
+    """G-02: COUNT(*) per user."""
+    return _a1_group(spark, sf_dir, ["user_id"], F.count(F.lit(1)).alias("events"))
+
+
+@query("agg_count_distinct")
+def q_agg_count_distinct(spark, sf_dir):
+    """G-03: COUNT(DISTINCT user_session) per user."""
+    return _a1_group(spark, sf_dir, ["user_id"], F.count_distinct("user_session").alias("sessions"))
+
+
+@query("agg_count_distinct_if")
+def q_agg_count_distinct_if(spark, sf_dir):
+    """G-04: distinct buyers per product."""
+    return _a1_group(spark, sf_dir, ["product_id"], F.count_distinct(
+        F.when(F.col("event_type") == "purchase", F.col("user_id"))).alias("buyers"))
+
+
+@query("agg_avg")
+def q_agg_avg(spark, sf_dir):
+    """G-05: exact average price per product (NULLs skipped)."""
+    from .functions.aggregates import exact_avg
+    return _a1_group(spark, sf_dir, ["product_id"], exact_avg("price").alias("avg_price"))
+
+
+@query("agg_avg_if")
+def q_agg_avg_if(spark, sf_dir):
+    """G-06: average purchase price per user."""
+    from .functions.aggregates import exact_avg
+    return _a1_group(spark, sf_dir, ["user_id"], exact_avg(
+        F.when(F.col("event_type") == "purchase", F.col("price"))).alias("avg_purchase_price"))
+
+
+@query("agg_min_max_bounds")
+def q_agg_min_max(spark, sf_dir):
+    """G-07: global date bounds and per-user time bounds."""
+    return _a1_group(spark, sf_dir, ["user_id"], F.min("event_ts").alias("first_ts"),
+                     F.max("event_ts").alias("last_ts"), F.min("event_date").alias("first_date"),
+                     F.max("event_date").alias("last_date"))
+
+
+@query("agg_first_event")
+def q_agg_first_event(spark, sf_dir):
+    """G-08: first event's type and product per session."""
+    from .functions.aggregates import first_by
+    return _a1_group(spark, sf_dir, ["user_session", "user_id"],
+                     first_by(F.struct("event_type", "product_id", "brand"), "event_ts", "event_id").alias("f")
+                     ).select("user_session", "user_id", "f.event_type", "f.product_id", "f.brand")
+
+
+@query("agg_latest_non_null")
+def q_agg_latest(spark, sf_dir):
+    """G-09: latest non-null brand and price per product."""
+    from .functions.aggregates import latest_non_null
+    return _a1_group(spark, sf_dir, ["product_id"],
+                     latest_non_null("brand", "event_ts", "event_id").alias("brand"),
+                     latest_non_null("price", "event_ts", "event_id").alias("price"))
+
+
+@query("agg_latest_struct")
+def q_agg_latest_struct(spark, sf_dir):
+    """G-10: latest category tuple per product (when l1 is present)."""
+    from .functions.aggregates import latest_when
+    return _a1_group(spark, sf_dir, ["product_id"], latest_when(
+        F.struct("category_l1", "category_l2", "category_l3"), F.col("category_l1").isNotNull(),
+        "event_ts", "event_id").alias("c")).select("product_id", "c.category_l1", "c.category_l2", "c.category_l3")
+
+
+@query("agg_group_by_struct")
+def q_agg_group_by_struct(spark, sf_dir):
+    """G-11: grouping on a struct key."""
+    return (a1_fct(spark, sf_dir).groupBy(F.struct("category_l1", "category_l2", "category_l3").alias("c"))
+            .agg(F.count(F.lit(1)).alias("events"))
+            .select("c.category_l1", "c.category_l2", "c.category_l3", "events"))
+
+
+@query("agg_safe_ratio")
+def q_agg_safe_ratio(spark, sf_dir):
+    """G-12: purchases / NULLIF(views, 0) per user."""
+    t = F.col("event_type")
+    return _a1_group(spark, sf_dir, ["user_id"], X.safe_ratio(F.count_if(t == "purchase"),
+                                                              F.count_if(t == "view")).alias("conversion"))
+
+
+@query("agg_weighted_score")
+def q_agg_weighted_score(spark, sf_dir):
+    """G-13: views*1 + carts*3 + purchases*5 per user and product."""
+    t = F.col("event_type")
+    return _a1_group(spark, sf_dir, ["user_id", "product_id"],
+                     (F.count_if(t == "view") * 1 + F.count_if(t == "cart") * 3
+                      + F.count_if(t == "purchase") * 5).alias("score"))
+
+
+# ---------------------------------------------------------------- reports
+
+@query("report_bronze_rows_per_month")
+def q_r1(spark, sf_dir):
+    return R.report_bronze_rows_per_month(a1_bronze(spark, sf_dir))
+
+
+@query("report_silver_rows_per_month")
+def q_r2(spark, sf_dir):
+    return R.report_silver_rows_per_month(a1_fct(spark, sf_dir))
+
+
+@query("report_gold_rows_per_snapshot")
+def q_r3(spark, sf_dir):
+    return R.report_gold_rows_per_snapshot(a1_product_backfill(spark, sf_dir))
+
+
+@query("report_orphan_products")
+def q_r4(spark, sf_dir):
+    fct = a1_fct(spark, sf_dir)
+    ss = silver.session_start(silver.sessions(fct), silver.calendar_dates(fct))
+    return R.report_orphan_products(ss, gold.product_features_backfill(fct))
+
+
+# ------------------------------------------------------------- assertions
+
+def _a1_precheck(spark, sf_dir):
+    """Parsed rows before the validity filter, with their (possibly NULL) id."""
+    p = a1_parsed(spark, sf_dir)
+    return p.withColumn("event_id", X.event_identity(*[F.col(c) for c in silver.NATURAL_KEY]))
+
+
+@query("assert_events_primary_keys")
+def q_a1(spark, sf_dir):
+    return Q.assert_events_primary_keys(_a1_precheck(spark, sf_dir))
+
+
+@query("assert_load_month_in_bronze")
+def q_a2(spark, sf_dir):
+    return Q.assert_load_month_in_bronze(a1_bronze(spark, sf_dir), "1990-01")
+
+
+@query("assert_snapshot_date_after_events")
+def q_a3(spark, sf_dir):
+    return Q.assert_snapshot_date_after_events(a1_fct(spark, sf_dir), A1_SNAPSHOT)
+
+
+@query("assert_valid_event_types")
+def q_a4(spark, sf_dir):
+    return Q.assert_valid_event_types(_a1_precheck(spark, sf_dir))
+
+
+@query("assertion_summary")
+def q_a5(spark, sf_dir):
+    pre = _a1_precheck(spark, sf_dir)
+    return Q.assertion_summary({
+        "assert_events_primary_keys": Q.assert_events_primary_keys(pre),
+        "assert_load_month_in_bronze": Q.assert_load_month_in_bronze(a1_bronze(spark, sf_dir), "1998-01"),
+        "assert_snapshot_date_after_events": Q.assert_snapshot_date_after_events(a1_fct(spark, sf_dir), "2002-01-01"),
+        "assert_valid_event_types": Q.assert_valid_event_types(pre),
+    })
