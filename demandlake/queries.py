@@ -466,3 +466,236 @@ def q_a5(spark, sf_dir):
         "assert_snapshot_date_after_events": Q.assert_snapshot_date_after_events(a1_fct(spark, sf_dir), "2002-01-01"),
         "assert_valid_event_types": Q.assert_valid_event_types(pre),
     })
+
+
+# ------------------------------------------------------- training features
+
+def _round_doubles(df: DataFrame, digits: int = 9) -> DataFrame:
+    dbl = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
+    return round_cols(df, dbl, digits)
+
+
+@query("training_set")
+def q_training_set(spark, sf_dir):
+    """T-01 / P-10: snapshots + calendar + LEAD target, non-null targets."""
+    return a1_training(spark, sf_dir)
+
+
+@query("features_base")
+def q_features_base(spark, sf_dir):
+    """T-02: coerced numerics, NULL -> 0.0."""
+    return FE.features_base(a1_training(spark, sf_dir))
+
+
+@query("features_funnel")
+def q_features_funnel(spark, sf_dir):
+    """T-03: base + funnel ratios and flags."""
+    return FE.add_engineered(FE.features_base(a1_training(spark, sf_dir)), "funnel")
+
+
+@query("features_extended")
+def q_features_extended(spark, sf_dir):
+    """T-04: funnel + log sales, price delta %, buyers per purchase, sales x conversion."""
+    df = FE.add_engineered(FE.features_base(a1_training(spark, sf_dir)), "extended")
+    return round_cols(df, {"log_sales_last_month"})
+
+
+@query("one_hot_category")
+def q_one_hot(spark, sf_dir):
+    """T-05: category dummies in sorted vocabulary order."""
+    base = FE.features_base(a1_training(spark, sf_dir))
+    vocab = FE.category_vocabulary(base)
+    oh = FE.one_hot_category(base.select("product_id", "snapshot_date", "product_category_l1"), vocab)
+    return oh
+
+
+@query("split_by_snapshots")
+def q_split(spark, sf_dir):
+    """T-07: last snapshot -> validation, the rest -> train."""
+    return FE.with_split(a1_features(spark, sf_dir)).select("product_id", "snapshot_date", "split")
+
+
+@query("training_profile")
+def q_profile(spark, sf_dir):
+    """T-08: sizes, dates, zero share and positives per split."""
+    df = a1_features(spark, sf_dir)
+    return _round_doubles(FE.training_profile(FE.with_split(df), len(FE.feature_columns(df))))
+
+
+# ---------------------------------------------------------------- metrics
+
+@query("metric_mae")
+def q_mae(spark, sf_dir):
+    return _round_doubles(M.regression_metrics(a3_predictions(spark, sf_dir), "target_next_period",
+                                               "pred_soft").select("mae"))
+
+
+@query("metric_rmse")
+def q_rmse(spark, sf_dir):
+    return _round_doubles(M.regression_metrics(a3_predictions(spark, sf_dir), "target_next_period",
+                                               "pred_hard").select("rmse"))
+
+
+@query("metric_rmsle")
+def q_rmsle(spark, sf_dir):
+    return _round_doubles(M.regression_metrics(a3_predictions(spark, sf_dir), "target_next_period",
+                                               "pred_hard").select("rmsle"))
+
+
+@query("metric_wape")
+def q_wape(spark, sf_dir):
+    return _round_doubles(M.regression_metrics(a3_predictions(spark, sf_dir), "target_next_period",
+                                               "pred_baseline").select("wape"))
+
+
+@query("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    """M-08: the four regression metrics of the soft prediction, prefixed."""
+    return _round_doubles(M.regression_metrics(a3_predictions(spark, sf_dir), "target_next_period",
+                                               "pred_soft", "val_"))
+
+
+@query("metric_confusion")
+def q_confusion(spark, sf_dir):
+    return _round_doubles(M.confusion_metrics(a3_predictions(spark, sf_dir), "label", "p_nonzero", 0.5))
+
+
+@query("metric_roc_auc")
+def q_auc(spark, sf_dir):
+    return _round_doubles(M.ranking_metrics(a3_predictions(spark, sf_dir), "label", "p_nonzero")
+                          .select("auc_roc"))
+
+
+@query("metric_average_precision")
+def q_ap(spark, sf_dir):
+    return _round_doubles(M.ranking_metrics(a3_predictions(spark, sf_dir), "label", "p_nonzero")
+                          .select("pr_auc"))
+
+
+@query("classification_metrics")
+def q_classification_metrics(spark, sf_dir):
+    """M-08: all six classification metrics, prefixed."""
+    return _round_doubles(M.classification_metrics(a3_predictions(spark, sf_dir), "label", "p_nonzero",
+                                                   0.5, "val_"))
+
+
+# --------------------------------------------------------- hurdle / blend
+
+@query("hurdle_combine")
+def q_hurdle(spark, sf_dir):
+    """ML-09: soft and hard hurdle predictions from p and count."""
+    return a3_predictions(spark, sf_dir).select("product_id", "snapshot_date", "p_nonzero", "positive_count",
+                                                "pred_soft", "pred_hard")
+
+
+@query("baseline_prediction")
+def q_baseline(spark, sf_dir):
+    """ML-10: last month's purchases as the prediction."""
+    return a3_predictions(spark, sf_dir).select("product_id", "snapshot_date", "pred_baseline")
+
+
+@query("blend_search")
+def q_blend(spark, sf_dir):
+    """ML-11: metrics for every hurdle weight 0..1 step 0.05."""
+    return _round_doubles(H.blend_search(a3_predictions(spark, sf_dir)))
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    """ML-12: soft / hard / baseline / best-blend ensemble metrics."""
+    return _round_doubles(H.model_comparison(a3_predictions(spark, sf_dir)))
+
+
+@query("validation_predictions")
+def q_val_preds(spark, sf_dir):
+    """ML-13: product, snapshot, target, p_nonzero, soft and hard predictions."""
+    return a3_predictions(spark, sf_dir).select("product_id", "snapshot_date", "target_next_period",
+                                                "p_nonzero", "pred_soft", "pred_hard")
+
+
+# ---------------------------------------------------------------- scoring
+
+def _scoring_inputs(spark, sf_dir):
+    from .plans import scoring as SC
+    fct = a1_fct(spark, sf_dir)
+    feats = SC.scoring_features(gold.product_features_backfill(fct), silver.calendar_dates(fct))
+    return SC, feats, FX.a4_requests(spark, sf_dir)
+
+
+def _feature_names(spark, sf_dir):
+    return FE.feature_columns(a1_features(spark, sf_dir))
+
+
+@query("latest_features_per_product")
+def q_latest(spark, sf_dir):
+    """W-06: newest snapshot row per product."""
+    from .plans import scoring as SC
+    return SC.latest_features_per_product(a1_product_backfill(spark, sf_dir))
+
+
+@query("scoring_features")
+def q_scoring_features(spark, sf_dir):
+    """SC-01: latest snapshot per product with calendar fields."""
+    _, feats, _ = _scoring_inputs(spark, sf_dir)
+    return feats
+
+
+@query("scoring_lookup")
+def q_scoring_lookup(spark, sf_dir):
+    """SC-02: requests joined to features on the integer product id."""
+    SC, feats, req = _scoring_inputs(spark, sf_dir)
+    return SC.scoring_lookup(req, feats).select(*SC.REQUEST_COLUMNS, "has_features", "snapshot_date",
+                                                "product_purchase_count_last_month")
+
+
+@query("align_features")
+def q_align(spark, sf_dir):
+    """SC-03: serving features in the training feature order."""
+    SC, feats, req = _scoring_inputs(spark, sf_dir)
+    names = _feature_names(spark, sf_dir)
+    looked = SC.scoring_lookup(req, feats).where("has_features")
+    out = SC.align_features(looked, names).select("product_id", *names)
+    return round_cols(out, {"log_sales_last_month"})
+
+
+@query("score_requests")
+def q_score(spark, sf_dir):
+    """SC-04 / SC-05: hurdle prediction or fallback, with model version."""
+    from .plans.models import StandInHurdle
+    SC, feats, req = _scoring_inputs(spark, sf_dir)
+    model = StandInHurdle(_feature_names(spark, sf_dir))
+    return SC.score_requests(req, feats, model)
+
+
+@query("fallback_prediction")
+def q_fallback(spark, sf_dir):
+    """SC-05: requests without a model get the fallback prediction."""
+    SC, feats, req = _scoring_inputs(spark, sf_dir)
+    return SC.score_requests(req, feats, None).select("product_id", "prev_month_sales", "prediction_score",
+                                                      "model_version")
+
+
+@query("prediction_log")
+def q_prediction_log(spark, sf_dir):
+    """SC-06: log rows (the request clock excluded)."""
+    from .plans.models import StandInHurdle
+    SC, feats, req = _scoring_inputs(spark, sf_dir)
+    scored = SC.score_requests(req, feats, StandInHurdle(_feature_names(spark, sf_dir)))
+    return SC.prediction_log(scored).drop("timestamp", "log_date")
+
+
+@query("report_latest_predictions")
+def q_r5(spark, sf_dir):
+    """R-05: the five newest log rows of one scoring run."""
+    from .plans.models import StandInHurdle
+    SC, feats, req = _scoring_inputs(spark, sf_dir)
+    scored = SC.score_requests(req, feats, StandInHurdle(_feature_names(spark, sf_dir)))
+    return R.report_latest_predictions(SC.prediction_log(scored, run_ts="2002-01-01 05:00:00"))
+
+
+@query("leaderboard_sort")
+def q_leaderboard(spark, sf_dir):
+    """R-06: blend candidates as a leaderboard, sorted by RMSE, best first."""
+    board = H.blend_search(a3_predictions(spark, sf_dir)) \
+        .withColumn("run_name", F.format_string("blend_w%.2f", F.col("w_hurdle")))
+    return _round_doubles(R.best_of(board, "rmse", ascending=True))
