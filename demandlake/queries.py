@@ -699,3 +699,188 @@ def q_leaderboard(spark, sf_dir):
     board = H.blend_search(a3_predictions(spark, sf_dir)) \
         .withColumn("run_name", F.format_string("blend_w%.2f", F.col("w_hurdle")))
     return _round_doubles(R.best_of(board, "rmse", ascending=True))
+
+
+# ------------------------------------------------------- scalar functions
+
+def _distinct(df: DataFrame, *cols) -> DataFrame:
+    return df.select(*cols).distinct()
+
+
+@query("fn_parse_ts")
+def q_fn_parse_ts(spark, sf_dir):
+    """X-01: 'yyyy-MM-dd HH:mm:ss UTC' text to a UTC timestamp (strict)."""
+    b = a1_bronze(spark, sf_dir)
+    return _distinct(b, "event_time_raw", X.parse_event_ts("event_time_raw").alias("event_ts"))
+
+
+@query("fn_ts_to_date")
+def q_fn_ts_to_date(spark, sf_dir):
+    """X-02: DATE(ts) in UTC."""
+    return _distinct(a1_parsed(spark, sf_dir), "event_ts", F.to_date("event_ts").alias("event_date"))
+
+
+@query("fn_clean_text")
+def q_fn_clean_text(spark, sf_dir):
+    """X-03: TRIM / LOWER / NULLIF(TRIM(x), '')."""
+    b = a1_bronze(spark, sf_dir)
+    return _distinct(b, "brand_raw", "event_type_raw", X.clean_lower("brand_raw").alias("brand"),
+                     F.lower(X.trim_ws("event_type_raw")).alias("event_type"),
+                     X.clean_text("user_session_raw").alias("user_session"), "user_session_raw")
+
+
+@query("fn_safe_cast_int")
+def q_fn_safe_cast_int(spark, sf_dir):
+    """X-04: SAFE_CAST(text AS INT64)."""
+    b = a1_bronze(spark, sf_dir)
+    return _distinct(b, "product_id_raw", X.safe_bigint("product_id_raw").alias("product_id"))
+
+
+@query("fn_safe_cast_numeric")
+def q_fn_safe_cast_numeric(spark, sf_dir):
+    """X-05: SAFE_CAST(text AS NUMERIC)."""
+    b = a1_bronze(spark, sf_dir)
+    return _distinct(b, "price_raw", X.safe_numeric("price_raw").alias("price"))
+
+
+@query("fn_safe_cast_double")
+def q_fn_safe_cast_double(spark, sf_dir):
+    """X-06: SAFE_CAST(x AS FLOAT64) of the snapshot counters."""
+    pf = a1_product_backfill(spark, sf_dir)
+    return _distinct(pf, "product_unique_buyers_last_month",
+                     X.safe_double("product_unique_buyers_last_month").alias("buyers_double"))
+
+
+@query("fn_sha256_hex")
+def q_fn_sha256(spark, sf_dir):
+    """X-07: lower-case hex SHA-256 of a text."""
+    b = a1_bronze(spark, sf_dir)
+    return _distinct(b, "user_session_raw", F.sha2("user_session_raw", 256).alias("digest"))
+
+
+@query("fn_unix_micros")
+def q_fn_unix_micros(spark, sf_dir):
+    """X-08: microseconds since the epoch."""
+    return _distinct(a1_parsed(spark, sf_dir), "event_ts", F.unix_micros("event_ts").alias("micros"))
+
+
+@query("fn_split_safe_offset")
+def q_fn_split(spark, sf_dir):
+    """X-09: SPLIT(code, '.')[SAFE_OFFSET(n)] for n = 0..3."""
+    p = a1_parsed(spark, sf_dir)
+    return _distinct(p, "category_code", *[X.category_level("category_code", i).alias(f"part{i}") for i in range(4)])
+
+
+@query("fn_parse_month")
+def q_fn_parse_month(spark, sf_dir):
+    """X-10: PARSE_DATE('%Y-%m', text)."""
+    b = a1_bronze(spark, sf_dir)
+    return _distinct(b, X.format_month("_load_month").alias("load_month"),
+                     X.parse_month(X.format_month("_load_month")).alias("month_date"))
+
+
+@query("fn_date_parts")
+def q_fn_date_parts(spark, sf_dir):
+    """X-11: month, ISO week, day of week (Sunday = 1), hour."""
+    p = a1_parsed(spark, sf_dir)
+    return _distinct(p, "event_ts", F.month("event_ts").alias("month"), F.weekofyear("event_ts").alias("iso_week"),
+                     F.dayofweek("event_ts").alias("day_of_week"), F.hour("event_ts").alias("hour"))
+
+
+@query("fn_is_weekend")
+def q_fn_is_weekend(spark, sf_dir):
+    """X-12: DAYOFWEEK IN (1, 7)."""
+    return _distinct(a1_parsed(spark, sf_dir), "event_date", X.is_weekend("event_date").alias("is_weekend"))
+
+
+@query("fn_days_to_month_end")
+def q_fn_days_to_month_end(spark, sf_dir):
+    """X-13: days to the last day of the month."""
+    return _distinct(a1_parsed(spark, sf_dir), "event_date",
+                     X.days_to_month_end("event_date").alias("days_to_end_of_month"))
+
+
+@query("fn_date_arith")
+def q_fn_date_arith(spark, sf_dir):
+    """X-14: date -/+ 7 days, - 1 month, day differences."""
+    p = a1_parsed(spark, sf_dir)
+    d = F.col("event_date")
+    return _distinct(p, "event_date", F.date_sub(d, 7).alias("minus_7"), F.date_add(d, 7).alias("plus_7"),
+                     F.add_months(d, -1).alias("minus_month"),
+                     F.datediff(F.to_date(F.lit(A1_SNAPSHOT)), d).alias("days_to_snapshot"))
+
+
+@query("fn_generate_date_array")
+def q_fn_gen_dates(spark, sf_dir):
+    """X-15: inclusive date arrays, exploded (one row per month of data)."""
+    b = a1_bronze(spark, sf_dir).select("_load_month").distinct()
+    return b.select("_load_month", F.explode(F.sequence("_load_month", F.last_day("_load_month"))).alias("d"))
+
+
+@query("fn_conditional")
+def q_fn_conditional(spark, sf_dir):
+    """X-16: IF / NULLIF / IN / IS NULL / COALESCE."""
+    p = a1_parsed(spark, sf_dir)
+    return _distinct(
+        p, "event_type", "category_code",
+        F.when(F.col("event_type") == "purchase", F.lit(1)).otherwise(F.lit(0)).alias("is_purchase"),
+        F.nullif(F.col("event_type"), F.lit("view")).alias("not_view"),
+        F.col("event_type").isin(*X.VALID_EVENT_TYPES).alias("valid_type"),
+        F.col("category_code").isNull().alias("no_category"),
+        F.coalesce(F.get(F.split("category_code", r"\."), 0), F.lit("UNKNOWN")).alias("l1_or_unknown"))
+
+
+@query("fn_exp_decay")
+def q_fn_exp(spark, sf_dir):
+    """X-17: EXP(-0.05 * days)."""
+    p = a1_parsed(spark, sf_dir)
+    days = F.datediff(F.to_date(F.lit("2002-01-01")), "event_date")
+    return round_cols(_distinct(p, days.alias("days"), X.recency_score(days).alias("score")), {"score"})
+
+
+@query("fn_format_month")
+def q_fn_format_month(spark, sf_dir):
+    """X-18: FORMAT_DATE('%Y-%m')."""
+    return _distinct(a1_parsed(spark, sf_dir), "event_date", X.format_month("event_date").alias("month"))
+
+
+@query("fn_replace_concat")
+def q_fn_replace_concat(spark, sf_dir):
+    """X-19: load id and table-name construction."""
+    b = a1_bronze(spark, sf_dir)
+    m = X.format_month("_load_month")
+    return _distinct(b, m.alias("load_month"), F.concat(F.lit("manual_"), m).alias("load_id"),
+                     F.concat(F.lit("raw_events_external_"), F.replace(m, F.lit("-"), F.lit("_"))).alias("external_table"))
+
+
+@query("fn_to_json_payload")
+def q_fn_json(spark, sf_dir):
+    """X-20: request payload as JSON text."""
+    from .plans.scoring import request_payload
+    return FX.a4_requests(spark, sf_dir).select("product_id", request_payload().alias("payload"))
+
+
+@query("fn_pd_to_numeric")
+def q_fn_to_numeric(spark, sf_dir):
+    """X-21: numeric coercion, NULL/NaN -> 0.0."""
+    pf = a1_product_backfill(spark, sf_dir)
+    return _distinct(pf, "product_conversion_rate_last_month",
+                     X.to_numeric_or_zero("product_conversion_rate_last_month").alias("conversion0"))
+
+
+@query("fn_log1p")
+def q_fn_log1p(spark, sf_dir):
+    """X-22: log1p of purchases."""
+    pf = a1_product_backfill(spark, sf_dir)
+    return round_cols(_distinct(pf, "product_purchase_count_last_month",
+                                F.log1p("product_purchase_count_last_month").alias("log_sales")), {"log_sales"})
+
+
+# ------------------------------------------------------------ run params
+
+@query("run_params")
+def q_run_params(spark, sf_dir):
+    """D-01: load month -> snapshot date and source object per loaded month."""
+    from .plans.pipeline import run_params
+    months = a1_bronze(spark, sf_dir).select(X.format_month("_load_month").alias("load_month")).distinct()
+    return run_params(months)
