@@ -58,7 +58,7 @@ def build(master: str | None = None, app: str = "demandlake",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
