@@ -66,13 +66,32 @@ def model_comparison(df: DataFrame, y: str = "target_next_period", soft: str = "
                      weights=BLEND_WEIGHTS) -> DataFrame:
     """hurdle_soft / hurdle_hard / baseline / ensemble x MAE, RMSE, RMSLE, WAPE.
 
-    The ensemble row is the best blend weight; all 24 prediction columns
-    are evaluated in the same single pass.
+    One pass over df: the sums of all 24 prediction columns come out of a
+    single aggregate row; the ensemble is the blend with the smallest
+    (rmse, w) picked inside that row (array_min over structs).
     """
-    preds = [("hurdle_soft", None, F.col(soft)), ("hurdle_hard", None, F.col(hard)),
-             ("baseline", None, F.col(base))] + _blend_preds(hard, base, weights)
-    rows = metric_rows(df, y, preds)
-    fixed = rows.where(F.col("model") != "blend")
-    best = best_blend(rows.where(F.col("model") == "blend").drop("model")) \
-        .select(F.lit("ensemble").alias("model"), "w_hurdle", "mae", "rmse", "rmsle", "wape")
-    return fixed.unionByName(best)
+    fixed = [("hurdle_soft", None, F.col(soft)), ("hurdle_hard", None, F.col(hard)),
+             ("baseline", None, F.col(base))]
+    preds = fixed + _blend_preds(hard, base, weights)
+    aggs = [c.alias(f"{n}_{i}") for i, (_, _, p) in enumerate(preds)
+            for n, c in regression_sum_exprs(y, p).items()]
+    wide = df.agg(*aggs)
+
+    def metrics_struct(i: int, w) -> Column:
+        s = {n: F.col(f"{n}_{i}") for n in SUM_NAMES}
+        cnt = s["_n"].cast("double")
+        return F.struct(
+            F.sqrt(s["_sq"] / cnt).alias("rmse"),
+            F.lit(w).cast("double").alias("w_hurdle"),
+            (s["_abs"] / cnt).alias("mae"),
+            F.sqrt(s["_sqlog"] / cnt).alias("rmsle"),
+            F.when(s["_absy"] > 0, s["_abs"] / s["_absy"]).otherwise(F.lit(float("nan"))).alias("wape"),
+        )
+
+    blend_best = F.array_min(F.array(*[metrics_struct(i, w) for i, (label, w, _) in enumerate(preds)
+                                       if label == "blend"]))
+    rows = [F.struct(F.lit(label).alias("model"), metrics_struct(i, None).alias("m"))
+            for i, (label, _, _) in enumerate(fixed)]
+    rows.append(F.struct(F.lit("ensemble").alias("model"), blend_best.alias("m")))
+    out = wide.select(F.inline(F.array(*rows)))
+    return out.select("model", "m.w_hurdle", "m.mae", "m.rmse", "m.rmsle", "m.wape")

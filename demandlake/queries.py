@@ -92,6 +92,12 @@ def a1_parsed(spark, sf_dir):
     return silver.parse_events(a1_bronze(spark, sf_dir))
 
 
+def a1_fct_table(spark, sf_dir) -> DataFrame:
+    """Silver events written once to the checkpoint folder (for queries whose
+    plan reads silver in several branches, as the lake table would be)."""
+    return S.materialize(a1_fct(spark, sf_dir))
+
+
 def a1_calendar(spark, sf_dir):
     return silver.calendar_dates(a1_fct(spark, sf_dir))
 
@@ -104,13 +110,17 @@ def a1_product_backfill(spark, sf_dir):
     return gold.product_features_backfill(a1_fct(spark, sf_dir))
 
 
-def a1_training(spark, sf_dir):
-    return FE.training_set(a1_product_backfill(spark, sf_dir), a1_calendar(spark, sf_dir))
+def a1_training(spark, sf_dir, fct: DataFrame | None = None):
+    fct = fct if fct is not None else a1_fct_table(spark, sf_dir)
+    return FE.training_set(gold.product_features_backfill(fct), silver.calendar_dates(fct))
 
 
-def a1_features(spark, sf_dir, feature_set="extended"):
-    df, _ = FE.prepare_features(a1_training(spark, sf_dir), feature_set)
-    return df
+def a1_features(spark, sf_dir, feature_set="extended", fct: DataFrame | None = None):
+    """Training features, materialized once: the vocabulary, the split and
+    the metrics all read the written frame."""
+    training = a1_training(spark, sf_dir, fct)
+    engineered = S.materialize(FE.add_engineered(FE.features_base(training), feature_set))
+    return FE.one_hot_category(engineered, FE.category_vocabulary(engineered))
 
 
 def a3_predictions(spark, sf_dir):
@@ -221,7 +231,7 @@ def q_sessions_clickstream(spark, sf_dir):
 @query("session_start")
 def q_session_start(spark, sf_dir):
     """J-04: sessions joined to the calendar (hour, weekend)."""
-    fct = a1_fct(spark, sf_dir)
+    fct = a1_fct_table(spark, sf_dir)
     return silver.session_start(silver.sessions(fct), silver.calendar_dates(fct))
 
 
@@ -236,7 +246,7 @@ def q_product_features_a1(spark, sf_dir):
 @query("user_features_monthly")
 def q_user_features(spark, sf_dir):
     """F-03 / J-02: user snapshot of the multi-month store."""
-    return gold.user_features_monthly(a1_fct(spark, sf_dir), A1_SNAPSHOT)
+    return gold.user_features_monthly(a1_fct_table(spark, sf_dir), A1_SNAPSHOT)
 
 
 @query("user_features_clickstream")
@@ -255,7 +265,7 @@ def q_interactions(spark, sf_dir):
 @query("days_since_last_purchase")
 def q_days_since_last_purchase(spark, sf_dir):
     """F-05: recency over the full history (NULL without purchases)."""
-    return gold.user_features_monthly(a1_fct(spark, sf_dir), A1_SNAPSHOT).select(
+    return gold.user_features_monthly(a1_fct_table(spark, sf_dir), A1_SNAPSHOT).select(
         "user_id", "days_since_last_purchase")
 
 
@@ -293,7 +303,8 @@ def q_target(spark, sf_dir):
 @query("join_snapshot_calendar")
 def q_join_snapshot_calendar(spark, sf_dir):
     """J-05: product snapshots joined to the calendar."""
-    j = FE.join_snapshot_calendar(a1_product_backfill(spark, sf_dir), a1_calendar(spark, sf_dir))
+    fct = a1_fct_table(spark, sf_dir)
+    j = FE.join_snapshot_calendar(gold.product_features_backfill(fct), silver.calendar_dates(fct))
     return j.select("product_id", "snapshot_date", "month", "week_of_year", "days_to_end_of_month")
 
 
@@ -424,7 +435,7 @@ def q_r3(spark, sf_dir):
 
 @query("report_orphan_products")
 def q_r4(spark, sf_dir):
-    fct = a1_fct(spark, sf_dir)
+    fct = a1_fct_table(spark, sf_dir)
     ss = silver.session_start(silver.sessions(fct), silver.calendar_dates(fct))
     return R.report_orphan_products(ss, gold.product_features_backfill(fct))
 
@@ -615,15 +626,22 @@ def q_val_preds(spark, sf_dir):
 
 # ---------------------------------------------------------------- scoring
 
-def _scoring_inputs(spark, sf_dir):
+def _scoring_inputs(spark, sf_dir, fct: DataFrame | None = None):
     from .plans import scoring as SC
-    fct = a1_fct(spark, sf_dir)
+    fct = fct if fct is not None else a1_fct_table(spark, sf_dir)
     feats = SC.scoring_features(gold.product_features_backfill(fct), silver.calendar_dates(fct))
     return SC, feats, FX.a4_requests(spark, sf_dir)
 
 
-def _feature_names(spark, sf_dir):
-    return FE.feature_columns(a1_features(spark, sf_dir))
+def _feature_names(spark, sf_dir, fct: DataFrame | None = None):
+    return FE.feature_columns(a1_features(spark, sf_dir, fct=fct))
+
+
+def _scoring_with_names(spark, sf_dir):
+    """Scoring inputs and training feature names from one silver table."""
+    fct = a1_fct_table(spark, sf_dir)
+    SC, feats, req = _scoring_inputs(spark, sf_dir, fct)
+    return SC, feats, req, _feature_names(spark, sf_dir, fct)
 
 
 @query("latest_features_per_product")
@@ -651,8 +669,7 @@ def q_scoring_lookup(spark, sf_dir):
 @query("align_features")
 def q_align(spark, sf_dir):
     """SC-03: serving features in the training feature order."""
-    SC, feats, req = _scoring_inputs(spark, sf_dir)
-    names = _feature_names(spark, sf_dir)
+    SC, feats, req, names = _scoring_with_names(spark, sf_dir)
     looked = SC.scoring_lookup(req, feats).where("has_features")
     out = SC.align_features(looked, names).select("product_id", *names)
     return round_cols(out, {"log_sales_last_month"})
@@ -662,9 +679,8 @@ def q_align(spark, sf_dir):
 def q_score(spark, sf_dir):
     """SC-04 / SC-05: hurdle prediction or fallback, with model version."""
     from .plans.models import StandInHurdle
-    SC, feats, req = _scoring_inputs(spark, sf_dir)
-    model = StandInHurdle(_feature_names(spark, sf_dir))
-    return SC.score_requests(req, feats, model)
+    SC, feats, req, names = _scoring_with_names(spark, sf_dir)
+    return SC.score_requests(req, feats, StandInHurdle(names))
 
 
 @query("fallback_prediction")
@@ -679,8 +695,8 @@ def q_fallback(spark, sf_dir):
 def q_prediction_log(spark, sf_dir):
     """SC-06: log rows (the request clock excluded)."""
     from .plans.models import StandInHurdle
-    SC, feats, req = _scoring_inputs(spark, sf_dir)
-    scored = SC.score_requests(req, feats, StandInHurdle(_feature_names(spark, sf_dir)))
+    SC, feats, req, names = _scoring_with_names(spark, sf_dir)
+    scored = SC.score_requests(req, feats, StandInHurdle(names))
     return SC.prediction_log(scored).drop("timestamp", "log_date")
 
 
@@ -688,8 +704,8 @@ def q_prediction_log(spark, sf_dir):
 def q_r5(spark, sf_dir):
     """R-05: the five newest log rows of one scoring run."""
     from .plans.models import StandInHurdle
-    SC, feats, req = _scoring_inputs(spark, sf_dir)
-    scored = SC.score_requests(req, feats, StandInHurdle(_feature_names(spark, sf_dir)))
+    SC, feats, req, names = _scoring_with_names(spark, sf_dir)
+    scored = SC.score_requests(req, feats, StandInHurdle(names))
     return R.report_latest_predictions(SC.prediction_log(scored, run_ts="2002-01-01 05:00:00"))
 
 

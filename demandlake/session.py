@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on.  The time zone matters for
 # correctness (event times are UTC and DATE(ts) must be the UTC day);
@@ -46,6 +46,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write df once to the shared checkpoint folder and read it back.
+
+    Used where one intermediate feeds several branches: the branches read
+    the written files instead of recomputing the lineage, and a lost
+    executor does not send the job back to the raw tables.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for materialized tables."""
     base = checkpoint_dir(spark)
@@ -58,7 +69,10 @@ def build(master: str | None = None, app: str = "demandlake",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    builder = (builder.config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
+               # checkpoint files of dropped DataFrames are removed by the cleaner
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
