@@ -156,3 +156,12 @@ def test_stream_scoring_equals_batch_and_is_exactly_once(spark, sf_dir, tmp_lake
     score_batch(spark.read.schema(req.schema).json(os.path.join(req_dir, "*")), 0, feats, model, log_path)
     assert spark.read.parquet(log_path).where("batch_id = 0").count() == req.count()
     assert first is not None
+
+
+def test_create_tables(spark, tmp_lake):
+    L.create_tables(spark, tmp_lake)
+    cols = [f.name for f in spark.table("bronze.raw_events").schema.fields]
+    assert cols[-1] == "_load_month" and "_ingested_at" in cols
+    assert "log_date" in spark.table("mlops_monitoring.api_logs").columns
+    spark.sql("DROP TABLE IF EXISTS bronze.raw_events")
+    spark.sql("DROP TABLE IF EXISTS mlops_monitoring.api_logs")
