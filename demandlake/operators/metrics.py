@@ -78,6 +78,10 @@ def score_cumulatives(df: DataFrame, label: str, score: str, partitions: int | N
     3. per-partition totals (one row per partition) -> exclusive prefix
        offsets over that tiny table -> broadcast back;
     4. running sums inside each partition + offset.
+
+    Both branches read the same range exchange (Spark reuses it; a lost map
+    output is recomputed with the same range bounds), so the partition ids
+    seen by the totals and by the running sums agree.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

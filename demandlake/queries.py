@@ -900,3 +900,77 @@ def q_run_params(spark, sf_dir):
     from .plans.pipeline import run_params
     months = a1_bronze(spark, sf_dir).select(X.format_month("_load_month").alias("load_month")).distinct()
     return run_params(months)
+
+
+# ------------------------------------------------- lake I/O (written tables)
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+    return S.scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@query("csv_scan")
+def q_csv_scan(spark, sf_dir):
+    """S-01: month files written as CSV and read back strictly (9 STRING columns)."""
+    from .schemas import RAW_COLUMNS
+    from .sources import bronze as B
+    raw = a1_bronze(spark, sf_dir).where("_ingested_at IS NOT NULL").select(
+        *[F.col(f"{c}_raw").alias(c) for c in RAW_COLUMNS], F.date_format("_load_month", "yyyy-MM").alias("month"))
+    path = _scratch(spark, "csv")
+    (raw.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False).partitionBy("month").csv(path))
+    return B.read_events_csv(spark, path).select(*RAW_COLUMNS)
+
+
+@query("bronze_reload_idempotent")
+def q_bronze_reload(spark, sf_dir):
+    """S-03: loading every month twice leaves one copy of each month."""
+    from .sources import bronze as B
+    path = _scratch(spark, "bronze")
+    rows = a1_bronze(spark, sf_dir)
+    for _ in range(2):
+        B.replace_bronze_months(rows, path)
+    return B.read_bronze(spark, path).drop("_ingested_at")
+
+
+@query("silver_upsert")
+def q_silver_upsert(spark, sf_dir):
+    """S-06: MERGE of all months over a table holding the months before 1999."""
+    from .sources import lake as L
+    fct = a1_fct_table(spark, sf_dir)
+    path = _scratch(spark, "fct")
+    L.upsert(fct.where("_load_month < DATE'1999-01-01'"), path, ["event_id"], "_load_month")
+    L.upsert(fct, path, ["event_id"], "_load_month")
+    return spark.read.parquet(path)
+
+
+@query("snapshot_upsert")
+def q_snapshot_upsert(spark, sf_dir):
+    """S-07: one snapshot re-merged into the all-snapshot table."""
+    from .sources import lake as L
+    fct = a1_fct_table(spark, sf_dir)
+    path = _scratch(spark, "pfm")
+    L.upsert(gold.product_features_backfill(fct), path, ["snapshot_date", "product_id"], "snapshot_date")
+    L.snapshot_upsert(gold.product_features_monthly(fct, A1_SNAPSHOT), path,
+                      ["snapshot_date", "product_id"], A1_SNAPSHOT)
+    return spark.read.parquet(path)
+
+
+@query("split_raw_by_month")
+def q_split_raw(spark, sf_dir):
+    """S-13: one CSV folder per month; rows per month read back."""
+    from .schemas import RAW_COLUMNS
+    from .sources import bronze as B
+    raw = a1_bronze(spark, sf_dir).select(*[F.col(f"{c}_raw").alias(c) for c in RAW_COLUMNS])
+    path = _scratch(spark, "split")
+    B.split_raw_by_month(raw, path, first_full_month="1995-02")
+    back = spark.read.option("header", True).csv(path)
+    return back.groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("sample_weights")
+def q_sample_weights(spark, sf_dir):
+    """ML-06: stage-2 weights 1 + y / mean(y) over the training positives."""
+    from .plans.models import sample_weights
+    tr = FE.with_split(a1_features(spark, sf_dir)).where("split = 'train' AND target_next_period > 0")
+    return _round_doubles(sample_weights(tr).select("product_id", "snapshot_date", "target_next_period", "weight"))

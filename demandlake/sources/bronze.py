@@ -60,6 +60,12 @@ def replace_bronze_month(bronze_month: DataFrame, path: str, load_month: str) ->
          .partitionBy("_load_month").parquet(path))
 
 
+def replace_bronze_months(rows: DataFrame, path: str) -> None:
+    """Reload every month present in rows (dynamic partition overwrite)."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_load_month").parquet(path))
+
+
 def _drop_partition(spark: SparkSession, path: str, col: str, value: str) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
