@@ -165,3 +165,46 @@ def test_create_tables(spark, tmp_lake):
     assert "log_date" in spark.table("mlops_monitoring.api_logs").columns
     spark.sql("DROP TABLE IF EXISTS bronze.raw_events")
     spark.sql("DROP TABLE IF EXISTS mlops_monitoring.api_logs")
+
+
+def test_read_manifest(spark, tmp_lake):
+    import json
+    p = os.path.join(tmp_lake, "monthly_loads.json")
+    items = [{"load_month": "2020-10", "snapshot_date": "2020-11-01", "file": "events_2020-10.csv",
+              "gcs_uri": "lake/raw/events/month=2020-10/events_2020-10.csv"},
+             {"load_month": "2020-12", "snapshot_date": "2021-01-01", "file": "events_2020-12.csv",
+              "gcs_uri": "lake/raw/events/month=2020-12/events_2020-12.csv"}]
+    with open(p, "w") as fh:
+        json.dump(items, fh, indent=2)
+    m = B.read_manifest(spark, p)
+    assert [r.asDict() for r in m.orderBy("load_month").collect()] == items
+    got = {r["load_month"]: r["snapshot_date"] for r in P.run_params(m.select("load_month")).collect()}
+    assert got == {i["load_month"]: i["snapshot_date"] for i in items}
+
+
+def test_append_prediction_log_and_latest_report(spark, sf_dir, tmp_lake):
+    from demandlake.operators import reports as R
+    req = FX.a4_requests(spark, sf_dir).limit(50)
+    feats = spark.createDataFrame([], "product_id bigint, snapshot_date date")
+    scored = SC.score_requests(req, feats, None)
+    path = os.path.join(tmp_lake, "api_logs")
+    SC.append_prediction_log(SC.prediction_log(scored, run_ts="2021-01-01 05:00:00"), path)
+    SC.append_prediction_log(SC.prediction_log(scored, run_ts="2021-02-01 05:00:00"), path)
+    log = spark.read.parquet(path)
+    assert log.count() == 100
+    assert sorted(str(r[0]) for r in log.select("log_date").distinct().collect()) == ["2021-01-01", "2021-02-01"]
+    top = R.report_latest_predictions(log).collect()
+    assert len(top) == 5 and all(str(r["timestamp"]).startswith("2021-02-01") for r in top)
+    assert {r["model_version"] for r in top} == {"mock-v1"}
+    # the fallback stays within +-10 % of last month's sales (plus rounding)
+    bad = scored.where(F.abs(F.col("prediction_score") - F.col("prev_month_sales"))
+                       > F.col("prev_month_sales") * 0.1 + 0.005)
+    assert bad.count() == 0
+
+
+def test_load_training_frame_from_lake(spark, lake):
+    from demandlake.plans.training import load_training_frame
+    paths = lake["results"][-1]["paths"]
+    ts = load_training_frame(spark, paths["product_features_monthly"], paths["calendar_dates"])
+    assert set(["target_next_period", "month", "week_of_year"]).issubset(ts.columns)
+    assert ts.where("target_next_period IS NULL").count() == 0

@@ -26,4 +26,7 @@ def test_train_pipeline_small_grid(spark, sf_dir, tmp_lake):
     a = res["model"].predict_soft(val).select("product_id", "pred_soft")
     b = loaded.predict_soft(val).select("product_id", "pred_soft")
     assert a.exceptAll(b).count() == 0
-    assert TR.feature_importance_topk(res["model"].regressor, res["feature_columns"]) is None or True
+    gbt = [m for name, m in res["classifiers"].items() if "gbt" in name][0]
+    top = TR.feature_importance_topk(gbt, res["feature_columns"], k=5).collect()
+    assert len(top) == 5 and top[0]["importance"] >= top[-1]["importance"]
+    assert TR.feature_importance_topk(res["classifiers"]["clf_logreg_01"], res["feature_columns"]) is None
