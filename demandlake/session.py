@@ -40,10 +40,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = tempfile.mkdtemp(prefix="demandlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on this client: the conf is used
+        return configured
+    current = sc.getCheckpointDir()
     if not current:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+        sc.setCheckpointDir(configured)
+        return configured
+    return current
 
 
 def materialize(df: DataFrame) -> DataFrame:

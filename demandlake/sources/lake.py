@@ -31,9 +31,16 @@ def table_path(root: str, namespace: str, table: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    except Exception:  # no JVM handle on this client: probe with a read
+        try:
+            spark.read.parquet(path).schema
+            return True
+        except Exception:
+            return False
 
 
 def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,

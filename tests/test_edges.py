@@ -176,3 +176,38 @@ def test_one_hot_unseen_category_is_all_zero(spark):
     df = spark.createDataFrame([("x",), (None,)], "product_category_l1 string")
     out = FE.one_hot_category(df, ["UNKNOWN", "a"]).collect()
     assert [tuple(r) for r in out] == [(0, 0), (1, 0)]
+
+
+def test_lead_target_skips_calendar_gaps(spark):
+    """A product without events in a month has no snapshot row; LEAD takes
+    the next existing snapshot, not the next calendar month."""
+    from demandlake.operators import features as FE
+    b = bronze_rows(spark, [ev("2020-01-10 10:00:00 UTC", "purchase"),
+                            ev("2020-03-10 10:00:00 UTC", "purchase"),
+                            ev("2020-03-11 10:00:00 UTC", "purchase", sess="s2"),
+                            ev("2020-04-10 10:00:00 UTC", "view")])
+    fct = silver.fct_events(b)
+    pf = gold.product_features_backfill(fct)
+    ts = FE.training_set(pf, silver.calendar_dates(fct)).orderBy("snapshot_date").collect()
+    assert [(str(r["snapshot_date"]), r["target_next_period"]) for r in ts] == [
+        ("2020-02-01", 2), ("2020-04-01", 0)]
+
+
+def test_backfill_latest_attributes_carry_over_gaps(spark):
+    b = bronze_rows(spark, [ev("2020-01-10 10:00:00 UTC", "view", brand="old"),
+                            ev("2020-02-10 10:00:00 UTC", "view", brand="  ", price=""),
+                            ev("2020-05-10 10:00:00 UTC", "view", brand="", cat="")])
+    fct = silver.fct_events(b)
+    bf = {str(r["snapshot_date"]): r for r in gold.product_features_backfill(fct).collect()}
+    assert bf["2020-06-01"]["product_brand"] == "old"
+    assert bf["2020-06-01"]["product_category_l1"] == "electronics"
+    assert float(bf["2020-03-01"]["product_price"]) == 10.0
+    single = gold.product_features_monthly(fct, "2020-06-01").first()
+    assert single["product_brand"] == "old" and single["product_category_l1"] == "electronics"
+
+
+def test_equal_timestamps_dedup_only_exact_copies(spark):
+    b = bronze_rows(spark, [ev("2020-10-01 10:00:00 UTC", "view", pid="1"),
+                            ev("2020-10-01 10:00:00 UTC", "view", pid="1"),
+                            ev("2020-10-01 10:00:00 UTC", "view", pid="2")])
+    assert silver.fct_events(b).count() == 2
