@@ -53,27 +53,27 @@ def valid_events(parsed: DataFrame) -> DataFrame:
     return parsed.where(validity(parsed))
 
 
+# Ordering of re-delivered copies of one event, newest first; every column
+# descends with NULLs last, which is exactly the order of max() over a
+# struct (NULL fields compare lowest).  The trailing columns only make the
+# choice deterministic when _ingested_at ties.
+DEDUP_ORDER = ["_ingested_at", "price", "brand", "category_code", "category_id", "_load_id",
+               "_source_uri", "_load_month", "event_date"]
+
+
 def dedup_events(valid: DataFrame) -> DataFrame:
-    """One row per natural key, newest _ingested_at first.
+    """One row per natural key: the newest _ingested_at wins.
 
     Runs after the validity filter (WHERE precedes QUALIFY), so an older
-    valid copy wins over a newer invalid one.  Ties on _ingested_at are
-    broken by the payload columns to make the choice deterministic.
-    Spark plans the rank filter as a WindowGroupLimit (partial top-1
-    before the shuffle); the partition key is the event itself, so no
-    group can be larger than its re-deliveries.
+    valid copy wins over a newer invalid one.  Expressed as max(struct) per
+    key rather than a rank window: the aggregate combines copies on the map
+    side before the shuffle, so even a single event re-delivered into a
+    third of all rows never lands in one task.
     """
-    w = Window.partitionBy(*NATURAL_KEY).orderBy(
-        F.col("_ingested_at").desc(),
-        F.col("price").desc_nulls_last(),
-        F.col("brand").desc_nulls_last(),
-        F.col("category_code").desc_nulls_last(),
-        F.col("category_id").desc_nulls_last(),
-        F.col("_load_id").desc_nulls_last(),
-        F.col("_source_uri").desc_nulls_last(),
-    )
-    return (valid.withColumn("_rn", F.row_number().over(w))
-                 .where(F.col("_rn") == 1).drop("_rn"))
+    best = F.max(F.struct(*[F.col(c) for c in DEDUP_ORDER])).alias("_best")
+    agg = valid.groupBy(*NATURAL_KEY).agg(best)
+    return agg.select(*[F.col(c) if c in NATURAL_KEY else F.col(f"_best.{c}").alias(c)
+                        for c in valid.columns])
 
 
 def with_identity_and_levels(df: DataFrame) -> DataFrame:
