@@ -108,25 +108,26 @@ def _product_output(agg: DataFrame, snapshot: Column) -> DataFrame:
     )
 
 
-def _top1(df: DataFrame, key: str, value_cols: list[str], out: str) -> DataFrame:
+def _top1(df: DataFrame, key, value_cols: list[str], out: str) -> DataFrame:
     """Most frequent value tuple per key; ties -> ascending values, NULLs first.
 
     After the (key, values) count the top-1 is a min_by over
     (-count, values...), an aggregate with partial combine, so a key with
     very many distinct values never lands in one sorted window partition.
     """
-    counted = df.groupBy(key, *value_cols).agg(F.count(F.lit(1)).alias("_n"))
+    keys = [key] if isinstance(key, str) else list(key)
+    counted = df.groupBy(*keys, *value_cols).agg(F.count(F.lit(1)).alias("_n"))
     order = F.struct((-F.col("_n")).alias("_neg"), *[F.col(c) for c in value_cols])
-    return counted.groupBy(key).agg(F.min_by(F.struct(*value_cols), order).alias(out))
+    return counted.groupBy(*keys).agg(F.min_by(F.struct(*value_cols), order).alias(out))
 
 
-def favorite_category(windowed: DataFrame) -> DataFrame:
-    return _top1(windowed.where(F.col("category_l1").isNotNull()), "user_id",
+def favorite_category(windowed: DataFrame, keys=("user_id",)) -> DataFrame:
+    return _top1(windowed.where(F.col("category_l1").isNotNull()), list(keys),
                  ["category_l1", "category_l2", "category_l3"], "_fc")
 
 
-def favorite_brand(windowed: DataFrame) -> DataFrame:
-    return _top1(windowed.where(F.col("brand").isNotNull()), "user_id", ["brand"], "_fb")
+def favorite_brand(windowed: DataFrame, keys=("user_id",)) -> DataFrame:
+    return _top1(windowed.where(F.col("brand").isNotNull()), list(keys), ["brand"], "_fb")
 
 
 def user_features_monthly(fct: DataFrame, snapshot_date) -> DataFrame:
@@ -149,6 +150,11 @@ def user_features_monthly(fct: DataFrame, snapshot_date) -> DataFrame:
     windowed = fct.where(win).select("user_id", "category_l1", "category_l2", "category_l3", "brand")
     j = (base.join(favorite_category(windowed), "user_id", "left")
              .join(favorite_brand(windowed), "user_id", "left"))
+    return _user_output(j.withColumn("_snap", snap), "_last_purchase_ts")
+
+
+def _user_output(j: DataFrame, last_purchase: str) -> DataFrame:
+    snap = F.col("_snap")
     return j.select(
         snap.alias("snapshot_date"),
         "user_id",
@@ -163,7 +169,7 @@ def user_features_monthly(fct: DataFrame, snapshot_date) -> DataFrame:
         F.col("_fc.category_l2").alias("user_favorite_category_l2_last_month"),
         F.col("_fc.category_l3").alias("user_favorite_category_l3_last_month"),
         F.col("_fb.brand").alias("user_favorite_brand_last_month"),
-        X.days_between(snap, "_last_purchase_ts").alias("days_since_last_purchase"),
+        X.days_between(snap, last_purchase).alias("days_since_last_purchase"),
         X.safe_ratio(F.col("user_cart_count_last_month") - F.col("user_purchase_count_last_month"),
                      F.col("user_cart_count_last_month")).alias("user_cart_abandon_rate_last_month"),
     )
@@ -180,7 +186,12 @@ def user_product_interactions_monthly(fct: DataFrame, snapshot_date) -> DataFram
         countif(win & _is("purchase")).alias("ui_purchase_count_last_month"),
         F.max(F.when(_is("view"), F.col("event_ts"))).alias("_last_view_ts"),
     ).where(F.col("_w") > 0)
-    days = X.days_between(snap, "_last_view_ts")
+    return _interaction_output(agg.withColumn("_snap", snap), "_last_view_ts")
+
+
+def _interaction_output(agg: DataFrame, last_view: str) -> DataFrame:
+    snap = F.col("_snap")
+    days = X.days_between(snap, last_view)
     w = X.INTERACTION_WEIGHTS
     return agg.select(
         snap.alias("snapshot_date"), "user_id", "product_id",
@@ -229,7 +240,51 @@ def product_features_backfill(fct: DataFrame, snapshot_dates=None) -> DataFrame:
     )
     snapshot = F.add_months(F.col("_m"), 1)
     out = _product_output(carried.withColumn("_snap", snapshot), F.col("_snap"))
-    if snapshot_dates is not None:
-        wanted = [str(d) for d in snapshot_dates]
-        out = out.where(F.col("snapshot_date").isin([F.to_date(F.lit(d)) for d in wanted]))
-    return out
+    return _keep_snapshots(out, snapshot_dates)
+
+
+def _keep_snapshots(out: DataFrame, snapshot_dates) -> DataFrame:
+    if snapshot_dates is None:
+        return out
+    return out.where(F.col("snapshot_date").isin([F.to_date(F.lit(str(d))) for d in snapshot_dates]))
+
+
+def user_features_backfill(fct: DataFrame, snapshot_dates=None) -> DataFrame:
+    """user_features_monthly for every snapshot in one job.
+
+    Per (user, month): window counts, sessions, purchase price average and
+    the month's last purchase; favourites per (user, month); the history
+    recency is a running max over the user's months (one row per month with
+    events, so the window is bounded by the month count).
+    """
+    e = fct.withColumn("_m", F.trunc("event_date", "MM"))
+    base = e.groupBy("user_id", "_m").agg(
+        *_window_counts(F.lit(True), "user_"),
+        F.count_distinct("user_session").alias("user_sessions_last_month"),
+        exact_avg(F.when(_is("purchase"), F.col("price"))).alias("user_avg_price_purchased_last_month"),
+        F.max(F.when(_is("purchase"), F.col("event_ts"))).alias("_lp_m"),
+    )
+    running = (Window.partitionBy("user_id").orderBy("_m")
+                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    base = base.withColumn("_last_purchase_ts", F.max("_lp_m").over(running))
+    keys = ["user_id", "_m"]
+    j = (base.join(favorite_category(e, keys), keys, "left")
+             .join(favorite_brand(e, keys), keys, "left"))
+    out = _user_output(j.withColumn("_snap", F.add_months("_m", 1)), "_last_purchase_ts")
+    return _keep_snapshots(out, snapshot_dates)
+
+
+def user_product_interactions_backfill(fct: DataFrame, snapshot_dates=None) -> DataFrame:
+    """user_product_interactions_monthly for every snapshot in one job."""
+    e = fct.withColumn("_m", F.trunc("event_date", "MM"))
+    agg = e.groupBy("user_id", "product_id", "_m").agg(
+        countif(_is("view")).alias("ui_view_count_last_month"),
+        countif(_is("cart")).alias("ui_cart_count_last_month"),
+        countif(_is("purchase")).alias("ui_purchase_count_last_month"),
+        F.max(F.when(_is("view"), F.col("event_ts"))).alias("_lv_m"),
+    )
+    running = (Window.partitionBy("user_id", "product_id").orderBy("_m")
+                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    agg = agg.withColumn("_last_view_ts", F.max("_lv_m").over(running))
+    out = _interaction_output(agg.withColumn("_snap", F.add_months("_m", 1)), "_last_view_ts")
+    return _keep_snapshots(out, snapshot_dates)

@@ -974,3 +974,16 @@ def q_sample_weights(spark, sf_dir):
     from .plans.models import sample_weights
     tr = FE.with_split(a1_features(spark, sf_dir)).where("split = 'train' AND target_next_period > 0")
     return _round_doubles(sample_weights(tr).select("product_id", "snapshot_date", "target_next_period", "weight"))
+
+
+@query("user_features_backfill")
+def q_user_backfill(spark, sf_dir):
+    """F-07: user snapshots of every load month in one job."""
+    return gold.user_features_backfill(a1_fct_table(spark, sf_dir))
+
+
+@query("user_product_interactions_backfill")
+def q_interactions_backfill(spark, sf_dir):
+    """F-07: user-product snapshots of every load month in one job."""
+    df = gold.user_product_interactions_backfill(a1_fct(spark, sf_dir))
+    return round_cols(df, {"ui_recency_score"})

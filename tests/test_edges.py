@@ -211,3 +211,18 @@ def test_equal_timestamps_dedup_only_exact_copies(spark):
                             ev("2020-10-01 10:00:00 UTC", "view", pid="1"),
                             ev("2020-10-01 10:00:00 UTC", "view", pid="2")])
     assert silver.fct_events(b).count() == 2
+
+
+@pytest.mark.parametrize("one_job,single", [
+    (gold.user_features_backfill, gold.user_features_monthly),
+    (gold.user_product_interactions_backfill, gold.user_product_interactions_monthly),
+])
+def test_user_backfills_equal_single_runs(spark, sf_dir, one_job, single):
+    from demandlake.queries import a1_fct
+    fct = a1_fct(spark, sf_dir).cache()
+    snaps = ["1996-03-01", "2000-07-01"]
+    bf = one_job(fct, snaps)
+    runs = single(fct, snaps[0]).unionByName(single(fct, snaps[1]))
+    assert bf.count() > 0
+    assert bf.exceptAll(runs).count() == 0 and runs.exceptAll(bf).count() == 0
+    fct.unpersist()

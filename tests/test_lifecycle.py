@@ -208,3 +208,13 @@ def test_load_training_frame_from_lake(spark, lake):
     ts = load_training_frame(spark, paths["product_features_monthly"], paths["calendar_dates"])
     assert set(["target_next_period", "month", "week_of_year"]).issubset(ts.columns)
     assert ts.where("target_next_period IS NULL").count() == 0
+
+
+def test_one_job_backfill_equals_monthly_runs(spark, lake, tmp_lake):
+    paths = P.backfill_one_job(spark, lake["lake"], ["1998-02-01", "1998-03-01"], out_root=tmp_lake)
+    monthly = lake["results"][-1]["paths"]
+    for name, path in paths.items():
+        a = spark.read.parquet(path)
+        b = spark.read.parquet(monthly[name]).select(*a.columns)
+        assert a.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
