@@ -987,3 +987,42 @@ def q_interactions_backfill(spark, sf_dir):
     """F-07: user-product snapshots of every load month in one job."""
     df = gold.user_product_interactions_backfill(a1_fct(spark, sf_dir))
     return round_cols(df, {"ui_recency_score"})
+
+
+# ------------------------------------------------ model training (rows-only)
+# Iterative model fits have no SQL equivalent: these keys have no oracle and
+# are checked on rows and schema only.
+ROWS_ONLY = {"stage1_search", "stage2_search", "train_pipeline"}
+
+
+def _train_val(spark, sf_dir):
+    feats = a1_features(spark, sf_dir)
+    names = FE.feature_columns(feats)
+    train, val, _, _ = FE.split_by_snapshots(feats)
+    return train, val, names
+
+
+@query("stage1_search")
+def q_stage1(spark, sf_dir):
+    """ML-01..04: classifier grid (small) fitted with Spark ML; leaderboard by val_pr_auc."""
+    from .plans import models as MD
+    train, val, names = _train_val(spark, sf_dir)
+    board, _ = MD.stage1_search(train, val, names, MD.classifier_grid("small"))
+    return board.drop("params")
+
+
+@query("stage2_search")
+def q_stage2(spark, sf_dir):
+    """ML-05..08: regressor grid (small) on positives; leaderboard by val_rmse."""
+    from .plans import models as MD
+    train, val, names = _train_val(spark, sf_dir)
+    board, _ = MD.stage2_search(train, val, names, MD.regressor_grid("small"))
+    return board.drop("params")
+
+
+@query("train_pipeline")
+def q_train(spark, sf_dir):
+    """ML-14: end-to-end training; hurdle / baseline / ensemble comparison."""
+    from .plans import training as TR
+    res = TR.train_pipeline(a1_training(spark, sf_dir), grid_size="small")
+    return res["comparison"]
