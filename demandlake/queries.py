@@ -110,15 +110,17 @@ def a1_product_backfill(spark, sf_dir):
     return gold.product_features_backfill(a1_fct(spark, sf_dir))
 
 
-def a1_training(spark, sf_dir, fct: DataFrame | None = None):
+def a1_training(spark, sf_dir, fct: DataFrame | None = None, backfill: DataFrame | None = None):
     fct = fct if fct is not None else a1_fct_table(spark, sf_dir)
-    return FE.training_set(gold.product_features_backfill(fct), silver.calendar_dates(fct))
+    pf = backfill if backfill is not None else gold.product_features_backfill(fct)
+    return FE.training_set(pf, silver.calendar_dates(fct))
 
 
-def a1_features(spark, sf_dir, feature_set="extended", fct: DataFrame | None = None):
+def a1_features(spark, sf_dir, feature_set="extended", fct: DataFrame | None = None,
+                backfill: DataFrame | None = None):
     """Training features, materialized once: the vocabulary, the split and
     the metrics all read the written frame."""
-    training = a1_training(spark, sf_dir, fct)
+    training = a1_training(spark, sf_dir, fct, backfill)
     engineered = S.materialize(FE.add_engineered(FE.features_base(training), feature_set))
     return FE.one_hot_category(engineered, FE.category_vocabulary(engineered))
 
@@ -626,22 +628,25 @@ def q_val_preds(spark, sf_dir):
 
 # ---------------------------------------------------------------- scoring
 
-def _scoring_inputs(spark, sf_dir, fct: DataFrame | None = None):
+def _scoring_inputs(spark, sf_dir, fct: DataFrame | None = None, backfill: DataFrame | None = None):
     from .plans import scoring as SC
     fct = fct if fct is not None else a1_fct_table(spark, sf_dir)
-    feats = SC.scoring_features(gold.product_features_backfill(fct), silver.calendar_dates(fct))
+    pf = backfill if backfill is not None else gold.product_features_backfill(fct)
+    feats = SC.scoring_features(pf, silver.calendar_dates(fct))
     return SC, feats, FX.a4_requests(spark, sf_dir)
 
 
-def _feature_names(spark, sf_dir, fct: DataFrame | None = None):
-    return FE.feature_columns(a1_features(spark, sf_dir, fct=fct))
+def _feature_names(spark, sf_dir, fct: DataFrame | None = None, backfill: DataFrame | None = None):
+    return FE.feature_columns(a1_features(spark, sf_dir, fct=fct, backfill=backfill))
 
 
 def _scoring_with_names(spark, sf_dir):
-    """Scoring inputs and training feature names from one silver table."""
+    """Scoring inputs and training feature names from one silver table and
+    one product-snapshot table (both written once, as in the lake)."""
     fct = a1_fct_table(spark, sf_dir)
-    SC, feats, req = _scoring_inputs(spark, sf_dir, fct)
-    return SC, feats, req, _feature_names(spark, sf_dir, fct)
+    pf = S.materialize(gold.product_features_backfill(fct))
+    SC, feats, req = _scoring_inputs(spark, sf_dir, fct, pf)
+    return SC, feats, req, _feature_names(spark, sf_dir, fct, pf)
 
 
 @query("latest_features_per_product")
