@@ -27,32 +27,50 @@ SEED = 42
 
 # ----------------------------------------------------------------- grids
 
+# The configuration grids of the two search stages.
+# Stage 1 (is demand > 0): logistic regression inverse strengths, then
+# boosted trees over tree counts x depths x learning rates; row and
+# feature sampling 0.8.
+LOGREG_C = [0.1, 1.0, 10.0]
+LOGREG_MAX_ITER = 1000
+CLF_TREES = [100, 200, 300]
+CLF_DEPTHS = [5, 6, 7]
+CLF_LEARNING_RATES = [0.05, 0.07, 0.02]
+# Stage 2 (how much, positives only): Poisson GLM strengths x iteration
+# caps, then boosted trees over tree counts x depths x learning rates.
+POISSON_ALPHA = [0.1, 1.0, 5.0]
+POISSON_MAX_ITER = [500, 800]
+REG_TREES = [300, 600, 80]
+REG_DEPTHS = [4, 6, 8]
+REG_LEARNING_RATES = [0.03, 0.05, 0.001]
+SUBSAMPLE = 0.8
+COLSAMPLE = 0.8
+# Small grids (default): one linear and one short boosted model per stage.
+SMALL_TREES = 20
+
+
+def _gbt(n: int, depth: int, lr: float) -> dict:
+    return {"algo": "gbt", "params": {"n_estimators": n, "max_depth": depth, "learning_rate": lr,
+                                      "subsample": SUBSAMPLE, "colsample": COLSAMPLE}}
+
+
 def classifier_grid(size: str = "small") -> list[dict]:
-    """Logistic C in {0.1, 1, 10}; boosted trees n x depth x learning rate."""
-    grid = [{"algo": "logreg", "params": {"C": c, "max_iter": 1000}} for c in (0.1, 1.0, 10.0)]
-    for n, depth, lr in itertools.product([100, 200, 300], [5, 6, 7], [0.05, 0.07, 0.02]):
-        grid.append({"algo": "gbt", "params": {"n_estimators": n, "max_depth": depth, "learning_rate": lr,
-                                               "subsample": 0.8, "colsample": 0.8}})
+    """3 logistic + 27 boosted configs ("full"), or 1 + 1 ("small")."""
+    linear = [{"algo": "logreg", "params": {"C": c, "max_iter": LOGREG_MAX_ITER}} for c in LOGREG_C]
+    trees = [_gbt(n, d, lr) for n, d, lr in itertools.product(CLF_TREES, CLF_DEPTHS, CLF_LEARNING_RATES)]
     if size == "full":
-        return grid
-    # small: one logistic and one (shortened) boosted-tree config
-    small_gbt = {"algo": "gbt", "params": {"n_estimators": 20, "max_depth": 5, "learning_rate": 0.05,
-                                           "subsample": 0.8, "colsample": 0.8}}
-    return [grid[1], small_gbt]
+        return linear + trees
+    return [linear[1], _gbt(SMALL_TREES, CLF_DEPTHS[0], CLF_LEARNING_RATES[0])]
 
 
 def regressor_grid(size: str = "small") -> list[dict]:
-    """Poisson alpha x iterations; boosted trees n x depth x learning rate."""
-    grid = [{"algo": "poisson", "params": {"alpha": a, "max_iter": it}}
-            for a, it in itertools.product([0.1, 1.0, 5.0], [500, 800])]
-    for n, depth, lr in itertools.product([300, 600, 80], [4, 6, 8], [0.03, 0.05, 0.001]):
-        grid.append({"algo": "gbt", "params": {"n_estimators": n, "max_depth": depth, "learning_rate": lr,
-                                               "subsample": 0.8, "colsample": 0.8}})
+    """6 Poisson + 27 boosted configs ("full"), or 1 + 1 ("small")."""
+    linear = [{"algo": "poisson", "params": {"alpha": a, "max_iter": it}}
+              for a, it in itertools.product(POISSON_ALPHA, POISSON_MAX_ITER)]
+    trees = [_gbt(n, d, lr) for n, d, lr in itertools.product(REG_TREES, REG_DEPTHS, REG_LEARNING_RATES)]
     if size == "full":
-        return grid
-    small_gbt = {"algo": "gbt", "params": {"n_estimators": 20, "max_depth": 4, "learning_rate": 0.05,
-                                           "subsample": 0.8, "colsample": 0.8}}
-    return [grid[2], small_gbt]
+        return linear + trees
+    return [linear[2], _gbt(SMALL_TREES, REG_DEPTHS[0], REG_LEARNING_RATES[1])]
 
 
 # ------------------------------------------------------------------ fits

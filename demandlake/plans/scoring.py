@@ -137,4 +137,5 @@ def prediction_log(scored: DataFrame, run_ts: str | None = None) -> DataFrame:
 
 def append_prediction_log(log: DataFrame, path: str) -> None:
     """Append to the log table, partitioned by day."""
-    log.write.mode("append").partitionBy("log_date").parquet(path)
+    from ..sources.lake import rebalance
+    rebalance(log, "log_date").write.mode("append").partitionBy("log_date").parquet(path)

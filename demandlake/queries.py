@@ -919,10 +919,11 @@ def q_csv_scan(spark, sf_dir):
     """S-01: month files written as CSV and read back strictly (9 STRING columns)."""
     from .schemas import RAW_COLUMNS
     from .sources import bronze as B
-    raw = a1_bronze(spark, sf_dir).where("_ingested_at IS NOT NULL").select(
+    raw = a1_bronze(spark, sf_dir).select(
         *[F.col(f"{c}_raw").alias(c) for c in RAW_COLUMNS], F.date_format("_load_month", "yyyy-MM").alias("month"))
     path = _scratch(spark, "csv")
-    (raw.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+    from .sources.lake import rebalance
+    (rebalance(raw, "month").write.option("header", True).option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False).partitionBy("month").csv(path))
     return B.read_events_csv(spark, path).select(*RAW_COLUMNS)
 

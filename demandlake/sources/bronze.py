@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..schemas import BRONZE, MANIFEST, RAW_COLUMNS, RAW_CSV
+from .lake import rebalance
 
 
 def read_events_csv(spark: SparkSession, uri: str, strict: bool = True) -> DataFrame:
@@ -56,13 +57,13 @@ def replace_bronze_month(bronze_month: DataFrame, path: str, load_month: str) ->
     if rows.isEmpty():
         _drop_partition(spark, path, "_load_month", f"{load_month}-01")
         return
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rebalance(rows, "_load_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_load_month").parquet(path))
 
 
 def replace_bronze_months(rows: DataFrame, path: str) -> None:
     """Reload every month present in rows (dynamic partition overwrite)."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rebalance(rows, "_load_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_load_month").parquet(path))
 
 
@@ -89,4 +90,4 @@ def split_raw_by_month(raw: DataFrame, out_path: str, first_full_month: str | No
     df = raw.withColumn("month", m)
     if first_full_month:
         df = df.where(F.col("month") >= F.lit(first_full_month))
-    df.write.mode("overwrite").partitionBy("month").option("header", True).csv(out_path)
+    rebalance(df, "month").write.mode("overwrite").partitionBy("month").option("header", True).csv(out_path)

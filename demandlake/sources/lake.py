@@ -16,6 +16,14 @@ NAMESPACES = {
 }
 
 
+def rebalance(df: DataFrame, partition_col: str) -> DataFrame:
+    """Shuffle rows to writers by the table's partition column before a
+    partitioned write.  AQE coalesces small partitions and splits a skewed
+    one (a hot day), so each partition directory gets a few right-sized
+    files instead of one file per task, and a hot value is not one task."""
+    return df.hint("rebalance", partition_col)
+
+
 def create_namespaces(spark: SparkSession, root: str) -> list[str]:
     """CREATE DATABASE IF NOT EXISTS for the five namespaces under root."""
     made = []
@@ -57,7 +65,7 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
     """
     spark = source.sparkSession
     if not path_exists(spark, path):
-        source.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        rebalance(source, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return source
     parts = source.select(partition_col).distinct()
     target = spark.read.parquet(path)
@@ -71,7 +79,7 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
     from ..session import checkpoint_dir
     checkpoint_dir(spark)
     staged = merged.checkpoint(eager=True)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rebalance(staged, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(path))
     return staged
 
