@@ -35,29 +35,57 @@ HEADLINE = [
 ]
 
 
+def _walk_plan(info: dict):
+    yield info
+    for child in info.get("children", []):
+        yield from _walk_plan(child)
+
+
 def _event_metrics(log_dir: str) -> dict[str, dict[str, int]]:
-    """Per job group: shuffle bytes written and input bytes read."""
+    """Per job group: shuffle bytes written (task metrics) and bytes of the
+    scanned files (the scan nodes' driver-side "size of files read" metric;
+    task-level bytesRead misses parquet reads on the local file system)."""
     stage_group: dict[int, str] = {}
+    exec_group: dict[int, str] = {}
+    scan_ids: dict[int, set] = {}
+    scan_bytes: dict[int, int] = {}
     out: dict[str, dict[str, int]] = {}
     files = [p for p in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True) if os.path.isfile(p)]
     for path in sorted(files):
         with open(path) as fh:
             for line in fh:
                 ev = json.loads(line)
-                kind = ev.get("Event")
+                kind = ev.get("Event", "")
                 if kind == "SparkListenerJobStart":
-                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    props = ev.get("Properties") or {}
+                    group = props.get("spark.jobGroup.id")
                     if group:
                         for sid in ev.get("Stage IDs", []):
                             stage_group[sid] = group
+                        if props.get("spark.sql.execution.id") is not None:
+                            exec_group[int(props["spark.sql.execution.id"])] = group
                 elif kind == "SparkListenerTaskEnd":
                     group = stage_group.get(ev.get("Stage ID"))
                     tm = ev.get("Task Metrics") or {}
-                    if not group:
-                        continue
-                    acc = out.setdefault(group, {"shuffle_bytes": 0, "input_bytes": 0})
-                    acc["shuffle_bytes"] += (tm.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
-                    acc["input_bytes"] += (tm.get("Input Metrics") or {}).get("Bytes Read", 0)
+                    if group:
+                        acc = out.setdefault(group, {"shuffle_bytes": 0, "input_bytes": 0})
+                        acc["shuffle_bytes"] += (tm.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                elif kind.endswith("SparkListenerSQLExecutionStart") or kind.endswith("SparkListenerSQLAdaptiveExecutionUpdate"):
+                    ids = scan_ids.setdefault(int(ev["executionId"]), set())
+                    for node in _walk_plan(ev.get("sparkPlanInfo") or {}):
+                        for m in node.get("metrics", []):
+                            if m.get("name") == "size of files read":
+                                ids.add(int(m["accumulatorId"]))
+                elif kind.endswith("SparkListenerDriverAccumUpdates"):
+                    eid = int(ev["executionId"])
+                    ids = scan_ids.get(eid, set())
+                    for acc_id, value in ev.get("accumUpdates", []):
+                        if int(acc_id) in ids:
+                            scan_bytes[eid] = scan_bytes.get(eid, 0) + int(value)
+    for eid, b in scan_bytes.items():
+        group = exec_group.get(eid)
+        if group:
+            out.setdefault(group, {"shuffle_bytes": 0, "input_bytes": 0})["input_bytes"] += b
     return out
 
 
