@@ -130,13 +130,39 @@ def favorite_brand(windowed: DataFrame, keys=("user_id",)) -> DataFrame:
     return _top1(windowed.where(F.col("brand").isNotNull()), list(keys), ["brand"], "_fb")
 
 
+CATEGORY_COLS = ["category_l1", "category_l2", "category_l3"]
+
+
+def favorites(windowed: DataFrame, keys=("user_id",)) -> DataFrame:
+    """Favourite category tuple and favourite brand per key in ONE pass.
+
+    Grouping sets count (keys, category tuple) and (keys, brand) from a
+    single scan; a second aggregate picks both top-1s with min_by over
+    (-count, values) (ties: ascending values, NULLs first).  Rows whose
+    category_l1 / brand is NULL form their own group and are dropped, which
+    equals filtering them before counting.
+    """
+    keys = list(keys)
+    cols = keys + CATEGORY_COLS + ["brand"]
+    counted = (windowed.select(*cols)
+               .groupingSets([keys + CATEGORY_COLS, keys + ["brand"]], *cols)
+               .agg(F.count(F.lit(1)).alias("_n"), F.grouping("brand").alias("_is_cat")))
+    is_cat = (F.col("_is_cat") == 1) & F.col("category_l1").isNotNull()
+    is_brand = (F.col("_is_cat") == 0) & F.col("brand").isNotNull()
+    neg = (-F.col("_n")).alias("_neg")
+    return counted.groupBy(*keys).agg(
+        F.min_by(F.struct(*CATEGORY_COLS), F.when(is_cat, F.struct(neg, *CATEGORY_COLS))).alias("_fc"),
+        F.min_by(F.struct("brand"), F.when(is_brand, F.struct(neg, "brand"))).alias("_fb"),
+    )
+
+
 def user_features_monthly(fct: DataFrame, snapshot_date) -> DataFrame:
     """gold.user_features_monthly for one snapshot.
 
     Counts, sessions, purchase price average (window) and the last purchase
-    (history) come from one grouped pass; favourites from the window.  All
-    three sides end hash-partitioned on user_id, so the left joins add no
-    exchange of their own.
+    (history) come from one grouped pass; both favourites from one
+    grouping-sets pass over the window.  Both sides end hash-partitioned on
+    user_id, so the left join adds no exchange of its own.
     """
     win = in_window(snapshot_date)
     snap = _snap(snapshot_date)
@@ -148,8 +174,7 @@ def user_features_monthly(fct: DataFrame, snapshot_date) -> DataFrame:
         F.max(F.when(_is("purchase"), F.col("event_ts"))).alias("_last_purchase_ts"),
     ).where(F.col("_w") > 0)
     windowed = fct.where(win).select("user_id", "category_l1", "category_l2", "category_l3", "brand")
-    j = (base.join(favorite_category(windowed), "user_id", "left")
-             .join(favorite_brand(windowed), "user_id", "left"))
+    j = base.join(favorites(windowed), "user_id", "left")
     return _user_output(j.withColumn("_snap", snap), "_last_purchase_ts")
 
 
@@ -268,8 +293,7 @@ def user_features_backfill(fct: DataFrame, snapshot_dates=None) -> DataFrame:
                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     base = base.withColumn("_last_purchase_ts", F.max("_lp_m").over(running))
     keys = ["user_id", "_m"]
-    j = (base.join(favorite_category(e, keys), keys, "left")
-             .join(favorite_brand(e, keys), keys, "left"))
+    j = base.join(favorites(e, keys), keys, "left")
     out = _user_output(j.withColumn("_snap", F.add_months("_m", 1)), "_last_purchase_ts")
     return _keep_snapshots(out, snapshot_dates)
 
