@@ -902,7 +902,7 @@ def q_fn_log1p(spark, sf_dir):
 @query("run_params")
 def q_run_params(spark, sf_dir):
     """D-01: load month -> snapshot date and source object per loaded month."""
-    from .plans.pipeline import run_params
+    from .plans.monthly import run_params
     months = a1_bronze(spark, sf_dir).select(X.format_month("_load_month").alias("load_month")).distinct()
     return run_params(months)
 
@@ -998,7 +998,7 @@ def q_interactions_backfill(spark, sf_dir):
 # ------------------------------------------------ model training (rows-only)
 # Iterative model fits have no SQL equivalent: these keys have no oracle and
 # are checked on rows and schema only.
-ROWS_ONLY = {"stage1_search", "stage2_search", "train_pipeline"}
+ROWS_ONLY = {"stage1_search", "stage2_search", "hurdle_training"}
 
 
 def _train_val(spark, sf_dir):
@@ -1026,9 +1026,9 @@ def q_stage2(spark, sf_dir):
     return board.drop("params")
 
 
-@query("train_pipeline")
+@query("hurdle_training")
 def q_train(spark, sf_dir):
     """ML-14: end-to-end training; hurdle / baseline / ensemble comparison."""
     from .plans import training as TR
-    res = TR.train_pipeline(a1_training(spark, sf_dir), grid_size="small")
+    res = TR.train_hurdle_model(a1_training(spark, sf_dir), grid_size="small")
     return res["comparison"]

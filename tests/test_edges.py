@@ -165,7 +165,7 @@ def test_valid_event_types_ignores_null(spark):
 
 
 def test_run_params_december_rollover():
-    from demandlake.plans.pipeline import compute_run_params
+    from demandlake.plans.monthly import compute_run_params
     assert compute_run_params("2020-12")["snapshot_date"] == "2021-01-01"
     with pytest.raises(ValueError):
         compute_run_params("2020-1")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandlake.operators import gold, silver
-from demandlake.plans import pipeline as P
+from demandlake.plans import monthly as P
 from demandlake.plans import scoring as SC
 from demandlake.sources import bronze as B
 from demandlake.sources import fixtures as FX

@@ -8,9 +8,9 @@ from demandlake.plans import models as MD
 from demandlake.plans import training as TR
 
 
-def test_train_pipeline_small_grid(spark, sf_dir, tmp_lake):
+def test_hurdle_training_small_grid(spark, sf_dir, tmp_lake):
     from demandlake.queries import a1_training
-    res = TR.train_pipeline(a1_training(spark, sf_dir), out_dir=tmp_lake, grid_size="small")
+    res = TR.train_hurdle_model(a1_training(spark, sf_dir), out_dir=tmp_lake, grid_size="small")
     assert res["stage1"].count() == 2 and res["stage2"].count() == 2
     assert res["comparison"].count() == 4 and res["blend"].count() == 21
     preds = res["validation_predictions"]

@@ -27,10 +27,10 @@ ROWS = [
     ("S-10", "plans/training.load_training_frame", "", "test_lifecycle::test_load_training_frame_from_lake"),
     ("S-11", "plans/scoring.append_prediction_log", "prediction_log",
      "test_lifecycle::test_append_prediction_log_and_latest_report"),
-    ("S-12", "plans/training.write_csv_report", "", "test_training::test_train_pipeline_small_grid"),
+    ("S-12", "plans/training.write_csv_report", "", "test_training::test_hurdle_training_small_grid"),
     ("S-13", "sources/bronze.split_raw_by_month", "split_raw_by_month", ""),
     ("S-14", "sources/bronze.read_manifest", "", "test_lifecycle::test_read_manifest"),
-    ("S-15", "plans/models.SparkHurdleModel.save/load", "", "test_training::test_train_pipeline_small_grid"),
+    ("S-15", "plans/models.SparkHurdleModel.save/load", "", "test_training::test_hurdle_training_small_grid"),
     ("P-01", "operators/silver.parse_events", "parse_events", "test_edges::test_text_cleaning_tabs_and_blanks"),
     ("P-02", "operators/silver.valid_events", "valid_events", ""),
     ("P-03", "functions/scalars.event_identity", "event_identity", ""),
@@ -69,7 +69,7 @@ ROWS = [
      "test_edges::test_never_viewed_pair_has_null_recency"),
     ("F-05", "user_features_monthly.days_since_last_purchase", "days_since_last_purchase", ""),
     ("F-06", "functions/scalars.recency_score", "user_product_interactions_monthly", ""),
-    ("F-07", "operators/gold.*_backfill, plans/pipeline.backfill_one_job", "backfill_snapshots",
+    ("F-07", "operators/gold.*_backfill, plans/monthly.backfill_one_job", "backfill_snapshots",
      "test_edges::test_backfill_equals_single_runs, test_lifecycle::test_one_job_backfill_equals_monthly_runs"),
     ("W-01", "operators/silver.dedup_events", "dedup_events", "test_edges::test_dedup_prefers_older_valid_copy"),
     ("W-02", "operators/silver.session_event_rank", "session_event_rank", ""),
@@ -83,7 +83,7 @@ ROWS = [
     ("R-04", "operators/reports.report_orphan_products", "report_orphan_products", ""),
     ("R-05", "operators/reports.report_latest_predictions", "report_latest_predictions", ""),
     ("R-06", "operators/reports.leaderboard_sort / best_of", "leaderboard_sort", ""),
-    ("R-07", "plans/training.feature_importance_topk", "", "test_training::test_train_pipeline_small_grid"),
+    ("R-07", "plans/training.feature_importance_topk", "", "test_training::test_hurdle_training_small_grid"),
     ("A-01", "operators/quality.assert_events_primary_keys", "assert_events_primary_keys", ""),
     ("A-02", "operators/quality.assert_load_month_in_bronze", "assert_load_month_in_bronze", ""),
     ("A-03", "operators/quality.assert_snapshot_date_after_events", "assert_snapshot_date_after_events",
@@ -134,7 +134,7 @@ ROWS = [
     ("ML-01", "plans/models.classifier_grid", "stage1_search", ""),
     ("ML-02", "plans/models.classifier_pipeline (logistic)", "stage1_search", ""),
     ("ML-03", "plans/models.classifier_pipeline (GBT)", "stage1_search", ""),
-    ("ML-04", "plans/models.stage1_search", "stage1_search", "test_training::test_train_pipeline_small_grid"),
+    ("ML-04", "plans/models.stage1_search", "stage1_search", "test_training::test_hurdle_training_small_grid"),
     ("ML-05", "plans/models.regressor_grid", "stage2_search", ""),
     ("ML-06", "plans/models.regressor_pipeline (Poisson GLM), sample_weights", "sample_weights", ""),
     ("ML-07", "plans/models.regressor_pipeline (GBT on log1p)", "stage2_search", ""),
@@ -144,7 +144,7 @@ ROWS = [
     ("ML-11", "operators/hurdle.blend_search / best_blend", "blend_search", "test_edges::test_blend_ties_pick_lowest_weight"),
     ("ML-12", "operators/hurdle.model_comparison", "model_comparison", ""),
     ("ML-13", "plans/training (validation predictions)", "validation_predictions", ""),
-    ("ML-14", "plans/training.train_pipeline", "train_pipeline", "test_training::test_train_pipeline_small_grid"),
+    ("ML-14", "plans/training.train_hurdle_model", "hurdle_training", "test_training::test_hurdle_training_small_grid"),
     ("SC-01", "plans/scoring.scoring_features", "scoring_features", ""),
     ("SC-02", "plans/scoring.scoring_lookup", "scoring_lookup", ""),
     ("SC-03", "plans/scoring.align_features", "align_features", ""),
@@ -154,10 +154,10 @@ ROWS = [
     ("SC-06", "plans/scoring.prediction_log", "prediction_log", ""),
     ("SC-07", "streaming/score_stream.score_stream", "",
      "test_lifecycle::test_stream_scoring_equals_batch_and_is_exactly_once"),
-    ("D-01", "plans/pipeline.run_params / compute_run_params", "run_params", "test_edges::test_run_params_december_rollover"),
-    ("D-02", "plans/pipeline.run_month", "", "test_lifecycle::test_monthly_runs_load_bronze_and_silver"),
-    ("D-03", "plans/pipeline.run_month(run_id=None) -> manual_<month>", "", "test_lifecycle::test_reload_is_idempotent"),
-    ("D-04", "plans/pipeline.backfill / backfill_one_job", "", "test_lifecycle::test_one_job_backfill_equals_monthly_runs"),
+    ("D-01", "plans/monthly.run_params / compute_run_params", "run_params", "test_edges::test_run_params_december_rollover"),
+    ("D-02", "plans/monthly.run_month", "", "test_lifecycle::test_monthly_runs_load_bronze_and_silver"),
+    ("D-03", "plans/monthly.run_month(run_id=None) -> manual_<month>", "", "test_lifecycle::test_reload_is_idempotent"),
+    ("D-04", "plans/monthly.backfill / backfill_one_job", "", "test_lifecycle::test_one_job_backfill_equals_monthly_runs"),
 ]
 
 
