@@ -69,3 +69,12 @@ def test_blend_search_is_one_pass_without_joins(spark):
         p = plan(out)
         assert "Join" not in p and "Expand" not in p
         assert p.count("Exchange SinglePartition") <= 1
+
+
+def test_user_mart_scans_silver_twice(lake_fct):
+    """Counts + history in one pass, both favourites in one grouping-sets pass."""
+    df = gold.user_features_monthly(lake_fct, "1998-01-01")
+    df.collect()
+    p = plan(df)
+    assert sum(1 for line in p.split("\n") if "FileScan" in line) == 2
+    assert "Expand" in p
