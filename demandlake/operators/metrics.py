@@ -79,15 +79,17 @@ def score_cumulatives(df: DataFrame, label: str, score: str, partitions: int | N
        offsets over that tiny table -> broadcast back;
     4. running sums inside each partition + offset.
 
-    Both branches read the same range exchange (Spark reuses it; a lost map
-    output is recomputed with the same range bounds), so the partition ids
-    seen by the totals and by the running sums agree.
+    The range-partitioned distinct-score table is written once as a
+    reliable checkpoint (one row per distinct score): the totals and the
+    running sums both read the stored partition ids, so they agree by
+    construction, also when an executor is lost and work is redone.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = df.groupBy(_d(score).alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
-    r = g.repartitionByRange(n, F.col("_s").desc()).withColumn("_pid", F.spark_partition_id())
+    from ..session import materialize
+    r = materialize(g.repartitionByRange(n, F.col("_s").desc()).withColumn("_pid", F.spark_partition_id()))
     totals = r.groupBy("_pid").agg(F.sum("pos").alias("_pt"), F.sum("neg").alias("_nt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
