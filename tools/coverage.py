@@ -126,10 +126,10 @@ ROWS = [
     ("M-02", "operators/metrics.regression_metrics", "metric_rmse", ""),
     ("M-03", "operators/metrics.regression_metrics", "metric_rmsle", ""),
     ("M-04", "operators/metrics.regression_metrics", "metric_wape", "test_edges::test_zero_wape_denominator"),
-    ("M-05", "operators/metrics.confusion_metrics", "metric_confusion", ""),
+    ("M-05", "operators/metrics.confusion_metrics", "metric_confusion", "test_properties::test_classification_metrics_match_brute_force"),
     ("M-06", "operators/metrics.ranking_metrics (score_cumulatives)", "metric_roc_auc",
-     "test_edges::test_metrics_against_hand_values"),
-    ("M-07", "operators/metrics.ranking_metrics", "metric_average_precision", "test_edges::test_single_class_labels"),
+     "test_edges::test_metrics_against_hand_values, test_properties::test_classification_metrics_match_brute_force"),
+    ("M-07", "operators/metrics.ranking_metrics", "metric_average_precision", "test_edges::test_single_class_labels, test_properties::test_classification_metrics_match_brute_force"),
     ("M-08", "operators/metrics.regression_metrics / classification_metrics", "classification_metrics", ""),
     ("ML-01", "plans/models.classifier_grid", "stage1_search", ""),
     ("ML-02", "plans/models.classifier_pipeline (logistic)", "stage1_search", ""),
@@ -141,7 +141,7 @@ ROWS = [
     ("ML-08", "plans/models.stage2_search", "stage2_search", ""),
     ("ML-09", "operators/hurdle.hurdle_combine", "hurdle_combine", "test_edges::test_hurdle_soft_and_hard"),
     ("ML-10", "operators/hurdle.baseline_prediction", "baseline_prediction", ""),
-    ("ML-11", "operators/hurdle.blend_search / best_blend", "blend_search", "test_edges::test_blend_ties_pick_lowest_weight"),
+    ("ML-11", "operators/hurdle.blend_search / best_blend", "blend_search", "test_edges::test_blend_ties_pick_lowest_weight, test_properties::test_best_blend_is_the_brute_force_argmin"),
     ("ML-12", "operators/hurdle.model_comparison", "model_comparison", ""),
     ("ML-13", "plans/training (validation predictions)", "validation_predictions", ""),
     ("ML-14", "plans/training.train_hurdle_model", "hurdle_training", "test_training::test_hurdle_training_small_grid"),
