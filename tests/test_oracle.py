@@ -52,3 +52,11 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) == set(E.queries()) - ROWS_ONLY
+
+
+def test_every_oracle_binds_in_duckdb():
+    """Each oracle statement parses and binds (EXPLAIN) against the tables."""
+    con = duck("/root/testdata/sf0.001")
+    for name, sql in ORACLE_SQL.items():
+        con.execute("EXPLAIN " + sql)
+    assert set(ORACLE_SQL) <= set(QUERIES)
