@@ -33,11 +33,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in spark.checkpoint.dir.
 
-    Only when the setting is absent (local tests) a scratch folder is made
-    and registered; on a cluster the configured shared folder is used.
+    Only on a local master, where driver and executors are one process, a
+    scratch folder is made if the setting is absent.  A cluster without the
+    setting is an error: a folder on one machine would lose data.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="demandlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     try:
