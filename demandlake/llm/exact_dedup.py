@@ -37,7 +37,8 @@ def frequent_keys(slim: DataFrame) -> DataFrame:
     key = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long")
     sketches = (slim.select(key.alias("key"), F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part"))
                 .groupBy("part").agg(F.expr(f"approx_top_k_accumulate(key, {SKETCH_ITEMS})").alias("sketch")))
-    return (sketches.agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"))
+    # Grouped by a key that is always 0: a merge without one starts from an untyped sketch where a task has no rows.
+    return (sketches.groupBy(F.pmod("part", F.lit(1)).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"))
             .select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {2 * HEAVY_SHARE})")).alias("top"))
             .select(F.col("top.item").alias("key")).distinct())
 
