@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm import exact_dedup, packing, simhash
+from demandlake.llm import exact_dedup, packing, simhash, toxicity
 from demandlake.llm.common import documents
 
 
@@ -14,6 +14,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents by the pattern grammar."""
+    return toxicity.query(spark, documents(spark, sf_dir), sf_dir)
+
+
 def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents whose SimHash fingerprints differ in at most 3 bits."""
     return simhash.groups(documents(spark, sf_dir)).select(
@@ -28,6 +33,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash_neardup": op4_simhash_neardup,
     "op6_exact_dedup": op6_exact_dedup,
 }
