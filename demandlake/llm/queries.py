@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm import exact_dedup, packing, simhash, toxicity
+from demandlake.llm import exact_dedup, mixing, packing, simhash, toxicity
 from demandlake.llm.common import documents
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schedule that reads all documents with temperature weights, no source more than twice."""
+    return mixing.schedule(documents(spark, sf_dir)).select(
+        "doc_id", "source", "tokens", "epoch", "position", "block", "weight", "exponent")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Power-of-two packing of all documents into sequences of at most 2048 tokens."""
     return packing.packed(documents(spark, sf_dir))
@@ -32,6 +38,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_neardup": op4_simhash_neardup,
