@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm import exact_dedup, mixing, packing, simhash, toxicity
+from demandlake.llm import exact_dedup, langid, mixing, packing, simhash, toxicity
 from demandlake.llm.common import documents
 
 
@@ -37,12 +37,18 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents by Kneser-Ney character models."""
+    return langid.query(spark, documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_neardup": op4_simhash_neardup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_langid": op9_langid,
 }
 
 ORACLE_SQL = {
