@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm import exact_dedup, langid, mixing, packing, simhash, toxicity
+from demandlake.llm import exact_dedup, langid, mixing, packing, quality_gam, simhash, toxicity
 from demandlake.llm.common import documents
 
 
@@ -37,6 +37,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by an additive model with pairs."""
+    return quality_gam.query(spark, documents(spark, sf_dir), sf_dir)
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents by Kneser-Ney character models."""
     return langid.query(spark, documents(spark, sf_dir))
@@ -48,6 +53,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_simhash_neardup": op4_simhash_neardup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_quality_gam": op8_quality_gam,
     "op9_langid": op9_langid,
 }
 
