@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm import exact_dedup, langid, mixing, packing, quality_gam, simhash, toxicity
+from demandlake.llm import exact_dedup, langid, mixing, packing, quality_gam, quality_rules, simhash, toxicity
 from demandlake.llm.common import documents
 
 
@@ -31,6 +31,12 @@ def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and robust outliers of all documents by language and source."""
+    return quality_rules.judged(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal texts of all documents, dropped rows included."""
     return exact_dedup.groups(documents(spark, sf_dir)).select(
@@ -52,6 +58,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_neardup": op4_simhash_neardup,
+    "op5_quality_rules": op5_quality_rules,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_quality_gam": op8_quality_gam,
     "op9_langid": op9_langid,
