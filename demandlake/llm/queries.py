@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm import exact_dedup, langid, mixing, packing, quality_gam, quality_rules, simhash, toxicity
+from demandlake.llm import exact_dedup, langid, mixing, packing, pii, quality_gam, quality_rules, simhash, toxicity
 from demandlake.llm.common import documents
 
 
@@ -43,6 +43,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: base counts and spans, and the spans that the method adds."""
+    base = pii.as_text(F.col("base"))
+    return pii.spans(documents(spark, sf_dir)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(base, 256).alias("base_sha256"),
+        F.concat_ws(",", F.nullif(base, F.lit("")), F.nullif(pii.as_text(F.col("added")), F.lit(""))).alias("spans"))
+
+
 def op8_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents by an additive model with pairs."""
     return quality_gam.query(spark, documents(spark, sf_dir), sf_dir)
@@ -60,6 +68,7 @@ QUERIES = {
     "op4_simhash_neardup": op4_simhash_neardup,
     "op5_quality_rules": op5_quality_rules,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_pii": op7_pii,
     "op8_quality_gam": op8_quality_gam,
     "op9_langid": op9_langid,
 }
