@@ -31,59 +31,47 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 def encoder(path: str, cache_items: int = 400_000):
     """A function from a text to its ids as little-endian unsigned 32-bit bytes.
 
-    The tokenizer cuts a text before byte pairs are merged, and a space that is
-    followed by a visible character always starts a new cut.  So a text is split
-    there and the ids of every part come from a cache; parts not seen before go
-    through the tokenizer.  Texts with control characters that separators
-    disagree on, or with a special token's string, take the tokenizer whole.
+    path is a byte-level BPE file whose ids are in the order of its merges.
+    The tokenizer cuts a text into words before it merges bytes, and a space
+    that is followed by a visible character always starts a word.  So a text is
+    split there and the ids of every part come from a cache; parts not seen
+    before are cut and merged from the file's vocabulary.  Texts with control
+    characters that Python alone takes for white space, or with a special
+    token's string, take the tokenizer whole.
     """
     import re
+    from array import array
 
-    import numpy as np
+    import tiktoken
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    merge = tokenizer.model.tokenize
-    split = re.compile(r" (?=\S)").split
-    odd = re.compile("[\x1c-\x1f\x85᠎]").search
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
     hidden = [b for b in range(256) if b not in visible]
-    letters = {b: chr(256 + hidden.index(b)) if b in hidden else chr(b) for b in range(256)}
-
-    def pack(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
-
-    def whole(text: str) -> bytes:
-        return pack(tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def word(part: str) -> bytes:
-        return pack([t.id for t in merge((" " + part).encode().decode("latin-1").translate(letters))])
+    byte = {chr(256 + hidden.index(b)) if b in hidden else chr(b): b for b in range(256)}
+    ranks = {bytes(byte[c] for c in word): rank for word, rank in tokenizer.get_vocab(with_added_tokens=True).items()
+             if word not in specials}
+    # Fixed value: the cut that byte-level tokenizers of this kind make.
+    words = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    merge = tiktoken.Encoding("ranks", pat_str=words, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    split = re.compile(r" (?=\S)").split
+    whole = re.compile("|".join(["[\x1c-\x1f]", *map(re.escape, specials)])).search
 
     class Parts(dict):
         def __missing__(self, part: str) -> bytes:
             if len(self) >= cache_items:
                 self.clear()
-            body = part.rstrip(".,")
-            if body.isalpha():
-                ids = word(part) if body == part else self[body] + tail[part[len(body):]]
-            else:
-                ids = whole(" " + part)
-            self[part] = ids
-            return ids
-
-    class Tails(dict):
-        def __missing__(self, end: str) -> bytes:
-            self[end] = ids = whole(end)
+            self[part] = ids = array("I", merge(" " + part)).tobytes()
             return ids
 
-    parts, tail = Parts(), Tails()
+    parts = Parts()
 
     def encode(text: str) -> bytes:
-        if odd(text) or any(s in text for s in special):
-            return whole(text)
+        if whole(text):
+            return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         first, *rest = split(text)
-        return whole(first) + b"".join(map(parts.__getitem__, rest))
+        return array("I", merge(first)).tobytes() + b"".join(map(parts.__getitem__, rest))
 
     return encode
 
