@@ -64,13 +64,14 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of docs that kept(_id_key, _text_key) names, one of each repeated row.
 
     One exchange of docs: the rank that takes one of each repeated row starts
-    before the shuffle, and the semi join reuses its partitioning.
+    before the shuffle, and the semi join reuses its partitioning.  The row
+    travels as one struct, so its column names clash with nothing.
     """
     keys = ["_id_key", "_text_key"]
-    one = (row_keys(docs)
-           .withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.length("text"))))
+    rows = row_keys(docs.select(F.col("doc_id"), F.col("text"), F.struct(*docs.columns).alias("_row"))).select(*keys, "_row")
+    one = (rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.length("_row.text"))))
            .where("_rank = 1"))
-    return one.join(kept.select(*keys).distinct(), keys, "left_semi").select(*docs.columns)
+    return one.join(kept.select(*keys).distinct(), keys, "left_semi").select("_row.*")
 
 
 def running_offsets(counts: DataFrame, group: list[str], shard: str, value: str, name: str) -> DataFrame:

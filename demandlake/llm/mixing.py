@@ -153,5 +153,6 @@ def mixed(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, max_epochs: f
     last = F.struct(_shard(F.col("_last")).alias("shard"), F.col("_last").alias("key")) <= F.struct(
         F.col("end.shard").alias("shard"), F.col("end.key").alias("key"))
     times = F.col("end.epoch") + F.when(last, 1).otherwise(0)
-    return (_named(docs).join(ends, "_source").withColumn("_last", key)
-            .withColumn("_time", F.explode(F.sequence(F.lit(0), times))).where("_time > 0").select(*docs.columns))
+    rows = _named(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_row")))
+    return (rows.join(ends, "_source").withColumn("_last", key)
+            .withColumn("_time", F.explode(F.sequence(F.lit(0), times))).where("_time > 0").select("_row.*"))

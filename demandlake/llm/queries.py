@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm import exact_dedup, langid, mixing, packing, pii, quality_gam, quality_rules, simhash, toxicity
+from demandlake.llm import exact_dedup, langid, mixing, packing, pii, quality_gam, quality_rules, simhash, toxicity, warc
 from demandlake.llm.common import documents
 
 
@@ -61,6 +61,11 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.query(spark, documents(spark, sf_dir))
 
 
+def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle audit of all pages as WARC records in two replicas."""
+    return warc.fixity(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -71,9 +76,37 @@ QUERIES = {
     "op7_pii": op7_pii,
     "op8_quality_gam": op8_quality_gam,
     "op9_langid": op9_langid,
+    "op10_warc_fixity": op10_warc_fixity,
 }
 
+_RECORD = """'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+    || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+    || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))::VARCHAR
+    || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)"""
+
 ORACLE_SQL = {
+    "op10_warc_fixity": f"""
+        WITH own AS (SELECT page_id, url, html, {_RECORD} AS r FROM pages),
+        bad AS (SELECT page_id, url, sha256(r) AS own_sha,
+                       CASE WHEN sha256(r)[1:2] = 'a7' AND length(html) > 0 THEN '~' || html[2:] ELSE html END AS html FROM own),
+        rec AS (SELECT 1 AS replica, page_id, url, strlen(r) AS length, sha256(r) AS record_sha256 FROM own
+                UNION ALL SELECT 2, page_id, url, strlen({_RECORD}), sha256({_RECORD}) FROM bad),
+        leaf AS (SELECT *, coalesce(floor(page_id / 1024.0)::BIGINT, -1) AS file_id FROM rec),
+        placed AS (SELECT *, row_number() OVER w - 1 AS position,
+                          coalesce(sum(length) OVER (PARTITION BY replica, file_id ORDER BY page_id, url, record_sha256
+                                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
+                   FROM leaf WINDOW w AS (PARTITION BY replica, file_id ORDER BY page_id, url, record_sha256)),
+        l0 AS (SELECT replica, file_id, position AS node,
+                      sha256("offset"::VARCHAR || ':' || length::VARCHAR || ':' || record_sha256) AS hash FROM placed),
+        l1 AS (SELECT replica, file_id, node // 16 AS node, sha256(string_agg(hash, '' ORDER BY node)) AS hash FROM l0 GROUP BY ALL),
+        l2 AS (SELECT replica, file_id, node // 16 AS node, sha256(string_agg(hash, '' ORDER BY node)) AS hash FROM l1 GROUP BY ALL),
+        l3 AS (SELECT replica, file_id, node // 16 AS node, sha256(string_agg(hash, '' ORDER BY node)) AS hash FROM l2 GROUP BY ALL)
+        SELECT a.page_id, a.file_id, a.position, a."offset", a.length, a.record_sha256, x.hash AS root, y.hash AS replica_root,
+               p.hash IS DISTINCT FROM q.hash AS differs
+        FROM placed a JOIN l0 p ON p.replica = 1 AND p.file_id = a.file_id AND p.node = a.position
+        LEFT JOIN l0 q ON q.replica = 2 AND q.file_id = a.file_id AND q.node = a.position
+        JOIN l3 x ON x.replica = 1 AND x.file_id = a.file_id JOIN l3 y ON y.replica = 2 AND y.file_id = a.file_id
+        WHERE a.replica = 1""",
     "op6_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256

@@ -153,7 +153,7 @@ def features(found: list[tuple[int, int, str, float, str]]) -> list[float]:
 
 def _text_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, label, fold) of the labelled documents; labels are a bounded sample, so they are broadcast."""
-    return (docs.join(F.broadcast(labels), "doc_id")
+    return (docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id")
             .select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), "label",
                     (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5).cast("int").alias("fold")))
 
