@@ -289,12 +289,10 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     arcs, (bias, *weights) = model["arcs"], model["weights"]
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from math import exp
-
         read = lexer(arcs)
         for b in batches:
             line = [bias + sum(f * w for f, w in zip(features(clauses(t or "", read, arcs)), weights))
                     for t in b.column(b.schema.get_field_index("text")).to_pylist()]
-            yield b.filter(pa.array([1 / (1 + exp(-x)) < 0.5 for x in line], pa.bool_()))
+            yield b.filter(pa.array([x < 0 for x in line], pa.bool_()))  # a score below 0.5
 
     return docs.mapInArrow(keep, docs.schema)
