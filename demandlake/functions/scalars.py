@@ -9,8 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters treated as white space by the text cleaners
-# (space, tab, line feed, carriage return, vertical tab, form feed).
-WHITESPACE = " \t\n\r\x0b\x0c"
+# (those with the Unicode property White_Space).
+WHITESPACE = " \t\n\r\x0b\x0c\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # The event types kept in silver.
 VALID_EVENT_TYPES = ("view", "cart", "purchase")
 # Weights of the interaction score (view, cart, purchase).
@@ -26,7 +26,7 @@ def _c(col) -> Column:
 
 
 def trim_ws(col) -> Column:
-    """TRIM that strips all ASCII white space, not only spaces."""
+    """TRIM that strips all Unicode white space, not only spaces."""
     return F.btrim(_c(col), F.lit(WHITESPACE))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,12 +32,11 @@ def compute_run_params(load_month: str) -> dict:
     """Driver-side twin of run_params for one month (validates the pattern)."""
     if not MONTH_PATTERN.match(load_month or ""):
         raise ValueError(f"load_month must look like YYYY-MM, got {load_month!r}")
-    year, month = (int(p) for p in load_month.split("-"))
-    if not 1 <= month <= 12:
-        raise ValueError(f"invalid month in {load_month!r}")
-    sy, sm = (year + 1, 1) if month == 12 else (year, month + 1)
-    return {"load_month": load_month, "snapshot_date": f"{sy:04d}-{sm:02d}-01",
-            "gcs_object": f"events/month={load_month}/events_{load_month}.csv"}
+    first = date.fromisoformat(f"{load_month}-01")  # raises ValueError for a month that is none
+    snapshot = (first + timedelta(days=31)).replace(day=1)
+    folder = f"month={load_month}"
+    return {"load_month": load_month, "snapshot_date": snapshot.isoformat(),
+            "gcs_object": "/".join(("events", folder, f"events_{load_month}.csv"))}
 
 
 def run_month(spark, lake_root: str, load_month: str, raw_uri: str, run_id: str | None = None,
@@ -61,11 +61,14 @@ def run_month(spark, lake_root: str, load_month: str, raw_uri: str, run_id: str
 
     raw = B.read_events_csv(spark, raw_uri, strict=strict)
     month_rows = B.to_bronze(raw, raw_uri, B.load_id_for(load_month, run_id), load_month)
-    B.replace_bronze_month(month_rows, p["raw_events"], load_month)
+    B.replace_bronze_month(L.stage(month_rows), p["raw_events"], load_month)
+    L.publish(spark, "bronze.raw_events")
     bronze = B.read_bronze(spark, p["raw_events"])
 
     new_events = silver.fct_events(bronze, load_month=load_month, strict=strict)
-    L.upsert(new_events, p["fct_events"], ["event_id"], "event_date")
+    # event_id hashes event_ts, so a key cannot change its date
+    L.upsert(new_events, p["fct_events"], ["event_id"], "event_date", key_fixes_partition=True,
+             cluster_cols=["event_type", "product_id", "user_id"])
     fct = spark.read.parquet(p["fct_events"])
 
     cal = silver.calendar_dates(fct)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..schemas import BRONZE, MANIFEST, RAW_COLUMNS, RAW_CSV
-from .lake import rebalance
+from .lake import drop_path, rebalance
 
 
 def read_events_csv(spark: SparkSession, uri: str, strict: bool = True) -> DataFrame:
@@ -55,7 +55,7 @@ def replace_bronze_month(bronze_month: DataFrame, path: str, load_month: str) ->
     spark = bronze_month.sparkSession
     rows = bronze_month.where(F.col("_load_month") == X.parse_month(F.lit(load_month)))
     if rows.isEmpty():
-        _drop_partition(spark, path, "_load_month", f"{load_month}-01")
+        drop_path(spark, f"{path.rstrip('/')}/_load_month={load_month}-01")
         return
     (rebalance(rows, "_load_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_load_month").parquet(path))
@@ -67,15 +67,6 @@ def replace_bronze_months(rows: DataFrame, path: str) -> None:
          .partitionBy("_load_month").parquet(path))
 
 
-def _drop_partition(spark: SparkSession, path: str, col: str, value: str) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{col}={value}")
-    fs = p.getFileSystem(conf)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BRONZE).parquet(path)
 

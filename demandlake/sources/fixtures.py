@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table, spread_small_scan
+from .tables import read_table
 
 # Fixed values of the A2 clickstream month.
 A2_LOAD_MONTH = "2024-01"
@@ -62,9 +62,7 @@ def a1_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_extendedprice", "l_tax", "l_shipdate")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     pt = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    # joins stay with the planner (AQE keeps its skew-join handling); only an
-    # under-split scan is spread over the task slots first
-    li = spread_small_scan(li)
+    # joins stay with the planner (AQE keeps its skew-join handling)
     return (li.join(od, li.l_orderkey == od.o_orderkey)
               .join(pt, li.l_partkey == pt.p_partkey))
 
@@ -124,7 +122,7 @@ def a2_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value", "props")
     pt = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     k = F.get_json_object("props", "$.k")
-    ev = spread_small_scan(ev.withColumn("k", k))
+    ev = ev.withColumn("k", k)
     j = ev.join(pt, ev.k.cast("bigint") == pt.p_partkey, "left")
     m = F.to_date(F.lit(A2_LOAD_MONTH + "-01"))
     lineage = _lineage(F.col("m"))

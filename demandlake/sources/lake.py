@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NAMESPACES = {
-    "bronze": "Bronze layer for raw e-commerce events.",
-    "silver": "Silver layer for cleaned models.",
-    "gold": "Gold layer with ML feature marts.",
-    "dataform_assertions": "Quality assertion results.",
-    "mlops_monitoring": "Monitoring logs for model predictions.",
+    "bronze": "Event files as delivered, text columns and lineage only.",
+    "silver": "Typed, valid and deduplicated events and what follows from them row by row.",
+    "gold": "Month-end snapshots by product, user and pair, and the calendar.",
+    "dataform_assertions": "Rows that break a check of the lake.",
+    "mlops_monitoring": "What was asked of the models and what they answered.",
 }
 
 
@@ -38,74 +38,108 @@ def table_path(root: str, namespace: str, table: str) -> str:
     return os.path.join(root, namespace, table)
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-    except Exception:  # no JVM handle on this client: probe with a read
-        try:
-            spark.read.parquet(path).schema
-            return True
-        except Exception:
-            return False
-
-
-def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
-           target_filter=None) -> DataFrame:
+    """True if the folder is there.  A storage error is raised, never taken for a missing table."""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it is there."""
+    fs, p = _file_system(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def _write_partitions(df: DataFrame, path: str, partition_col: str, cluster_cols: list[str]) -> None:
+    """Replace the partitions that df holds, clustered by sorting each file; other partitions stay."""
+    (rebalance(df, partition_col).sortWithinPartitions(partition_col, *cluster_cols)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+
+
+def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str, target_filter=None,
+           key_fixes_partition: bool = False, cluster_cols: list[str] | None = None) -> DataFrame:
     """MERGE on keys: matched rows replaced, new rows inserted, the rest kept.
 
-    Only the partitions the source touches are rewritten (dynamic partition
-    overwrite): target rows of those partitions that the source does not
-    match are kept by an anti-join and unioned with the source.  The key
-    must determine the partition (event_id -> event_date holds because the
-    id hashes event_ts), so matches cannot sit in other partitions.
-    target_filter narrows the target read further (a snapshot upsert reads
-    one snapshot partition).
+    The source is written once to the shared folder, so its plan runs once.
+    Only touched partitions are rewritten, by dynamic partition overwrite, also
+    on the first write: a table is never wiped.  A key may come back with
+    another partition value; its old row is found by reading the target's key
+    columns and goes with the partition it stood in.  key_fixes_partition says
+    that this cannot happen (event_id hashes event_ts, a snapshot's date is one
+    of its keys) and saves that read.  target_filter narrows the target
+    further (a snapshot upsert reads one snapshot partition).
     """
     spark = source.sparkSession
-    if not path_exists(spark, path):
-        rebalance(source, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        return source
-    parts = source.select(partition_col).distinct()
-    target = spark.read.parquet(path)
+    cluster = cluster_cols or keys
+    staged = stage(source)
+    target = spark.read.schema(source.schema).parquet(path) if path_exists(spark, path) else None
+    if target is None:
+        _write_partitions(staged, path, partition_col, cluster)
+        return staged
     if target_filter is not None:
         target = target.where(target_filter)
-    target = target.join(F.broadcast(parts), partition_col, "left_semi")
-    kept = target.join(source.select(*keys), keys, "left_anti")
-    merged = kept.unionByName(source.select(*target.columns))
-    # the target is read in the same job that overwrites it: cut the lineage
-    # with a reliable checkpoint in the shared checkpoint folder
-    from ..session import checkpoint_dir
-    checkpoint_dir(spark)
-    staged = merged.checkpoint(eager=True)
-    (rebalance(staged, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(partition_col).parquet(path))
-    return staged
+    touched = staged.select(partition_col).distinct()
+    if not key_fixes_partition:
+        found = target.select(*keys, partition_col).join(staged.select(*keys), keys, "left_semi")
+        touched = touched.unionByName(found.select(partition_col)).distinct()
+    touched = stage(touched)
+    # One row per touched partition: bounded by the table's partitions.
+    kept = target.join(F.broadcast(touched), partition_col, "left_semi").join(staged.select(*keys), keys, "left_anti")
+    merged = stage(kept.unionByName(staged.select(*target.columns)))
+    _write_partitions(merged, path, partition_col, cluster)
+    for row in touched.join(merged.select(partition_col).distinct(), partition_col, "left_anti").collect():
+        drop_path(spark, f"{path.rstrip('/')}/{partition_col}={row[0]}")  # all its rows moved away
+    return merged
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write df as Parquet to a folder of its own below the shared checkpoint folder and read it back."""
+    import uuid
+
+    from ..session import scratch_path
+    path = scratch_path(df.sparkSession, f"stage-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def snapshot_upsert(source: DataFrame, path: str, keys: list[str], snapshot_date) -> DataFrame:
     """MERGE into one snapshot partition; keys absent from the new run stay."""
     flt = F.col("snapshot_date") == F.to_date(F.lit(str(snapshot_date)))
-    return upsert(source, path, keys, "snapshot_date", target_filter=flt)
+    return upsert(source, path, keys, "snapshot_date", target_filter=flt, key_fixes_partition=True,
+                  cluster_cols=[k for k in keys if k != "snapshot_date"])
 
 
 def materialize_table(df: DataFrame, path: str, cluster_cols: list[str], partitions: int | None = None) -> None:
     """Full rebuild, range-partitioned and sorted by the cluster columns so
-    Parquet min/max statistics skip row groups on those columns."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, *cluster_cols).sortWithinPartitions(*cluster_cols)
-       .write.mode("overwrite").parquet(path))
+    Parquet min/max statistics skip row groups on those columns.  Without a
+    number AQE sizes the files by the data."""
+    ranged = df.repartitionByRange(partitions, *cluster_cols) if partitions else df.repartitionByRange(*cluster_cols)
+    ranged.sortWithinPartitions(*cluster_cols).write.mode("overwrite").parquet(path)
+
+
+def publish(spark: SparkSession, table: str) -> None:
+    """Let a partitioned table see the partitions that were written to its folder by path."""
+    if spark.catalog.tableExists(table):
+        spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
 def create_tables(spark: SparkSession, root: str, replace_bronze: bool = True) -> None:
     """bronze.raw_events (or replace, partitioned by _load_month) and
     mlops_monitoring.api_logs (if not exists, partitioned by a stored log_date,
-    since Spark partitions by a column rather than an expression)."""
+    since Spark partitions by a column rather than an expression).  Replacing
+    also deletes the files: dropping an external table keeps them.  Partitions
+    found in the folders are registered."""
     create_namespaces(spark, root)
     bronze = table_path(root, "bronze", "raw_events")
     if replace_bronze:
         spark.sql("DROP TABLE IF EXISTS bronze.raw_events")
+        drop_path(spark, bronze)
     spark.sql(f"""
         CREATE TABLE IF NOT EXISTS bronze.raw_events (
           event_time_raw STRING, event_type_raw STRING, product_id_raw STRING, category_id_raw STRING,
@@ -113,15 +147,19 @@ def create_tables(spark: SparkSession, root: str, replace_bronze: bool = True) -
           user_session_raw STRING, _source_uri STRING, _ingested_at TIMESTAMP, _load_id STRING,
           _load_month DATE)
         USING parquet PARTITIONED BY (_load_month) LOCATION '{bronze}'
-        COMMENT 'Raw events, one partition per calendar month; reload = replace that partition.'""")
+        COMMENT 'Delivered event rows by the month they were loaded for'""")
     logs = table_path(root, "mlops_monitoring", "api_logs")
     spark.sql(f"""
         CREATE TABLE IF NOT EXISTS mlops_monitoring.api_logs (
-          timestamp TIMESTAMP COMMENT 'Time of prediction request',
-          user_id STRING COMMENT 'Entity id (the product id)',
-          session_id STRING COMMENT 'Session or batch id',
-          request_payload STRING COMMENT 'Input payload as JSON',
-          prediction_score DOUBLE COMMENT 'Predicted demand',
-          model_version STRING COMMENT 'Model that served the prediction',
+          timestamp TIMESTAMP COMMENT 'When the answer was given',
+          user_id STRING COMMENT 'Id the answer is about: a product',
+          session_id STRING COMMENT 'Run that asked',
+          request_payload STRING COMMENT 'What was asked, as JSON',
+          prediction_score DOUBLE COMMENT 'The answer',
+          model_version STRING COMMENT 'What gave the answer: a model or a fallback',
           log_date DATE)
         USING parquet PARTITIONED BY (log_date) LOCATION '{logs}'""")
+    for table, folder in (("bronze.raw_events", bronze), ("mlops_monitoring.api_logs", logs)):
+        fs, p = _file_system(spark, folder)
+        fs.mkdirs(p)
+        publish(spark, table)

@@ -12,18 +12,3 @@ DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than task slots.
-
-    A parquet file with one row group is read by a single task, and all
-    the narrow per-row work above the scan stays in that task.  On large
-    inputs (many splits) this is a no-op; it has no key, so it cannot skew.
-    """
-    spark = df.sparkSession
-    try:
-        splits = df.rdd.getNumPartitions()
-        slots = spark.sparkContext.defaultParallelism
-    except Exception:  # no RDD access on this client
-        return df
-    return df.repartition(slots) if splits < slots else df

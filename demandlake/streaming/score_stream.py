@@ -1,9 +1,12 @@
 """Stream scoring: request files arrive -> enrich -> predict -> append to the log.
 
 A stream-static join per micro-batch (foreachBatch): the features table is
-static, the requests stream.  Each batch writes its own batch_id partition
-with dynamic overwrite, so a batch replayed after a failure replaces its
-earlier output instead of duplicating it (exactly-once with the checkpoint).
+static, the requests stream.  The log has the layout of the batch log,
+partitioned by log_date, and below it by stream and batch: a batch replayed
+after a failure replaces its own output (dynamic overwrite), and another stream
+or a new checkpoint, whose batches count from 0 again, has a stream id of its
+own and replaces nothing.  A replay keeps the time of the first try, so it
+stays in the same log_date also after midnight.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..plans import scoring as SC
 from ..schemas import SCORING_REQUEST
+from ..sources.lake import path_exists
 
 
 def request_stream(spark: SparkSession, path: str, fmt: str = "json", max_files: int | None = None) -> DataFrame:
@@ -24,12 +28,27 @@ def request_stream(spark: SparkSession, path: str, fmt: str = "json", max_files:
     return reader.load(path)
 
 
+def _first_time(spark: SparkSession, log_path: str, stream_id: str, batch_id: int) -> str | None:
+    """When this batch was logged before, if it was: read from its own partitions only."""
+    if not path_exists(spark, log_path):
+        return None
+    log = spark.read.parquet(log_path)
+    if "stream_id" not in log.columns:
+        return None
+    mine = log.where((F.col("stream_id") == stream_id) & (F.col("batch_id") == int(batch_id)))
+    return mine.agg(F.date_format(F.min("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+
+
 def score_batch(batch: DataFrame, batch_id: int, features: DataFrame, model, log_path: str,
-                model_version: str = SC.DEFAULT_MODEL_VERSION, seed: int = 42) -> None:
+                model_version: str = SC.DEFAULT_MODEL_VERSION, seed: int = 42, stream_id: str | None = None) -> None:
+    """Log the predictions of one micro-batch; stream_id defaults to the running query's id."""
+    spark = batch.sparkSession
+    stream = stream_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
     scored = SC.score_requests(batch, features, model, model_version=model_version, seed=seed)
-    log = SC.prediction_log(scored).withColumn("batch_id", F.lit(int(batch_id)))
+    log = (SC.prediction_log(scored, run_ts=_first_time(spark, log_path, stream, batch_id))
+           .withColumn("stream_id", F.lit(stream)).withColumn("batch_id", F.lit(int(batch_id))))
     (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(log_path))
+        .partitionBy("log_date", "stream_id", "batch_id").parquet(log_path))
 
 
 def score_stream(spark: SparkSession, requests_path: str, features: DataFrame, model, log_path: str,

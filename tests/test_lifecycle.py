@@ -152,10 +152,54 @@ def test_stream_scoring_equals_batch_and_is_exactly_once(spark, sf_dir, tmp_lake
     # restart: nothing new; replaying a batch id overwrites its own output
     q2 = score_stream(spark, os.path.join(req_dir, "*"), feats, model, log_path, ckpt)
     q2.awaitTermination(300)
-    first = spark.read.parquet(log_path).where("batch_id = 0")
-    score_batch(spark.read.schema(req.schema).json(os.path.join(req_dir, "*")), 0, feats, model, log_path)
-    assert spark.read.parquet(log_path).where("batch_id = 0").count() == req.count()
-    assert first is not None
+    assert spark.read.parquet(log_path).count() == req.count()
+    stream = spark.read.parquet(log_path).where("batch_id = 0").first()["stream_id"]
+    assert stream == q.id == q2.id
+    when = spark.read.parquet(log_path).agg(F.min("timestamp")).first()[0]
+    whole = spark.read.schema(req.schema).json(os.path.join(req_dir, "*"))
+    score_batch(whole, 0, feats, model, log_path, stream_id=stream)
+    again = spark.read.parquet(log_path)
+    assert again.where("batch_id = 0").count() == req.count() and again.agg(F.min("timestamp")).first()[0] == when
+    # another stream, or a new checkpoint, counts its batches from 0 again and loses nothing
+    q3 = score_stream(spark, os.path.join(req_dir, "*"), feats, model, log_path, ckpt + "-new")
+    q3.awaitTermination(300)
+    assert spark.read.parquet(log_path).count() == 2 * req.count()
+    assert "log_date" in spark.read.parquet(log_path).columns
+
+
+def test_upsert_moves_a_key_to_its_new_partition(spark, tmp_lake):
+    path, schema = os.path.join(tmp_lake, "t"), "k int, v string, d string"
+    L.upsert(spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "z")], schema), path, ["k"], "d")
+    L.upsert(spark.createDataFrame([(1, "A", "y"), (4, "n", "z")], schema), path, ["k"], "d")
+    got = sorted((r.k, r.v, r.d) for r in spark.read.schema(schema).parquet(path).collect())
+    assert got == [(1, "A", "y"), (2, "b", "y"), (3, "c", "z"), (4, "n", "z")]
+
+
+def test_first_upsert_leaves_foreign_partitions_alone(spark, tmp_lake):
+    path, schema = os.path.join(tmp_lake, "t"), "k int, d string"
+    os.makedirs(path)  # an empty folder is an empty table
+    L.upsert(spark.createDataFrame([(1, "x")], schema), path, ["k"], "d")
+    L.upsert(spark.createDataFrame([(2, "y")], schema), path, ["k"], "d")
+    assert spark.read.schema(schema).parquet(path).count() == 2
+
+
+def test_storage_errors_are_raised(spark):
+    with pytest.raises(Exception):
+        L.path_exists(spark, "nosuchfs://host/x")
+
+
+def test_tables_see_written_partitions_and_replace_deletes(spark, tmp_lake):
+    from demandlake.sources import bronze as B
+    L.create_tables(spark, tmp_lake)
+    path = L.table_path(tmp_lake, "bronze", "raw_events")
+    rows = FX.a1_bronze(spark, "/root/testdata/sf0.001").where("_load_month = DATE'1998-01-01'")
+    B.replace_bronze_month(rows, path, "1998-01")
+    L.publish(spark, "bronze.raw_events")
+    assert spark.table("bronze.raw_events").count() == rows.count() > 0
+    L.create_tables(spark, tmp_lake)
+    assert spark.table("bronze.raw_events").count() == 0 and not os.path.exists(os.path.join(path, "_load_month=1998-01-01"))
+    spark.sql("DROP TABLE IF EXISTS bronze.raw_events")
+    spark.sql("DROP TABLE IF EXISTS mlops_monitoring.api_logs")
 
 
 def test_create_tables(spark, tmp_lake):
