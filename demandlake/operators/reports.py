@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
@@ -44,5 +44,11 @@ def leaderboard_sort(board: DataFrame, metric: str, ascending: bool) -> DataFram
     return board.orderBy(m, F.col("run_name").asc())
 
 
+def leaderboard_rank(board: DataFrame, metric: str, ascending: bool, name: str) -> DataFrame:
+    """Each run's place in the sorted leaderboard; a board has one row per configuration."""
+    m = F.col(metric).asc_nulls_last() if ascending else F.col(metric).desc_nulls_last()
+    return board.withColumn(name, F.row_number().over(Window.orderBy(m, F.col("run_name").asc())).cast("long"))
+
+
 def best_of(board: DataFrame, metric: str, ascending: bool) -> DataFrame:
     return leaderboard_sort(board, metric, ascending).limit(1)

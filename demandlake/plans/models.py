@@ -3,7 +3,7 @@
 Stage 1 classifiers and stage 2 regressors are fitted on cached Spark
 DataFrames (Spark ML estimators are distributed); leaderboards are
 DataFrames; the chosen pair is saved as two PipelineModels plus JSON
-metadata (ordered feature names, vocabulary, threshold).
+metadata (ordered feature names, category index, threshold).
 """
 
 from __future__ import annotations
@@ -14,13 +14,14 @@ import os
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import OneHotEncoderModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics as M
+from ..operators.features import CategoryEncoding
 
 SEED = 42
 
@@ -45,8 +46,8 @@ REG_DEPTHS = [4, 6, 8]
 REG_LEARNING_RATES = [0.03, 0.05, 0.001]
 SUBSAMPLE = 0.8
 COLSAMPLE = 0.8
-# Small grids (default): one linear and one short boosted model per stage.
-SMALL_TREES = 20
+# The normal equations of the Poisson model have at most so many features.
+GLM_MAX_FEATURES = 4096
 
 
 def _gbt(n: int, depth: int, lr: float) -> dict:
@@ -54,23 +55,22 @@ def _gbt(n: int, depth: int, lr: float) -> dict:
                                       "subsample": SUBSAMPLE, "colsample": COLSAMPLE}}
 
 
-def classifier_grid(size: str = "small") -> list[dict]:
-    """3 logistic + 27 boosted configs ("full"), or 1 + 1 ("small")."""
+def classifier_grid() -> list[dict]:
+    """All 30 configurations: 3 logistic, then 27 boosted."""
     linear = [{"algo": "logreg", "params": {"C": c, "max_iter": LOGREG_MAX_ITER}} for c in LOGREG_C]
-    trees = [_gbt(n, d, lr) for n, d, lr in itertools.product(CLF_TREES, CLF_DEPTHS, CLF_LEARNING_RATES)]
-    if size == "full":
-        return linear + trees
-    return [linear[1], _gbt(SMALL_TREES, CLF_DEPTHS[0], CLF_LEARNING_RATES[0])]
+    return linear + [_gbt(n, d, lr) for n, d, lr in itertools.product(CLF_TREES, CLF_DEPTHS, CLF_LEARNING_RATES)]
 
 
-def regressor_grid(size: str = "small") -> list[dict]:
-    """6 Poisson + 27 boosted configs ("full"), or 1 + 1 ("small")."""
+def regressor_grid() -> list[dict]:
+    """All 33 configurations: 6 Poisson, then 27 boosted."""
     linear = [{"algo": "poisson", "params": {"alpha": a, "max_iter": it}}
               for a, it in itertools.product(POISSON_ALPHA, POISSON_MAX_ITER)]
-    trees = [_gbt(n, d, lr) for n, d, lr in itertools.product(REG_TREES, REG_DEPTHS, REG_LEARNING_RATES)]
-    if size == "full":
-        return linear + trees
-    return [linear[2], _gbt(SMALL_TREES, REG_DEPTHS[0], REG_LEARNING_RATES[1])]
+    return linear + [_gbt(n, d, lr) for n, d, lr in itertools.product(REG_TREES, REG_DEPTHS, REG_LEARNING_RATES)]
+
+
+def linear_only(grid: list[dict]) -> list[dict]:
+    """The grid's linear configurations, for runs that name them."""
+    return [c for c in grid if c["algo"] != "gbt"]
 
 
 # ------------------------------------------------------------------ fits
@@ -86,7 +86,8 @@ def classifier_pipeline(cfg: dict, feature_cols: list[str], n_train: int) -> Pip
         reg = 1.0 / (p["C"] * max(n_train, 1))
         return Pipeline(stages=[
             _assembler(feature_cols),
-            StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
+            # Not centred, which keeps sparse rows sparse; the intercept is not penalised and takes it up.
+            StandardScaler(inputCol="features_raw", outputCol="features", withMean=False, withStd=True),
             LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, elasticNetParam=0.0,
                                standardization=False, maxIter=p["max_iter"]),
         ])
@@ -103,10 +104,10 @@ def regressor_pipeline(cfg: dict, feature_cols: list[str]) -> Pipeline:
     if cfg["algo"] == "poisson":
         return Pipeline(stages=[
             _assembler(feature_cols),
-            StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
+            StandardScaler(inputCol="features_raw", outputCol="features", withMean=False, withStd=True),
             GeneralizedLinearRegression(featuresCol="features", labelCol="y", weightCol="weight",
                                         family="poisson", link="log", regParam=p["alpha"],
-                                        maxIter=min(p["max_iter"], 100), predictionCol="prediction"),
+                                        maxIter=p["max_iter"], predictionCol="prediction"),
         ])
     # Spark GBT has squared loss only: fit log1p(y) and map back with expm1.
     return Pipeline(stages=[
@@ -134,43 +135,68 @@ def sample_weights(df: DataFrame, y: str = "target_next_period") -> DataFrame:
     return df.withColumn("weight", F.lit(1.0) + F.col(y).cast("double") / F.lit(float(mean)))
 
 
+def _fit_all(grid: list[dict], prefix: str, fit) -> list[tuple[str, dict, object]]:
+    """(run name, config, fitted model) of each config, FIT_THREADS fits at a time."""
+    from concurrent.futures import ThreadPoolExecutor
+    names = [f"{prefix}_{cfg['algo']}_{i:02d}" for i, cfg in enumerate(grid, 1)]
+    with ThreadPoolExecutor(FIT_THREADS) as pool:
+        return list(zip(names, grid, pool.map(fit, grid)))
+
+
 # --------------------------------------------------------------- searches
 
+#: Fits that run side by side; each is a distributed job of its own.
+FIT_THREADS = 3
+
 def stage1_search(train: DataFrame, val: DataFrame, feature_cols: list[str], grid: list[dict],
                   threshold: float = 0.5):
     """Fit each classifier config; leaderboard sorted by val_pr_auc desc."""
     spark = train.sparkSession
     tr = train.withColumn("label", (F.col("target_next_period") > 0).cast("double")).cache()
     va = val.withColumn("label", (F.col("target_next_period") > 0).cast("double")).cache()
-    n_train = tr.count()
-    rows, models = [], {}
-    for i, cfg in enumerate(grid, 1):
-        run = f"clf_{cfg['algo']}_{i:02d}"
-        model = classifier_pipeline(cfg, feature_cols, n_train).fit(tr)
-        mt = M.classification_metrics(p_nonzero(model.transform(tr)), "label", "p_nonzero", threshold, "train_")
-        mv = M.classification_metrics(p_nonzero(model.transform(va)), "label", "p_nonzero", threshold, "val_")
-        rows.append({"run_name": run, "algo": cfg["algo"], "params": json.dumps(cfg["params"]),
-                     **mt.first().asDict(), **mv.first().asDict()})
-        models[run] = model
+    try:
+        n_train = tr.count()
+        rows, models = [], {}
+        for run, cfg, model in _fit_all(grid, "clf", lambda c: classifier_pipeline(c, feature_cols, n_train).fit(tr)):
+            mt = M.classification_metrics(p_nonzero(model.transform(tr)), "label", "p_nonzero", threshold, "train_")
+            mv = M.classification_metrics(p_nonzero(model.transform(va)), "label", "p_nonzero", threshold, "val_")
+            rows.append({"run_name": run, "algo": cfg["algo"], "params": json.dumps(cfg["params"]),
+                         **mt.first().asDict(), **mv.first().asDict()})
+            models[run] = model
+    finally:
+        tr.unpersist()
+        va.unpersist()
     board = spark.createDataFrame(rows).orderBy(F.col("val_pr_auc").desc_nulls_last(), "run_name")
     return board, models
 
 
+def _check_glm_size(train: DataFrame, feature_cols: list[str], grid: list[dict]) -> None:
+    """The Poisson solver's limit, told before any fit."""
+    if any(cfg["algo"] == "poisson" for cfg in grid):
+        row = _assembler(feature_cols).transform(train).select("features_raw").first()
+        if row and row[0].size > GLM_MAX_FEATURES:
+            raise ValueError(f"a Poisson model takes at most {GLM_MAX_FEATURES} features and there are {row[0].size}: "
+                             "use the boosted configurations")
+
+
 def stage2_search(train: DataFrame, val: DataFrame, feature_cols: list[str], grid: list[dict]):
     """Fit each regressor on positives only; leaderboard sorted by val_rmse asc."""
     spark = train.sparkSession
+    _check_glm_size(train, feature_cols, grid)
     y = F.col("target_next_period").cast("double")
     tr = sample_weights(train.where(y > 0)).withColumn("y", y).withColumn("log_y", F.log1p(y)).cache()
     va = val.where(y > 0).withColumn("y", y).withColumn("weight", F.lit(1.0)).cache()
-    rows, models = [], {}
-    for i, cfg in enumerate(grid, 1):
-        run = f"reg_{cfg['algo']}_{i:02d}"
-        model = regressor_pipeline(cfg, feature_cols).fit(tr)
-        mt = M.regression_metrics(positive_count(model.transform(tr)), "y", "positive_count", "train_")
-        mv = M.regression_metrics(positive_count(model.transform(va)), "y", "positive_count", "val_")
-        rows.append({"run_name": run, "algo": cfg["algo"], "params": json.dumps(cfg["params"]),
-                     **mt.first().asDict(), **mv.first().asDict()})
-        models[run] = model
+    try:
+        rows, models = [], {}
+        for run, cfg, model in _fit_all(grid, "reg", lambda c: regressor_pipeline(c, feature_cols).fit(tr)):
+            mt = M.regression_metrics(positive_count(model.transform(tr)), "y", "positive_count", "train_")
+            mv = M.regression_metrics(positive_count(model.transform(va)), "y", "positive_count", "val_")
+            rows.append({"run_name": run, "algo": cfg["algo"], "params": json.dumps(cfg["params"]),
+                         **mt.first().asDict(), **mv.first().asDict()})
+            models[run] = model
+    finally:
+        tr.unpersist()
+        va.unpersist()
     board = spark.createDataFrame(rows).orderBy(F.col("val_rmse").asc_nulls_last(), "run_name")
     return board, models
 
@@ -181,11 +207,11 @@ class SparkHurdleModel:
     """Classifier and regressor pipelines + the ordered feature names."""
 
     def __init__(self, classifier: PipelineModel, regressor: PipelineModel, feature_names: list[str],
-                 vocabulary: list[str] | None = None, threshold: float = 0.5):
+                 category: CategoryEncoding | None = None, threshold: float = 0.5):
         self.classifier = classifier
         self.regressor = regressor
         self.feature_names = list(feature_names)
-        self.vocabulary = list(vocabulary or [])
+        self.category = category
         self.threshold = threshold
 
     def predict_components(self, df: DataFrame) -> DataFrame:
@@ -202,8 +228,10 @@ class SparkHurdleModel:
         self.classifier.write().overwrite().save(os.path.join(path, "classifier"))
         self.regressor.write().overwrite().save(os.path.join(path, "regressor"))
         spark = SparkSession.getActiveSession()
-        meta = {"feature_names": self.feature_names, "vocabulary": self.vocabulary,
-                "threshold": self.threshold}
+        if self.category:
+            self.category.encoder.write().overwrite().save(os.path.join(path, "category_encoder"))
+            self.category.index.write.mode("overwrite").parquet(os.path.join(path, "category_index"))
+        meta = {"feature_names": self.feature_names, "category": self.category is not None, "threshold": self.threshold}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
              .write.mode("overwrite").text(os.path.join(path, "metadata"))
 
@@ -211,9 +239,10 @@ class SparkHurdleModel:
     def load(cls, path: str) -> "SparkHurdleModel":
         spark = SparkSession.getActiveSession()
         meta = json.loads(spark.read.text(os.path.join(path, "metadata")).first()[0])
-        return cls(PipelineModel.load(os.path.join(path, "classifier")),
-                   PipelineModel.load(os.path.join(path, "regressor")),
-                   meta["feature_names"], meta.get("vocabulary"), meta.get("threshold", 0.5))
+        category = CategoryEncoding(spark.read.parquet(os.path.join(path, "category_index")), OneHotEncoderModel.load(
+            os.path.join(path, "category_encoder"))) if meta["category"] else None
+        return cls(PipelineModel.load(os.path.join(path, "classifier")), PipelineModel.load(os.path.join(path, "regressor")),
+                   meta["feature_names"], category, meta.get("threshold", 0.5))
 
 
 class StandInHurdle:

@@ -60,13 +60,14 @@ def scoring_lookup(requests: DataFrame, features: DataFrame) -> DataFrame:
     )
 
 
-def align_features(df: DataFrame, feature_names: list[str]) -> DataFrame:
+def align_features(df: DataFrame, feature_names: list[str], category=None) -> DataFrame:
     """Same derived features as training, in the exact training order.
 
-    Unseen categories give all-zero dummies; features missing from the
-    frame are 0.0.  Non-feature columns of df are kept in front.
+    category is the model's category encoding.  Unseen categories give
+    all-zero dummies; features missing from the frame are 0.0.  Non-feature
+    columns of df are kept in front.
     """
-    base = df
+    base = category.transform(df.withColumn("_category", F.col("product_category_l1")), "_category") if category else df
     for c in FE.NUMERIC_COLS:
         base = base.withColumn(c, X.to_numeric_or_zero(c) if c in df.columns else F.lit(0.0))
     base = base.select("*", *FE.funnel_columns(), *FE.extended_columns())
@@ -75,6 +76,8 @@ def align_features(df: DataFrame, feature_names: list[str]) -> DataFrame:
     for name in feature_names:
         if name.startswith(FE.CATEGORY_PREFIX):
             cols.append((label == F.lit(name)).cast("double").alias(name))
+        elif name == FE.CATEGORY_VECTOR and category:
+            cols.append(F.col(name))
         elif name in base.columns:
             cols.append(F.col(name).cast("double").alias(name))
         else:
@@ -104,7 +107,7 @@ def score_requests(requests: DataFrame, features: DataFrame, model=None,
         return looked.select(*REQUEST_COLUMNS, "has_features", fb.alias("prediction_score"),
                              F.lit(VERSION_FALLBACK).alias("model_version"))
     try:
-        aligned = align_features(looked, model.feature_names)
+        aligned = align_features(looked, model.feature_names, getattr(model, "category", None))
         scored = model.predict_soft(aligned)
     except Exception:  # the model does not fit this frame: serve the fallback
         return looked.select(*REQUEST_COLUMNS, "has_features", fb.alias("prediction_score"),

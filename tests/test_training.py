@@ -2,15 +2,46 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from demandlake.plans import models as MD
 from demandlake.plans import training as TR
 
 
+def _short(cfg):
+    """A boosted configuration with few trees: tests only."""
+    return {"algo": cfg["algo"], "params": {**cfg["params"], "n_estimators": 5}}
+
+
+def test_grids_are_whole_and_caps_reach_the_estimator(spark):
+    clf, reg = MD.classifier_grid(), MD.regressor_grid()
+    assert len(clf) == 30 and len(reg) == 33
+    caps = {MD.regressor_pipeline(c, ["x"]).getStages()[-1].getMaxIter() for c in MD.linear_only(reg)}
+    assert caps == {500, 800}
+
+
+def test_five_thousand_categories(spark):
+    from demandlake.operators import features as FE
+    df = spark.range(20_000).selectExpr("id", "concat('c', lpad(id % 5000, 4, '0')) as product_category_l1")
+    encoding = FE.CategoryEncoding.fit(df)
+    assert encoding.size == 5000
+    assert [tuple(r) for r in encoding.index.orderBy("label").limit(3).collect()] == [("c0000", 0), ("c0001", 1), ("c0002", 2)]
+    rows = encoding.transform(df.union(spark.createDataFrame([(-1, "new")], "id long, product_category_l1 string"))).collect()
+    for r in rows:
+        v = r["category_vector"]
+        assert v.size == 5000 and (list(v.indices) == [r["id"] % 5000] if r["id"] >= 0 else len(v.indices) == 0)
+    train = encoding.transform(df).withColumn("target_next_period", F.lit(1.0))
+    with pytest.raises(ValueError, match="at most 4096"):
+        MD.stage2_search(train, train, ["category_vector"], MD.linear_only(MD.regressor_grid()))
+
+
 def test_hurdle_training_small_grid(spark, sf_dir, tmp_lake):
     from demandlake.queries import a1_training
-    res = TR.train_hurdle_model(a1_training(spark, sf_dir), out_dir=tmp_lake, grid_size="small")
+    clf, reg = MD.classifier_grid(), MD.regressor_grid()
+    res = TR.train_hurdle_model(a1_training(spark, sf_dir), out_dir=tmp_lake, classifiers=[clf[1], _short(clf[3])],
+                                regressors=[reg[2], _short(reg[6])])
     assert res["stage1"].count() == 2 and res["stage2"].count() == 2
     assert res["comparison"].count() == 4 and res["blend"].count() == 21
     preds = res["validation_predictions"]
@@ -21,7 +52,7 @@ def test_hurdle_training_small_grid(spark, sf_dir, tmp_lake):
     loaded = MD.SparkHurdleModel.load(os.path.join(tmp_lake, "hurdle_model"))
     assert loaded.feature_names == res["feature_columns"]
     from demandlake.operators import features as FE
-    feats, _ = FE.prepare_features(a1_training(spark, sf_dir), "extended", loaded.vocabulary)
+    feats, _ = FE.prepare_features(a1_training(spark, sf_dir), "extended", loaded.category)
     _, val, _, _ = FE.split_by_snapshots(feats)
     a = res["model"].predict_soft(val).select("product_id", "pred_soft")
     b = loaded.predict_soft(val).select("product_id", "pred_soft")
