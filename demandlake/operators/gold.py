@@ -1,11 +1,12 @@
 """Gold layer: monthly feature snapshots of products, users and user-product pairs.
 
 Window = the calendar month before snapshot_date; history = every event
-before snapshot_date.  The reference computes window and history in two
-scans and joins them; here both come out of one grouped pass over
-``event_date < snapshot`` with window-conditional aggregates, so each mart
-is one scan and one shuffle on its key.  Rows exist only for keys with
-events in the window, as in the reference.
+before snapshot_date.  A mart aggregates the window, which reads one month of
+partitions, and joins what is left of the history: only older events, only the
+event type and the columns that the history needs, combined before the shuffle
+and already partitioned by the mart's key.  Where a run carries that state from
+month to month (``carried``), older events are not read at all.  Rows exist
+only for keys with events in the window.
 """
 
 from __future__ import annotations
@@ -61,6 +62,11 @@ def history(fct: DataFrame, snapshot_date) -> DataFrame:
     return fct.where(F.col("event_date") < _snap(snapshot_date))
 
 
+def older(fct: DataFrame, snapshot_date) -> DataFrame:
+    """Events before the window: the part of the history that the window does not hold."""
+    return fct.where(F.col("event_date") < window_bounds(snapshot_date)[0])
+
+
 def _is(t: str) -> Column:
     return F.col("event_type") == t
 
@@ -73,20 +79,39 @@ def _window_counts(win: Column, prefix: str, suffix: str = "_last_month") -> lis
     ]
 
 
-def product_features_monthly(fct: DataFrame, snapshot_date) -> DataFrame:
-    """gold.product_features_monthly for one snapshot."""
-    win = in_window(snapshot_date)
-    agg = history(fct, snapshot_date).groupBy("product_id").agg(
-        countif(win).alias("_w"),
-        *_window_counts(win, "product_"),
-        exact_avg(F.when(win, F.col("price"))).alias("product_avg_price_last_month"),
-        F.count_distinct(F.when(win & _is("purchase"), F.col("user_id"))).alias("product_unique_buyers_last_month"),
+def _latest_attributes() -> list[Column]:
+    return [
         latest_when(F.struct("category_l1", "category_l2", "category_l3"),
                     F.col("category_l1").isNotNull(), *ORDER).alias("_cat"),
         latest_non_null("brand", *ORDER).alias("product_brand"),
         latest_non_null("price", *ORDER).alias("product_price"),
-    )
-    return _product_output(agg.where(F.col("_w") > 0), _snap(snapshot_date))
+    ]
+
+
+def product_attributes(events: DataFrame) -> DataFrame:
+    """(product_id, _cat, product_brand, product_price): the newest of each that events hold."""
+    return events.groupBy("product_id").agg(*_latest_attributes())
+
+
+def product_features_monthly(fct: DataFrame, snapshot_date, carried: DataFrame | None = None) -> DataFrame:
+    """gold.product_features_monthly for one snapshot.
+
+    An attribute comes from the window if it is given there, else from the
+    older events, or from carried, product_attributes of the months before.
+    """
+    every = F.lit(True)
+    month = fct.where(in_window(snapshot_date))
+    agg = month.groupBy("product_id").agg(
+        *_window_counts(every, "product_"), exact_avg("price").alias("product_avg_price_last_month"), *_latest_attributes())
+    buyers = month.where(_is("purchase")).groupBy("product_id").agg(
+        F.count_distinct("user_id").alias("product_unique_buyers_last_month"))
+    names = ("_cat", "product_brand", "product_price")
+    before = carried if carried is not None else product_attributes(older(fct, snapshot_date))
+    before = before.select("product_id", *[F.col(c).alias(f"_old{c}") for c in names])
+    joined = agg.join(buyers, "product_id", "left").join(before, "product_id", "left")
+    return _product_output(
+        joined.withColumns({c: F.coalesce(c, f"_old{c}") for c in names}).fillna(0, ["product_unique_buyers_last_month"]),
+        _snap(snapshot_date))
 
 
 def _product_output(agg: DataFrame, snapshot: Column) -> DataFrame:
@@ -156,25 +181,32 @@ def favorites(windowed: DataFrame, keys=("user_id",)) -> DataFrame:
     )
 
 
-def user_features_monthly(fct: DataFrame, snapshot_date) -> DataFrame:
+def last_purchases(events: DataFrame) -> DataFrame:
+    """(user_id, last_purchase_ts) of the purchases that events hold."""
+    return events.where(_is("purchase")).groupBy("user_id").agg(F.max("event_ts").alias("last_purchase_ts"))
+
+
+def user_features_monthly(fct: DataFrame, snapshot_date, carried: DataFrame | None = None) -> DataFrame:
     """gold.user_features_monthly for one snapshot.
 
-    Counts, sessions, purchase price average (window) and the last purchase
-    (history) come from one grouped pass; both favourites from one
-    grouping-sets pass over the window.  Both sides end hash-partitioned on
-    user_id, so the left join adds no exchange of its own.
+    Counts, sessions and prices are one grouped pass over the window, both
+    favourites one grouping-sets pass; the last purchase before the window
+    comes from older purchases, or from carried, last_purchases of the months
+    before.  All sides end hash-partitioned on user_id, so the joins add no
+    exchange of their own.
     """
-    win = in_window(snapshot_date)
     snap = _snap(snapshot_date)
-    base = history(fct, snapshot_date).groupBy("user_id").agg(
-        countif(win).alias("_w"),
-        *_window_counts(win, "user_"),
-        F.count_distinct(F.when(win, F.col("user_session"))).alias("user_sessions_last_month"),
-        exact_avg(F.when(win & _is("purchase"), F.col("price"))).alias("user_avg_price_purchased_last_month"),
+    month = fct.where(in_window(snapshot_date))
+    base = month.groupBy("user_id").agg(
+        *_window_counts(F.lit(True), "user_"),
+        F.count_distinct("user_session").alias("user_sessions_last_month"),
+        exact_avg(F.when(_is("purchase"), F.col("price"))).alias("user_avg_price_purchased_last_month"),
         F.max(F.when(_is("purchase"), F.col("event_ts"))).alias("_last_purchase_ts"),
-    ).where(F.col("_w") > 0)
-    windowed = fct.where(win).select("user_id", "category_l1", "category_l2", "category_l3", "brand")
-    j = base.join(favorites(windowed), "user_id", "left")
+    )
+    before = carried if carried is not None else last_purchases(older(fct, snapshot_date))
+    j = (base.join(favorites(month.select("user_id", "category_l1", "category_l2", "category_l3", "brand")), "user_id", "left")
+         .join(before, "user_id", "left")
+         .withColumn("_last_purchase_ts", F.coalesce("_last_purchase_ts", "last_purchase_ts")))
     return _user_output(j.withColumn("_snap", snap), "_last_purchase_ts")
 
 
@@ -200,18 +232,28 @@ def _user_output(j: DataFrame, last_purchase: str) -> DataFrame:
     )
 
 
-def user_product_interactions_monthly(fct: DataFrame, snapshot_date) -> DataFrame:
-    """gold.user_product_interactions_monthly for one snapshot (one pass)."""
-    win = in_window(snapshot_date)
-    snap = _snap(snapshot_date)
-    agg = history(fct, snapshot_date).groupBy("user_id", "product_id").agg(
-        countif(win).alias("_w"),
-        countif(win & _is("view")).alias("ui_view_count_last_month"),
-        countif(win & _is("cart")).alias("ui_cart_count_last_month"),
-        countif(win & _is("purchase")).alias("ui_purchase_count_last_month"),
+def last_views(events: DataFrame) -> DataFrame:
+    """(user_id, product_id, last_view_ts) of the views that events hold."""
+    return events.where(_is("view")).groupBy("user_id", "product_id").agg(F.max("event_ts").alias("last_view_ts"))
+
+
+def user_product_interactions_monthly(fct: DataFrame, snapshot_date, carried: DataFrame | None = None) -> DataFrame:
+    """gold.user_product_interactions_monthly for one snapshot.
+
+    A pair without a view in the window takes its last one from older views,
+    or from carried, last_views of the months before.
+    """
+    month = fct.where(in_window(snapshot_date))
+    agg = month.groupBy("user_id", "product_id").agg(
+        countif(_is("view")).alias("ui_view_count_last_month"),
+        countif(_is("cart")).alias("ui_cart_count_last_month"),
+        countif(_is("purchase")).alias("ui_purchase_count_last_month"),
         F.max(F.when(_is("view"), F.col("event_ts"))).alias("_last_view_ts"),
-    ).where(F.col("_w") > 0)
-    return _interaction_output(agg.withColumn("_snap", snap), "_last_view_ts")
+    )
+    before = carried if carried is not None else last_views(older(fct, snapshot_date))
+    j = (agg.join(before, ["user_id", "product_id"], "left")
+         .withColumn("_last_view_ts", F.coalesce("_last_view_ts", "last_view_ts")))
+    return _interaction_output(j.withColumn("_snap", _snap(snapshot_date)), "_last_view_ts")
 
 
 def _interaction_output(agg: DataFrame, last_view: str) -> DataFrame:

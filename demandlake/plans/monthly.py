@@ -49,6 +49,7 @@ def run_month(spark, lake_root: str, load_month: str, raw_uri: str, run_id: str
     """
     from ..operators import gold, quality, silver
     from ..sources import bronze as B
+    from ..session import materialize
     from ..sources import lake as L
 
     params = compute_run_params(load_month)
@@ -61,7 +62,7 @@ def run_month(spark, lake_root: str, load_month: str, raw_uri: str, run_id: str
 
     raw = B.read_events_csv(spark, raw_uri, strict=strict)
     month_rows = B.to_bronze(raw, raw_uri, B.load_id_for(load_month, run_id), load_month)
-    B.replace_bronze_month(L.stage(month_rows), p["raw_events"], load_month)
+    B.replace_bronze_month(materialize(month_rows), p["raw_events"], load_month)
     L.publish(spark, "bronze.raw_events")
     bronze = B.read_bronze(spark, p["raw_events"])
 

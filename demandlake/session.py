@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,14 +57,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write df once to the shared checkpoint folder and read it back.
+    """Write df once as Parquet to a folder of its own below the shared checkpoint folder and read it back.
 
-    Used where one intermediate feeds several branches: the branches read
-    the written files instead of recomputing the lineage, and a lost
-    executor does not send the job back to the raw tables.
+    Used where one intermediate feeds several branches: each branch reads only
+    its columns and row groups of the written files instead of recomputing the
+    lineage, and a lost executor does not send the job back to the raw tables.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, f"table-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

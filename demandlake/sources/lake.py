@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 NAMESPACES = {
     "bronze": "Event files as delivered, text columns and lineage only.",
     "silver": "Typed, valid and deduplicated events and what follows from them row by row.",
@@ -77,7 +79,7 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str, ta
     """
     spark = source.sparkSession
     cluster = cluster_cols or keys
-    staged = stage(source)
+    staged = materialize(source)
     target = spark.read.schema(source.schema).parquet(path) if path_exists(spark, path) else None
     if target is None:
         _write_partitions(staged, path, partition_col, cluster)
@@ -88,26 +90,16 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str, ta
     if not key_fixes_partition:
         found = target.select(*keys, partition_col).join(staged.select(*keys), keys, "left_semi")
         touched = touched.unionByName(found.select(partition_col)).distinct()
-    touched = stage(touched)
+    touched = materialize(touched)
     # One row per touched partition: bounded by the table's partitions.
     kept = target.join(F.broadcast(touched), partition_col, "left_semi").join(staged.select(*keys), keys, "left_anti")
-    merged = stage(kept.unionByName(staged.select(*target.columns)))
+    merged = materialize(kept.unionByName(staged.select(*target.columns)))
     _write_partitions(merged, path, partition_col, cluster)
     for row in touched.join(merged.select(partition_col).distinct(), partition_col, "left_anti").collect():
         drop_path(spark, f"{path.rstrip('/')}/{partition_col}={row[0]}")  # all its rows moved away
     return merged
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write df as Parquet to a folder of its own below the shared checkpoint folder and read it back."""
-    import uuid
-
-    from ..session import scratch_path
-    path = scratch_path(df.sparkSession, f"stage-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def snapshot_upsert(source: DataFrame, path: str, keys: list[str], snapshot_date) -> DataFrame:
     """MERGE into one snapshot partition; keys absent from the new run stay."""
     flt = F.col("snapshot_date") == F.to_date(F.lit(str(snapshot_date)))

@@ -33,14 +33,27 @@ def test_sessions_first_event_is_a_partial_aggregate(lake_fct):
     assert "partial_min_by" in p and "Window" not in p
 
 
-def test_gold_mart_prunes_partitions_and_columns(lake_fct):
-    df = gold.product_features_monthly(lake_fct, "1998-01-01")
-    text = plan(df)
-    scans = [line for line in text.split("\n") if "FileScan" in line]
-    # one scan of silver serves window and history together
-    assert len(scans) == 1
-    assert "PartitionFilters: [isnotnull(event_date" in scans[0] and "1998-01-01" in scans[0]
-    assert "user_session" not in scans[0].split("ReadSchema")[-1]
+def scans(df) -> list[str]:
+    return [line for line in plan(df).split("\n") if "FileScan" in line]
+
+
+@pytest.mark.parametrize("mart, state", [
+    (gold.product_features_monthly, gold.product_attributes), (gold.user_features_monthly, gold.last_purchases),
+    (gold.user_product_interactions_monthly, gold.last_views)])
+def test_gold_marts_read_one_month_and_a_thin_history(spark, lake_fct, mart, state):
+    df = mart(lake_fct, "1998-01-01")
+    window, old = [], []
+    for line in scans(df):
+        assert "PartitionFilters: [isnotnull(event_date" in line
+        (window if ">= 1997-12-01" in line else old).append(line)
+    assert len(old) == 1 and window and "< 1997-12-01" in old[0]
+    if state is not gold.product_attributes:
+        assert "EqualTo(event_type" in old[0] and "price" not in old[0].split("ReadSchema")[-1]
+    # with the state carried along, no scan goes behind the window, and the rows are the same
+    before = state(gold.older(lake_fct, "1998-01-01")).persist()
+    carried = mart(lake_fct, "1998-01-01", carried=before)
+    assert carried.exceptAll(df).count() == 0 and df.exceptAll(carried).count() == 0
+    before.unpersist()
 
 
 def test_favourites_use_partial_aggregation(lake_fct):
@@ -70,12 +83,3 @@ def test_blend_search_is_one_pass_without_joins(spark):
         p = plan(out)
         assert "Join" not in p and "Expand" not in p
         assert p.count("Exchange SinglePartition") <= 1
-
-
-def test_user_mart_scans_silver_twice(lake_fct):
-    """Counts + history in one pass, both favourites in one grouping-sets pass."""
-    df = gold.user_features_monthly(lake_fct, "1998-01-01")
-    df.collect()
-    p = plan(df)
-    assert sum(1 for line in p.split("\n") if "FileScan" in line) == 2
-    assert "Expand" in p
