@@ -1003,6 +1003,90 @@ def q_interactions_backfill(spark, sf_dir):
     return round_cols(df, {"ui_recency_score"})
 
 
+@query("materialized_table")
+def q_materialized(spark, sf_dir):
+    """S-08: sessions rebuilt as a clustered table and read back."""
+    from .sources import lake as L
+    path = _scratch(spark, "sessions")
+    L.materialize_table(a1_sessions(spark, sf_dir), path, ["user_id", "session_start_date"])
+    return spark.read.parquet(path)
+
+
+@query("training_frame_from_lake")
+def q_training_frame(spark, sf_dir):
+    """S-10: the training set from stored product snapshots and calendar."""
+    from .plans.training import load_training_frame
+    from .sources import lake as L
+    fct = a1_fct_table(spark, sf_dir)
+    pf, cal = _scratch(spark, "pfm"), _scratch(spark, "cal")
+    L.rebalance(gold.product_features_backfill(fct), "snapshot_date").write.partitionBy("snapshot_date").parquet(pf)
+    L.materialize_table(silver.calendar_dates(fct), cal, ["calendar_date"])
+    return load_training_frame(spark, pf, cal)
+
+
+@query("csv_report")
+def q_csv_report(spark, sf_dir):
+    """S-12: the blend table written as a CSV report and read back."""
+    from .plans.training import write_csv_report
+    path = _scratch(spark, "blend")
+    board = _round_doubles(H.blend_search(a3_predictions(spark, sf_dir)))
+    write_csv_report(board, path)
+    return spark.read.option("header", True).schema(board.schema).csv(path)
+
+
+# The months that monthly_runs loads.
+RUN_MONTHS = ("1998-01", "1998-02")
+RUN_COLUMNS = ["snapshot_date", "user_id", "user_view_count_last_month", "user_cart_count_last_month",
+               "user_purchase_count_last_month", "user_sessions_last_month", "days_since_last_purchase"]
+
+
+@query("monthly_runs")
+def q_monthly_runs(spark, sf_dir):
+    """D-02, D-04: two months from CSV through bronze, silver, gold and assertions, one after the other.
+
+    All rows of a file have one ingestion time, so columns that depend on
+    which of an event's copies wins are left out.
+    """
+    from .plans import monthly as P
+    from .schemas import RAW_COLUMNS
+    from .sources.lake import rebalance
+    raw = a1_bronze(spark, sf_dir).select(*[F.col(f"{c}_raw").alias(c) for c in RAW_COLUMNS],
+                                          F.date_format("_load_month", "yyyy-MM").alias("month"))
+    files, lake = _scratch(spark, "files"), _scratch(spark, "lake")
+    (rebalance(raw.where(F.col("month").isin(*RUN_MONTHS)), "month").write.option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).partitionBy("month").csv(files))
+    runs = P.backfill(spark, lake, [{"load_month": m} for m in RUN_MONTHS], raw_root=files)
+    return spark.read.parquet(runs[-1]["paths"]["user_features_monthly"]).select(*RUN_COLUMNS)
+
+
+def _stand_in_scoring(spark, sf_dir):
+    from .plans.models import StandInHurdle
+    SC, feats, req, names = _scoring_with_names(spark, sf_dir)
+    return SC, S.materialize(feats), req, StandInHurdle(names)
+
+
+@query("prediction_log_appended")
+def q_prediction_log_appended(spark, sf_dir):
+    """S-11: the log of two scoring runs, each of other requests, appended to the log table and read back."""
+    SC, feats, req, model = _stand_in_scoring(spark, sf_dir)
+    path = _scratch(spark, "api_logs")
+    for part in ("prev_month_sales <= 25", "prev_month_sales > 25"):
+        SC.append_prediction_log(SC.prediction_log(SC.score_requests(req.where(part), feats, model)), path)
+    return spark.read.parquet(path).drop("timestamp", "log_date")
+
+
+@query("score_stream")
+def q_score_stream(spark, sf_dir):
+    """SC-07: request files scored as a stream of everything that is there; the log as written."""
+    from .streaming.score_stream import score_stream
+    SC, feats, req, model = _stand_in_scoring(spark, sf_dir)
+    requests, log, marks = (_scratch(spark, n) for n in ("requests", "stream_log", "stream_checkpoint"))
+    req.write.json(requests)
+    running = score_stream(spark, requests, feats, model, log, marks)
+    running.awaitTermination()
+    return spark.read.parquet(log).drop("timestamp", "log_date", "stream_id", "batch_id")
+
+
 # ------------------------------------------------ model training (rows-only)
 # Iterative model fits have no SQL equivalent: these keys have no oracle and
 # are checked on rows and schema only.

@@ -19,15 +19,16 @@ ROWS = [
     ("S-03", "sources/bronze.replace_bronze_month(s)", "bronze_reload_idempotent",
      "test_lifecycle::test_reload_is_idempotent, test_empty_file_deletes_the_month"),
     ("S-04", "sources/lake.create_namespaces", "", "test_lifecycle::test_create_tables"),
-    ("S-05", "sources/lake.create_tables", "", "test_lifecycle::test_create_tables"),
-    ("S-06", "sources/lake.upsert", "silver_upsert", "test_lifecycle::test_upsert_twice_equals_once"),
-    ("S-07", "sources/lake.snapshot_upsert", "snapshot_upsert", "test_lifecycle::test_merge_keeps_vanished_keys"),
-    ("S-08", "sources/lake.materialize_table", "", "test_lifecycle::test_monthly_runs_load_bronze_and_silver"),
+    ("S-05", "sources/lake.create_tables / publish", "", "test_lifecycle::test_tables_see_written_partitions_and_replace_deletes"),
+    ("S-06", "sources/lake.upsert", "silver_upsert",
+     "test_lifecycle::test_upsert_twice_equals_once, test_upsert_moves_a_key_to_its_new_partition, test_merge_keeps_vanished_keys"),
+    ("S-07", "sources/lake.snapshot_upsert", "snapshot_upsert", "test_lifecycle::test_gold_snapshots_match_in_memory_marts"),
+    ("S-08", "sources/lake.materialize_table", "materialized_table", "test_lifecycle::test_monthly_runs_load_bronze_and_silver"),
     ("S-09", "operators/silver.bronze_month_scan", "bronze_month_scan", ""),
-    ("S-10", "plans/training.load_training_frame", "", "test_lifecycle::test_load_training_frame_from_lake"),
-    ("S-11", "plans/scoring.append_prediction_log", "prediction_log",
+    ("S-10", "plans/training.load_training_frame", "training_frame_from_lake", "test_lifecycle::test_load_training_frame_from_lake"),
+    ("S-11", "plans/scoring.append_prediction_log", "prediction_log_appended",
      "test_lifecycle::test_append_prediction_log_and_latest_report"),
-    ("S-12", "plans/training.write_csv_report", "", "test_training::test_hurdle_training_small_grid"),
+    ("S-12", "plans/training.write_csv_report", "csv_report", "test_training::test_hurdle_training_small_grid"),
     ("S-13", "sources/bronze.split_raw_by_month", "split_raw_by_month", ""),
     ("S-14", "sources/bronze.read_manifest", "", "test_lifecycle::test_read_manifest"),
     ("S-15", "plans/models.SparkHurdleModel.save/load", "", "test_training::test_hurdle_training_small_grid"),
@@ -117,8 +118,8 @@ ROWS = [
     ("T-02", "operators/features.features_base", "features_base", ""),
     ("T-03", "operators/features.funnel_columns", "features_funnel", ""),
     ("T-04", "operators/features.extended_columns", "features_extended", ""),
-    ("T-05", "operators/features.category_vocabulary / one_hot_category", "one_hot_category",
-     "test_edges::test_one_hot_unseen_category_is_all_zero"),
+    ("T-05", "operators/features.category_index / CategoryEncoding / one_hot_category", "one_hot_category",
+     "test_edges::test_one_hot_unseen_category_is_all_zero, test_training::test_five_thousand_categories"),
     ("T-06", "operators/features.feature_columns", "training_profile", ""),
     ("T-07", "operators/features.with_split / split_by_snapshots", "split_by_snapshots", ""),
     ("T-08", "operators/features.training_profile", "training_profile", ""),
@@ -131,20 +132,20 @@ ROWS = [
      "test_edges::test_metrics_against_hand_values, test_properties::test_classification_metrics_match_brute_force"),
     ("M-07", "operators/metrics.ranking_metrics", "metric_average_precision", "test_edges::test_single_class_labels, test_properties::test_classification_metrics_match_brute_force"),
     ("M-08", "operators/metrics.regression_metrics / classification_metrics", "classification_metrics", ""),
-    ("ML-01", "plans/models.classifier_grid", "stage1_search", ""),
-    ("ML-02", "plans/models.classifier_pipeline (logistic)", "stage1_search", ""),
-    ("ML-03", "plans/models.classifier_pipeline (GBT)", "stage1_search", ""),
-    ("ML-04", "plans/models.stage1_search", "stage1_search", "test_training::test_hurdle_training_small_grid"),
-    ("ML-05", "plans/models.regressor_grid", "stage2_search", ""),
-    ("ML-06", "plans/models.regressor_pipeline (Poisson GLM), sample_weights", "sample_weights", ""),
-    ("ML-07", "plans/models.regressor_pipeline (GBT on log1p)", "stage2_search", ""),
-    ("ML-08", "plans/models.stage2_search", "stage2_search", ""),
+    ("ML-01", "plans/models.classifier_grid", "stage1_search_logistic", "test_training::test_grids_are_whole_and_caps_reach_the_estimator"),
+    ("ML-02", "plans/models.classifier_pipeline (logistic)", "stage1_search_logistic", ""),
+    ("ML-03", "plans/models.classifier_pipeline (GBT)", "", "test_training::test_hurdle_training_small_grid"),
+    ("ML-04", "plans/models.stage1_search", "stage1_search_logistic", "test_training::test_hurdle_training_small_grid"),
+    ("ML-05", "plans/models.regressor_grid", "stage2_search_poisson", "test_training::test_grids_are_whole_and_caps_reach_the_estimator"),
+    ("ML-06", "plans/models.regressor_pipeline (Poisson GLM), sample_weights", "stage2_search_poisson", "test_oracle (sample_weights)"),
+    ("ML-07", "plans/models.regressor_pipeline (GBT on log1p)", "", "test_training::test_hurdle_training_small_grid"),
+    ("ML-08", "plans/models.stage2_search", "stage2_search_poisson", ""),
     ("ML-09", "operators/hurdle.hurdle_combine", "hurdle_combine", "test_edges::test_hurdle_soft_and_hard"),
     ("ML-10", "operators/hurdle.baseline_prediction", "baseline_prediction", ""),
     ("ML-11", "operators/hurdle.blend_search / best_blend", "blend_search", "test_edges::test_blend_ties_pick_lowest_weight, test_properties::test_best_blend_is_the_brute_force_argmin"),
     ("ML-12", "operators/hurdle.model_comparison", "model_comparison", ""),
     ("ML-13", "plans/training (validation predictions)", "validation_predictions", ""),
-    ("ML-14", "plans/training.train_hurdle_model", "hurdle_training", "test_training::test_hurdle_training_small_grid"),
+    ("ML-14", "plans/training.train_hurdle_model", "hurdle_training_linear", "test_training::test_hurdle_training_small_grid"),
     ("SC-01", "plans/scoring.scoring_features", "scoring_features", ""),
     ("SC-02", "plans/scoring.scoring_lookup", "scoring_lookup", ""),
     ("SC-03", "plans/scoring.align_features", "align_features", ""),
@@ -152,12 +153,12 @@ ROWS = [
     ("SC-05", "plans/scoring.fallback_prediction", "fallback_prediction",
      "test_lifecycle::test_append_prediction_log_and_latest_report"),
     ("SC-06", "plans/scoring.prediction_log", "prediction_log", ""),
-    ("SC-07", "streaming/score_stream.score_stream", "",
+    ("SC-07", "streaming/score_stream.score_stream", "score_stream",
      "test_lifecycle::test_stream_scoring_equals_batch_and_is_exactly_once"),
     ("D-01", "plans/monthly.run_params / compute_run_params", "run_params", "test_edges::test_run_params_december_rollover"),
-    ("D-02", "plans/monthly.run_month", "", "test_lifecycle::test_monthly_runs_load_bronze_and_silver"),
+    ("D-02", "plans/monthly.run_month", "monthly_runs", "test_lifecycle::test_monthly_runs_load_bronze_and_silver"),
     ("D-03", "plans/monthly.run_month(run_id=None) -> manual_<month>", "", "test_lifecycle::test_reload_is_idempotent"),
-    ("D-04", "plans/monthly.backfill / backfill_one_job", "", "test_lifecycle::test_one_job_backfill_equals_monthly_runs"),
+    ("D-04", "plans/monthly.backfill / backfill_one_job", "monthly_runs", "test_lifecycle::test_one_job_backfill_equals_monthly_runs"),
 ]
 
 
