@@ -168,10 +168,10 @@ def dim_calendar(calendar: DataFrame) -> DataFrame:
 def session_start(sess: DataFrame, calendar: DataFrame) -> DataFrame:
     """gold.session_start: sessions + hour and weekend flag of the start day.
 
-    The calendar has one row per day of the data's date range (a few
-    thousand rows for decades of data), so it is broadcast.
+    The calendar has one row per day of the data's date range, and a single
+    wrong date can stretch that, so Spark measures it and picks the join.
     """
-    cal = F.broadcast(calendar.select("calendar_date", "is_weekend"))
+    cal = calendar.select("calendar_date", "is_weekend")
     j = sess.join(cal, F.to_date(sess.session_start_ts) == cal.calendar_date, "left")
     return j.select(
         "user_session", "user_id", "session_start_ts", "session_start_date",

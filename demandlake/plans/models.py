@@ -201,6 +201,33 @@ def stage2_search(train: DataFrame, val: DataFrame, feature_cols: list[str], gri
     return board, models
 
 
+def logistic_gradient(model: PipelineModel, rows: DataFrame, n_rows: int, c: float) -> DataFrame:
+    """(check_name, residual): the loss's slope in each coefficient at the fitted model; zero at the optimum.
+
+    The loss is the mean log loss and half the squared coefficients over
+    c * n_rows.  Elements are summed by position, so no row leaves Spark.
+    """
+    fitted = model.stages[-1]
+    slope = F.col("p") - F.col("label")
+    scored = model.transform(rows).select(vector_to_array("probability")[1].alias("p"), "label", vector_to_array("features").alias("x"))
+    parts = scored.select(slope.alias("d"), F.posexplode("x").alias("pos", "v")).groupBy("pos").agg(F.avg(F.col("d") * F.col("v")).alias("g"))
+    weights = F.array(*[F.lit(float(w)) for w in fitted.coefficients.toArray()])
+    inner = parts.select(F.concat(F.lit("coefficient_"), F.col("pos").cast("string")).alias("check_name"),
+                         (F.col("g") + F.element_at(weights, F.col("pos") + 1) / (c * n_rows)).alias("residual"))
+    outer = scored.agg(F.avg(slope).alias("residual")).select(F.lit("intercept").alias("check_name"), "residual")
+    return inner.unionByName(outer)
+
+
+def poisson_balance(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """(check_name, residual): the weighted mean of predicted less observed over that of observed; zero at the optimum.
+
+    The intercept is not penalised, so its slope in the Poisson loss vanishes.
+    """
+    scored = model.transform(rows)
+    w, y, mu = F.col("weight"), F.col("y"), F.col("prediction")
+    return scored.agg((F.sum(w * (mu - y)) / F.sum(w * y)).alias("residual")).select(F.lit("intercept").alias("check_name"), "residual")
+
+
 # ------------------------------------------------------------ the model
 
 class SparkHurdleModel:

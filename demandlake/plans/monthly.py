@@ -87,8 +87,7 @@ def run_month(spark, lake_root: str, load_month: str, raw_uri: str, run_id: str
     L.snapshot_upsert(gold.user_product_interactions_monthly(fct, snap),
                       p["user_product_interactions_monthly"], ["snapshot_date", "user_id", "product_id"], snap)
 
-    checks = quality.assertions(bronze, fct, load_month, snap)
-    summary = quality.run_assertions(checks)
+    summary = quality.run_assertions(bronze, fct, load_month, snap)
     return {"params": params, "paths": p, "assertions": summary}
 
 

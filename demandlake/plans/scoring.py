@@ -47,12 +47,14 @@ def scoring_features(product_features: DataFrame, calendar: DataFrame) -> DataFr
 def scoring_lookup(requests: DataFrame, features: DataFrame) -> DataFrame:
     """Requests left-joined to features on the integer product id.
 
-    A non-numeric id finds no features (has_features = false).  Both sides
-    grow with the data, so the join strategy is left to AQE's size checks.
+    A non-numeric id finds no features (has_features = false) and goes around
+    the join, as all such requests would meet in one task.  Both sides grow
+    with the data, so the join strategy is left to AQE's size checks.
     """
     feats = features.select(*[F.col(c).alias(f"f_{c}") for c in features.columns])
     req = requests.withColumn("_pid", X.safe_bigint("product_id"))
-    j = req.join(feats, req["_pid"] == feats["f_product_id"], "left")
+    j = req.where(F.col("_pid").isNotNull()).join(feats, F.col("_pid") == F.col("f_product_id"), "left").unionByName(
+        req.where(F.col("_pid").isNull()), allowMissingColumns=True)
     return j.select(
         *REQUEST_COLUMNS,
         F.col("f_product_id").isNotNull().alias("has_features"),
@@ -99,7 +101,9 @@ def score_requests(requests: DataFrame, features: DataFrame, model=None,
 
     With a model and features: soft hurdle prediction.  Without features
     or without a model: fallback, 'mock-v1'.  If the model cannot be
-    applied to this frame: fallback, 'mock-fallback'.
+    applied to this frame: fallback, 'mock-fallback'.  That is found when the
+    plan is made; a model that fails on single rows fails the job, as a batch
+    must not hide that.
     """
     looked = scoring_lookup(requests, features)
     fb = fallback_prediction(F.col("prev_month_sales"), F.col("product_id"), seed)

@@ -479,13 +479,8 @@ def q_a4(spark, sf_dir):
 
 @query("assertion_summary")
 def q_a5(spark, sf_dir):
-    pre = _a1_precheck(spark, sf_dir)
-    return Q.assertion_summary({
-        "assert_events_primary_keys": Q.assert_events_primary_keys(pre),
-        "assert_load_month_in_bronze": Q.assert_load_month_in_bronze(a1_bronze(spark, sf_dir), "1998-01"),
-        "assert_snapshot_date_after_events": Q.assert_snapshot_date_after_events(a1_fct(spark, sf_dir), "2002-01-01"),
-        "assert_valid_event_types": Q.assert_valid_event_types(pre),
-    })
+    return Q.assertion_summary(a1_bronze(spark, sf_dir), _a1_precheck(spark, sf_dir), "1998-01", "2002-01-01",
+                               dated=a1_fct(spark, sf_dir))
 
 
 # ------------------------------------------------------- training features
@@ -1125,3 +1120,28 @@ def q_train(spark, sf_dir):
     res = TR.train_hurdle_model(a1_training(spark, sf_dir), classifiers=MD.linear_only(MD.classifier_grid()),
                                 regressors=MD.linear_only(MD.regressor_grid()))
     return res["comparison"]
+
+
+@query("fit_optimality")
+def q_fit_optimality(spark, sf_dir):
+    """ML-02, 04, 06, 08: slopes of the losses at the fitted linear models, and whether the boards' first rows are best."""
+    from functools import reduce
+
+    from .plans import models as MD
+    train, val, names = _train_val(spark, sf_dir)
+    clf, reg = MD.linear_only(MD.classifier_grid()), MD.linear_only(MD.regressor_grid())
+    board1, models1 = MD.stage1_search(train, val, names, clf)
+    board2, models2 = MD.stage2_search(train, val, names, reg)
+    y = F.col("target_next_period").cast("double")
+    rows = train.withColumn("label", (y > 0).cast("double"))
+    n = rows.count()
+    parts = [MD.logistic_gradient(m, rows, n, c["params"]["C"]).withColumn("run_name", F.lit(run))
+             for (run, m), c in zip(models1.items(), clf)]
+    positive = MD.sample_weights(train.where(y > 0)).withColumn("y", y)
+    parts += [MD.poisson_balance(m, positive).withColumn("run_name", F.lit(run)) for run, m in models2.items()]
+    first1, first2 = board1.first(), board2.first()
+    best = [("stage1", "first_row", first1["val_pr_auc"] - board1.agg(F.max("val_pr_auc")).first()[0]),
+            ("stage2", "first_row", first2["val_rmse"] - board2.agg(F.min("val_rmse")).first()[0])]
+    parts.append(spark.createDataFrame(best, "run_name string, check_name string, residual double"))
+    whole = reduce(DataFrame.unionByName, parts)
+    return whole.select("run_name", "check_name", F.abs(F.round("residual", 3)).alias("residual"))

@@ -226,3 +226,20 @@ def test_user_backfills_equal_single_runs(spark, sf_dir, one_job, single):
     assert bf.count() > 0
     assert bf.exceptAll(runs).count() == 0 and runs.exceptAll(bf).count() == 0
     fct.unpersist()
+
+
+def test_a_model_that_does_not_fit_gives_the_fallback(spark):
+    from demandlake.plans import scoring as SC
+
+    class Broken:
+        feature_names = ["product_price"]
+
+        def predict_soft(self, df):
+            return df.select("no_such_column")
+
+    req = spark.createDataFrame([("1", "b", "c", 1.0, 10), ("x", "b", "c", 1.0, 10)],
+                                "product_id string, brand string, category string, price double, prev_month_sales long")
+    feats = spark.createDataFrame([(1,)], "product_id long").select(
+        *[F.col("product_id") if c == "product_id" else F.lit(None).cast("double").alias(c) for c in SC.SCORING_FEATURE_COLUMNS])
+    got = {r.product_id: r.model_version for r in SC.score_requests(req, feats, Broken()).collect()}
+    assert got == {"1": "mock-fallback", "x": "mock-v1"}

@@ -133,11 +133,11 @@ ROWS = [
     ("M-07", "operators/metrics.ranking_metrics", "metric_average_precision", "test_edges::test_single_class_labels, test_properties::test_classification_metrics_match_brute_force"),
     ("M-08", "operators/metrics.regression_metrics / classification_metrics", "classification_metrics", ""),
     ("ML-01", "plans/models.classifier_grid", "stage1_search_logistic", "test_training::test_grids_are_whole_and_caps_reach_the_estimator"),
-    ("ML-02", "plans/models.classifier_pipeline (logistic)", "stage1_search_logistic", ""),
+    ("ML-02", "plans/models.classifier_pipeline (logistic)", "fit_optimality", ""),
     ("ML-03", "plans/models.classifier_pipeline (GBT)", "", "test_training::test_hurdle_training_small_grid"),
     ("ML-04", "plans/models.stage1_search", "stage1_search_logistic", "test_training::test_hurdle_training_small_grid"),
     ("ML-05", "plans/models.regressor_grid", "stage2_search_poisson", "test_training::test_grids_are_whole_and_caps_reach_the_estimator"),
-    ("ML-06", "plans/models.regressor_pipeline (Poisson GLM), sample_weights", "stage2_search_poisson", "test_oracle (sample_weights)"),
+    ("ML-06", "plans/models.regressor_pipeline (Poisson GLM), sample_weights", "fit_optimality", "test_oracle (sample_weights)"),
     ("ML-07", "plans/models.regressor_pipeline (GBT on log1p)", "", "test_training::test_hurdle_training_small_grid"),
     ("ML-08", "plans/models.stage2_search", "stage2_search_poisson", ""),
     ("ML-09", "operators/hurdle.hurdle_combine", "hurdle_combine", "test_edges::test_hurdle_soft_and_hard"),
@@ -149,7 +149,7 @@ ROWS = [
     ("SC-01", "plans/scoring.scoring_features", "scoring_features", ""),
     ("SC-02", "plans/scoring.scoring_lookup", "scoring_lookup", ""),
     ("SC-03", "plans/scoring.align_features", "align_features", ""),
-    ("SC-04", "plans/scoring.score_requests", "score_requests", ""),
+    ("SC-04", "plans/scoring.score_requests", "score_requests", "test_edges::test_a_model_that_does_not_fit_gives_the_fallback"),
     ("SC-05", "plans/scoring.fallback_prediction", "fallback_prediction",
      "test_lifecycle::test_append_prediction_log_and_latest_report"),
     ("SC-06", "plans/scoring.prediction_log", "prediction_log", ""),
