@@ -27,7 +27,7 @@ BLOCK_TOKENS = 1_000_000
 #: Bisection steps that one pass over the source table settles, and passes.
 STEPS, PASSES = 5, 8
 #: Documents of one source and pass that are numbered together.
-SHARD_ROWS = 20_000
+SHARD_ROWS = 2_000
 
 
 def tokens(text: Column) -> Column:
