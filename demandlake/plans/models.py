@@ -148,6 +148,13 @@ def _fit_all(grid: list[dict], prefix: str, fit) -> list[tuple[str, dict, object
 #: Fits that run side by side; each is a distributed job of its own.
 FIT_THREADS = 3
 
+def _board(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    """The leaderboard; a metric that is undefined for every run is a column of nulls."""
+    names = list(rows[0])
+    kinds = ", ".join(f"{c} {'string' if c in ('run_name', 'algo', 'params') else 'double'}" for c in names)
+    return spark.createDataFrame([[None if r[c] is None else r[c] if isinstance(r[c], str) else float(r[c]) for c in names] for r in rows], kinds)
+
+
 def stage1_search(train: DataFrame, val: DataFrame, feature_cols: list[str], grid: list[dict],
                   threshold: float = 0.5):
     """Fit each classifier config; leaderboard sorted by val_pr_auc desc."""
@@ -166,7 +173,7 @@ def stage1_search(train: DataFrame, val: DataFrame, feature_cols: list[str], gri
     finally:
         tr.unpersist()
         va.unpersist()
-    board = spark.createDataFrame(rows).orderBy(F.col("val_pr_auc").desc_nulls_last(), "run_name")
+    board = _board(spark, rows).orderBy(F.col("val_pr_auc").desc_nulls_last(), "run_name")
     return board, models
 
 
@@ -197,7 +204,7 @@ def stage2_search(train: DataFrame, val: DataFrame, feature_cols: list[str], gri
     finally:
         tr.unpersist()
         va.unpersist()
-    board = spark.createDataFrame(rows).orderBy(F.col("val_rmse").asc_nulls_last(), "run_name")
+    board = _board(spark, rows).orderBy(F.col("val_rmse").asc_nulls_last(), "run_name")
     return board, models
 
 

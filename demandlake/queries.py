@@ -1140,8 +1140,8 @@ def q_fit_optimality(spark, sf_dir):
     positive = MD.sample_weights(train.where(y > 0)).withColumn("y", y)
     parts += [MD.poisson_balance(m, positive).withColumn("run_name", F.lit(run)) for run, m in models2.items()]
     first1, first2 = board1.first(), board2.first()
-    best = [("stage1", "first_row", first1["val_pr_auc"] - board1.agg(F.max("val_pr_auc")).first()[0]),
-            ("stage2", "first_row", first2["val_rmse"] - board2.agg(F.min("val_rmse")).first()[0])]
+    best = [("stage1", "first_row", (first1["val_pr_auc"] or 0.0) - (board1.agg(F.max("val_pr_auc")).first()[0] or 0.0)),
+            ("stage2", "first_row", (first2["val_rmse"] or 0.0) - (board2.agg(F.min("val_rmse")).first()[0] or 0.0))]
     parts.append(spark.createDataFrame(best, "run_name string, check_name string, residual double"))
     whole = reduce(DataFrame.unionByName, parts)
     return whole.select("run_name", "check_name", F.abs(F.round("residual", 3)).alias("residual"))
