@@ -2,6 +2,7 @@
 
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -175,6 +176,50 @@ def test_kneser_ney_matches_brute_force(spark):
                 assert math.isclose(got, p(lang, gram), rel_tol=1e-9), (gram, lang)
 
 
+@pytest.mark.parametrize("model_bytes", [langid.MODEL_BYTES, 20_000, 0])
+def test_language_scores_match_brute_force(spark, monkeypatch, model_bytes):
+    """More n-grams than a short hash can tell apart: none is taken for another, in arrays and in joined tables."""
+    monkeypatch.setattr(langid, "MODEL_BYTES", model_bytes)
+    rnd = random.Random(4)
+    letters = [chr(0x4E00 + k) for k in range(2500)]
+    texts = {lang: ["".join(rnd.choices(part, k=300)) for _ in range(60)] for lang, part in (("xx", letters[:1500]), ("yy", letters[1000:]))}
+    n, d = langid.ORDER, langid.DISCOUNT
+    model = {}
+    for lang, ts in texts.items():
+        c = {n: Counter(s[i:i + n] for t in ts for s in ["\n" * (n - 1) + t + "\n"] for i in range(len(s) - n + 1))}
+        for k in range(n - 1, 0, -1):
+            c[k] = Counter(g[1:] for g in c[k + 1])
+        model[lang] = c, {k: Counter() for k in c}, {k: Counter(g[:-1] for g in c[k]) for k in c}
+        for k in c:
+            for g, v in c[k].items():
+                model[lang][1][k][g[:-1]] += v
+    alphabet = len({g for c, *_ in model.values() for g in c[1]}) + 1
+
+    def p(lang, gram):
+        if not gram:
+            return 1 / alphabet
+        c, total, kinds = (part[len(gram)] for part in model[lang])
+        low = p(lang, gram[1:])
+        h = gram[:-1]
+        return max(c[gram] - d, 0) / total[h] + d * kinds[h] / total[h] * low if total[h] else low
+
+    learn = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 5][:120]
+    held = [k for k in range(1000) if not zlib.crc32(str(k).encode()) % 5][:30]
+    asked = {k: "".join(rnd.choices(letters, k=rnd.randint(1, 300))) for k in held}
+    rows = [(k, t, lang) for k, (t, lang) in zip(learn, [(t, lang) for lang, ts in texts.items() for t in ts])] + [(k, t, None) for k, t in asked.items()]
+    docs = spark.createDataFrame(rows + rows[-1:], "doc_id long, text string, lang string")
+    fitted = langid.fit(docs)
+    assert ("tables" in fitted) == (model_bytes < langid.ORDER * 10**5)
+    found = langid.identify(docs.where("lang is null"), fitted, ["doc_id"]).collect()
+    assert len(found) == len(asked) + 1
+    for r in found:
+        s = "\n" * (n - 1) + asked[r.doc_id] + "\n"
+        grams = [s[i:i + n] for i in range(len(s) - n + 1)]
+        want = {lang: -sum(math.log(p(lang, g)) for g in grams) / len(grams) for lang in texts}
+        assert r.lang_pred == min(want, key=want.get)
+        assert math.isclose(r.entropy, min(want.values()), rel_tol=1e-5)
+
+
 def test_base_counts_match_brute_force(spark):
     rnd = random.Random(6)
     parts = ["a", "b", "Ü", "#", "<x>", "\n", "\n\n", " ", "\t", "a b", "\x1f", " ", "c\x0bd", "日本|", "line one\nline one\n"]
