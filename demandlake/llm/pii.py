@@ -112,6 +112,12 @@ def _matches(text: Column, kind: Kind) -> Column:
     pattern = F.lit(kind.pattern)
 
     def place(z: Column) -> Column:
+        # The last and the first NEAR characters of a match with the gap before and after it.
+        return _let(F.struct(z["g"].alias("g"), z["m"].alias("m"),
+                             F.transform(z["m"], lambda x, i: F.right(F.concat(z["g"][i], x), F.lit(NEAR))).alias("l"),
+                             F.transform(z["m"], lambda x, i: F.left(F.concat(x, z["g"][i + 1]), F.lit(NEAR))).alias("r")), placed)
+
+    def placed(z: Column) -> Column:
         lengths = F.transform(z["m"], lambda x, i: F.length(x) + F.length(z["g"][i]))
         return _let(lengths, lambda n: _let(
             F.transform(F.sequence(F.lit(0), F.floor(F.size(n) / SUMS).cast("int")), lambda b: _total(F.slice(n, b * SUMS + 1, SUMS))),
@@ -121,8 +127,14 @@ def _matches(text: Column, kind: Kind) -> Column:
     def span(z: Column, n: Column, before: Column, x: Column, i: Column) -> Column:
         block = F.floor(i / SUMS).cast("int")
         start = before[block] + _total(F.slice(n, block * SUMS + 1, i % SUMS)) + F.length(z["g"][i])
-        near = F.lower(F.concat_ws(" ", F.right(z["g"][i], F.lit(NEAR)), F.left(z["g"][i + 1], F.lit(NEAR))))
-        said = F.regexp_like(near, F.lit(rf"(?<![a-z])(?:{WORDS[kind.name]})"))
+        # A match has two characters at least, so that so many neighbours fill the window.
+        most = NEAR // 2
+        first = F.greatest(i - most, F.lit(0))
+        before_it = F.right(F.concat(F.array_join(F.slice(z["l"], first + 1, i - first), ""), z["g"][i]), F.lit(NEAR))
+        after_it = F.left(F.concat(z["g"][i + 1], F.array_join(F.slice(z["r"], i + 2, F.lit(most)), "")), F.lit(NEAR))
+        near = F.lower(F.concat_ws(" ", before_it, after_it))
+        # Only confirmed matches need their context.
+        said = kind.check(x) & F.regexp_like(near, F.lit(rf"(?<![a-z])(?:{WORDS[kind.name]})"))
         return F.struct(F.lit(kind.name).alias("kind"), start.cast("long").alias("start"), (start + F.length(x)).cast("long").alias("end"),
                         x.alias("text"), F.least(F.lit(1.0), kind.score + F.when(said, CONTEXT).otherwise(0.0)).alias("score"),
                         kind.check(x).alias("ok"))

@@ -4,6 +4,7 @@ import glob
 import hashlib
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,35 @@ def test_added_spans_need_checksums_and_context(spark, text, want):
     assert [s.kind for s in row.added] == want and all(s.text == text[s.start:s.end] and s.score >= pii.ACCEPT for s in row.added)
 
 
+def test_context_reaches_over_other_proposals(spark):
+    cases = [
+        ("SSN: 123-45-6789, 234-56-7890, 345-67-8901", ["ssn"] * 3),
+        ("123-45-6789 234-56-7890 are their ssn", ["ssn"] * 2),
+        ("Amex credit card (exp 05/27): 378282246310005", ["short_card"]),
+        ("378282246310005 of 01/02/2027 11:12 and 13 is an amex", ["short_card"]),
+        ("card 11/22/33/44/55/66/77/88/99/11/22/ 378282246310005", ["short_card"]),
+        ("card 11/22/33/44/55/66/77/88/99/11/22/33/44 378282246310005", []),
+        ("ssn " + "." * 36 + "123-45-6789", ["ssn"]), ("ssn " + ".," * 20 + " 123-45-6789", [])]
+    rows = pii.spans(spark.createDataFrame(list(enumerate(t for t, _ in cases)), "doc_id long, text string")).collect()
+    assert {r.doc_id: [s.kind for s in r.added] for r in rows} == {k: want for k, (_, want) in enumerate(cases)}
+
+
+def test_context_is_cut_from_the_text(spark):
+    rnd = random.Random(12)
+    parts = [" 123-45-6789", " 378282246310005", " 27", "/", " card", " ssn", " x", ", ", " filler word", " 05/27", "é"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(5, 60))) for _ in range(200)] + ["ssn " + "123-45-6789 " * 300]
+    for r in pii.spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        text, got = texts[r.doc_id], {(s.kind, s.start) for s in r.added}
+        for kind in pii.ADDED[1:]:
+            for m in re.finditer(kind.pattern, text):
+                digits = re.sub("[^0-9]", "", m.group())
+                ok = kind.name == "ssn" or 13 <= len(digits) <= 15 and brute.luhn(digits)
+                near = (text[max(m.start() - pii.NEAR, 0):m.start()] + " " + text[m.end():m.end() + pii.NEAR]).lower()
+                said = re.search(rf"(?<![a-z])(?:{pii.WORDS[kind.name]})", near)
+                covered = any(b.start < m.end() and m.start() < b.end for b in r.base)
+                assert ((kind.name, m.start()) in got) == bool(ok and said and not covered), (text[:200], m)
+
+
 def test_native_plan_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "a@b.c")], "doc_id long, text string")
     plan = pii.spans(docs)._jdf.queryExecution().toString()
