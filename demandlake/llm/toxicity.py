@@ -9,10 +9,12 @@ A text is read word by word through a chain of transducers.
 2. The clause transducer cuts the symbols into clauses and passes on those
    with an insult or a threat.
 3. The context transducer reads each of these clauses and gives every match
-   one state: negated, reported, targeted or plain.
+   one state: negated, reported, targeted or plain.  A threat's target is
+   sought in its whole clause.
 
 A document's features sum the weights of its matches by state, so clauses
-are scored, not isolated words.  A logistic model over the features, also
+are scored, not isolated words.  Threats have features of their own besides,
+by state and by closeness to their targets.  A logistic model over the features, also
 learned from labelled rows, gives the score.
 """
 
@@ -42,8 +44,10 @@ INSULTS = """idiot moron stupid loser scum trash worthless pathetic disgusting c
 idiota dummkopf abschaum versager imbécile crétin ordure imbécil estúpido basura""".split()
 THREATS = """kill hurt destroy murder strangle shoot stab burn
 töten umbringen tuer frapper matar golpear""".split()
-TARGETS = """you your yours yourself u ur they them he she
-du dich dir ihr euch tu te toi vous tú usted ustedes ti""".split()
+TARGETS = """you your yours yourself yourselves u ur they them their theirs themselves
+he him his himself she her hers herself
+du dich dir dein deine ihr euch euer eure er ihn ihm ihnen sie
+tu te toi ton vous votre vos il ils elle elles lui leur eux tú usted ustedes ti vosotros os él ella ellos ellas""".split()
 NEGATIONS = """not no never nobody isn't aren't wasn't don't doesn't didn't
 nicht kein keine niemals ne pas jamais nunca jamás""".split()
 REPORTS = """said says say told tells called calls claimed wrote quoted quote according
@@ -54,7 +58,8 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, BREAK = b"OITGNRB"
 CLAUSE_END = ".!?;:…"
 QUOTES = "\"'“”„«»"
 
-FEATURES = ["plain", "targeted", "negated", "reported", "clauses", "largest"]
+FEATURES = ["plain", "targeted", "negated", "reported", "clauses", "largest",
+            "close_threats", "plain_threats", "negated_threats", "reported_threats"]
 
 
 def _trim(part: str) -> str:
@@ -112,43 +117,63 @@ _TARGETED = re.compile(rb"G[ORI]{0,4}$", re.I)
 _TARGET_NEXT = re.compile(rb"[ORI]{0,4}G", re.I)
 
 
-def clauses(text: str, read, arcs: dict[str, float]) -> list[tuple[int, int, str, float, str]]:
+class Matches(list):
+    """(clause, part, state, weight, word) of insults and targeted threats; threats: (state, words to the target) of all threats."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.threats: list[tuple[str, int]] = []
+
+
+def _target_distance(before: bytes, after: bytes) -> int:
+    """Words from a match to the closest target in its clause; 0 if it has none."""
+    before, after = before.upper(), after.upper()
+    return min((d for d in (len(before) - before.rfind(b"G") if b"G" in before else 0, after.find(b"G") + 1) if d), default=0)
+
+
+def clauses(text: str, read, arcs: dict[str, float]) -> Matches:
     """Matches of a whole text: (clause, part, state, weight, word)."""
     symbols, parts = read(text)
+    found = Matches()
     if not _MATCH.search(symbols):
-        return []
-    found = []
+        return found
     for k, clause in enumerate(_CLAUSE.finditer(symbols)):
         line = clause.group()
         for m in _MATCH.finditer(line):
             before, after = line[: m.start()], line[m.end():]
             part = parts[clause.start() + m.start()]
             word = _trim(part)
+            threat = line[m.start()] | 32 == THREAT | 32
+            distance = _target_distance(before, after) if threat else 0
             if _NEGATED.search(before):
                 state = "negated"
             elif _REPORTED.search(before) or (part[0] in QUOTES and part[-1] in QUOTES):
                 state = "reported"
-            elif _TARGETED.search(before) or _TARGET_NEXT.match(after):
+            elif distance or (not threat and (_TARGETED.search(before) or _TARGET_NEXT.match(after))):
                 state = "targeted"
             else:
                 state = "plain"
-            threat = line[m.start()] | 32 == THREAT | 32
-            # A threat counts only where it has a target.
+            if threat:
+                found.threats.append((state, distance))
+            # A threat counts among the insults only where it has a target.
             weight = (1.0 if state == "targeted" else 0.0) if threat else arcs[arc_of(word, arcs)]
             if weight:
                 found.append((k, clause.start() + m.start(), state, weight, word))
     return found
 
 
-def features(found: list[tuple[int, int, str, float, str]]) -> list[float]:
+def features(found: Matches) -> list[float]:
     """FEATURES of the matches of one text."""
     from math import log1p
 
     sums = dict.fromkeys(FEATURES[:4], 0.0)
     for _, _, state, weight, _ in found:
         sums[state] += weight
+    # The closer a target, the more a threat counts; how much is learned.
+    close = sum(1 / distance for state, distance in found.threats if state == "targeted")
     return [log1p(sums[s]) for s in FEATURES[:4]] + [
-        log1p(len({k for k, *_ in found})), max((w for *_, w, _ in found), default=0.0)]
+        log1p(len({k for k, *_ in found})), max((w for *_, w, _ in found), default=0.0), log1p(close)] + [
+        log1p(sum(state == s for state, _ in found.threats)) for s in ("plain", "negated", "reported")]
 
 
 def _text_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:

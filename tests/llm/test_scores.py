@@ -42,6 +42,38 @@ def test_grammar_states(text, want):
     assert states(text) == want
 
 
+@pytest.mark.parametrize("text, want, threats", [
+    ("I will kill every single last one of you", [("targeted", 1.0)], [("targeted", 6)]),
+    ("I will kill him", [("targeted", 1.0)], [("targeted", 1)]),
+    ("we shall hurt her. fine", [("targeted", 1.0)], [("targeted", 1)]),
+    ("I will kill and never more stop to hurt you", [("targeted", 1.0)] * 2, [("targeted", 7), ("targeted", 1)]),
+    ("I will not kill you", [], [("negated", 1)]),
+    ("she said kill you", [], [("reported", 1)]),
+    ("kill the process. you", [], [("plain", 0)]),
+    ("fine", [], []),
+])
+def test_threats_look_for_targets_in_the_whole_clause(text, want, threats):
+    found = toxicity.clauses(text, toxicity.lexer(ARCS), ARCS)
+    assert [(s, w) for _, _, s, w, _ in found] == want and found.threats == threats
+    assert len(toxicity.features(found)) == len(toxicity.FEATURES) and any(toxicity.features(found)) == bool(threats)
+
+
+def test_threats_without_a_target_are_learned(spark, tmp_path):
+    rnd = random.Random(3)
+    rows = []
+    for k in range(700):
+        words = ["".join(rnd.choices("bdfglmn", k=5)) for _ in range(20)]
+        toxic = int(rnd.random() < 0.3)
+        if toxic:  # every threat word is too rare to become an arc
+            words.insert(5, f"{rnd.choice(toxicity.THREATS)}")
+        rows.append((k, " ".join(words), toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs.select("doc_id", "toxic").write.parquet(str(tmp_path / "labels.parquet"))
+    fitted = toxicity.fit(spark, docs, str(tmp_path))
+    assert fitted["weights"][1 + toxicity.FEATURES.index("plain_threats")] > 1
+    assert all(w >= 0 for w in fitted["weights"][1:])
+
+
 def test_long_text_is_read_whole():
     assert states("fine words here. " * 30_000 + "idiot") == [("plain", 3.0)]
 
