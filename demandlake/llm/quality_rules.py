@@ -34,11 +34,11 @@ STEPS = 6
 GRID, LOG_GRID = 1024, 64
 #: A group with fewer rows takes the estimate of its language, and that of all rows if those are few too.
 MIN_ROWS = 200
-#: Least standard deviation of each statistic, so that constant ones do not make every other value an outlier.
-FLOOR = (0.25, 0.10, 0.30, 0.30, 0.30)
-#: Squared distance beyond which a text is rejected.  Five statistics of normal rows pass 20.5 once in
-#: a thousand; texts have heavier tails, so the limit is three times that.
-LIMIT = 60.0
+#: Added standard deviation of each statistic, so that constant ones do not make every other value an outlier: for
+#: symbols, lines and repeats what one symbol, one line and one repeated window change in a text of 200 words.
+FLOOR = (0.25, 0.10, 0.405, 0.049, 0.262)
+#: Squared distance beyond which a text is rejected: the 0.999 quantile of chi2 of 5, as there are five statistics.
+LIMIT = 20.515
 
 STATISTICS = ["log_words", "log_word_chars", "log_symbols", "log_dup_lines", "log_repeats"]
 

@@ -310,3 +310,22 @@ def test_quality_rules_reject_outliers_only(spark):
     kept = quality_rules.kept(docs)
     assert kept.columns == docs.columns and kept.count() == 700 - 35 + 1
     assert quality_rules.judged(docs.where("false")).collect() == []
+
+
+def test_repeated_halves_and_duplicate_lines_are_outliers(spark):
+    rnd = random.Random(10)
+
+    def words(n):
+        return ["".join(rnd.choices("abcdefghij", k=rnd.randint(3, 8))) for _ in range(n)]
+
+    rows = [(k, "\n".join(" ".join(words(10)) for _ in range(20))) for k in range(400)]
+    line = " ".join(words(10))
+    rows.append((1000, "\n".join([line] * 10 + [" ".join(words(10)) for _ in range(10)])))  # half the words are one line
+    rows.append((1001, "\n".join([" ".join(words(2))] * 30 + [" ".join(words(10)) for _ in range(14)])))
+    rows.append((1002, " ".join(words(100) + words(20) * 5)))
+    short = [" ".join(words(10)) for _ in range(4)]
+    rows.append((1003, "\n".join(short * 2 + [" ".join(words(12)) for _ in range(12)])))  # each of four lines twice
+    docs = spark.createDataFrame([(k, t, "en", "s") for k, t in rows], "doc_id long, text string, lang string, source string")
+    found = {r.doc_id: r for r in quality_rules.judged(docs).collect()}
+    assert not any(found[k].base_failed for k in (1000, 1001, 1002, 1003))
+    assert [k for k, r in sorted(found.items()) if not r.kept] == [1000, 1001, 1002, 1003]
