@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm import exact_dedup, langid, mixing, packing, pii, quality_gam, quality_rules, simhash, toxicity, warc
+from demandlake.llm import (exact_dedup, html_text, langid, mixing, packing, pii, quality_gam, quality_rules, simhash,
+                            toxicity, warc)
 from demandlake.llm.common import documents
 
 
@@ -66,6 +67,11 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.fixity(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -77,6 +83,7 @@ QUERIES = {
     "op8_quality_gam": op8_quality_gam,
     "op9_langid": op9_langid,
     "op10_warc_fixity": op10_warc_fixity,
+    "op13_html_text": op13_html_text,
 }
 
 _RECORD = """'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
