@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm import (exact_dedup, html_text, langid, mixing, packing, pii, quality_gam, quality_rules, simhash,
-                            toxicity, warc)
+from demandlake.llm import (exact_dedup, html_text, langid, manifest, mixing, packing, pii, quality_gam, quality_rules,
+                            simhash, toxicity, warc)
 from demandlake.llm.common import documents
 
 
@@ -67,6 +67,11 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.fixity(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents, and the roots folded from tampered copies."""
+    return manifest.audit(documents(spark, sf_dir))
+
+
 def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     return html_text.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_quality_gam": op8_quality_gam,
     "op9_langid": op9_langid,
     "op10_warc_fixity": op10_warc_fixity,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_html_text": op13_html_text,
 }
 
@@ -91,7 +97,63 @@ _RECORD = """'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13
     || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))::VARCHAR
     || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)"""
 
+
+
+def _manifest_sql(levels: int = 6, source_levels: int = 3) -> str:
+    """The manifest with its levels spelt out: up to 16 ** levels rows a source and 16 ** source_levels sources."""
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value})::VARCHAR || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text))) + ")"
+
+    # crc32 of the decimal doc_id: each character, then eight shifts.
+    crc = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+             lambda ch: list_concat([ascii(ch)::BIGINT], list_transform(range(8), lambda i: -1::BIGINT))))),
+             lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))"""
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+    def climb(name: str, start: str, key: str, top: int) -> tuple[list[str], str]:
+        """Levels name0 to name<top> over start(key, node, n, hash), and the last one."""
+        found = [f"{name}0 AS (SELECT {key}, node, n, hash FROM {start})"]
+        for k in range(1, top + 1):
+            found.append(f"{name}g{k} AS (SELECT {key}, node // 16 AS node, any_value(n) AS n, list(hash ORDER BY node) AS run "
+                         f"FROM {name}{k - 1} GROUP BY {key}, node // 16)")
+            found.append(f"{name}{k} AS (SELECT {key}, node, (n + 15) // 16 AS n, "
+                         f"CASE WHEN n = 1 THEN run[1] ELSE sha256(array_to_string(run, '')) END AS hash FROM {name}g{k})")
+        return found, f"{name}{top}"
+
+    def fold(name: str, start: str, key: str, top: int, position: str) -> tuple[list[str], str]:
+        """Follow position through the runs of name: proof grows, folded is hashed on."""
+        found, last = [], start
+        for k in range(1, top + 1):
+            slot = f"l.{position} // {16 ** (k - 1)} % 16"
+            left, right = f"array_to_string(g.run[1:{slot}], '')", f"array_to_string(g.run[{slot} + 2:], '')"
+            found.append(f"{start}{name}{k} AS (SELECT l.* REPLACE (CASE WHEN g.n = 1 THEN proof ELSE proof || {left} || {right} END AS proof, "
+                         f"CASE WHEN g.n = 1 THEN folded ELSE sha256({left} || folded || {right}) END AS folded) FROM {last} l "
+                         f"JOIN {name}g{k} g ON g.{key} IS NOT DISTINCT FROM l.{key} AND g.node = l.{position} // {16 ** k})")
+            last = f"{start}{name}{k}"
+        return found, last
+
+    up, top = climb("s", "placed", "source", levels)
+    over, root = climb("r", "sources", "tree", source_levels)
+    within, last = fold("s", "begun", "source", levels, "node")
+    above, end = fold("r", "halfway", "tree", source_levels, "source_node")
+    return ", ".join([
+        f"WITH leaves AS (SELECT doc_id, source, {leaf('text')} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {leaf(f'translate(text, {letters})')} END AS changed FROM documents)",
+        "placed AS (SELECT *, leaf AS hash, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS node, "
+        "count(*) OVER (PARTITION BY source) AS n FROM leaves)", *up,
+        "sources AS (SELECT 0 AS tree, source, hash, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS node, "
+        f"count(*) OVER () AS n FROM {top})", *over,
+        "begun AS (SELECT doc_id, source, leaf, node, '' AS proof, coalesce(changed, leaf) AS folded FROM placed)", *within,
+        f"halfway AS (SELECT l.*, s.tree, s.node AS source_node, s.hash AS subroot FROM {last} l JOIN sources s ON s.source IS NOT DISTINCT FROM l.source)",
+        *above]) + f""" SELECT doc_id, leaf, subroot, t.hash AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t.hash AS verified
+        FROM {end} l JOIN {root} t ON t.tree = l.tree"""
+
+
 ORACLE_SQL = {
+    "op12_merkle_manifest": _manifest_sql(),
     "op10_warc_fixity": f"""
         WITH own AS (SELECT page_id, url, html, {_RECORD} AS r FROM pages),
         bad AS (SELECT page_id, url, sha256(r) AS own_sha,

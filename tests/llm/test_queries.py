@@ -31,7 +31,7 @@ def test_query_matches_its_sql(spark, sf_dir, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_matches_brute_force(spark):
