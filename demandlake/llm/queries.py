@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm import (exact_dedup, html_text, langid, manifest, mixing, packing, pii, quality_gam, quality_rules,
-                            simhash, toxicity, warc)
+from demandlake.llm import (alignment, exact_dedup, html_text, langid, manifest, mixing, packing, pii, quality_gam,
+                            quality_rules, simhash, toxicity, warc)
 from demandlake.llm.common import documents
 
 
@@ -67,6 +67,11 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.fixity(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between two tokenizers in all documents, scored by their pairs' counts in the corpus."""
+    return alignment.aligned(documents(spark, sf_dir))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle manifest of all documents, and the roots folded from tampered copies."""
     return manifest.audit(documents(spark, sf_dir))
@@ -88,6 +93,7 @@ QUERIES = {
     "op8_quality_gam": op8_quality_gam,
     "op9_langid": op9_langid,
     "op10_warc_fixity": op10_warc_fixity,
+    "op11_token_alignment": op11_token_alignment,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_html_text": op13_html_text,
 }
