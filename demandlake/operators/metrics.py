@@ -141,13 +141,17 @@ def classification_metrics(df: DataFrame, label: str, prob: str, threshold: floa
     score table (tp = positives with score >= threshold), so everything is
     one aggregate over it.
     """
-    c = score_cumulatives(df, label, prob, partitions)
+    return _classification(score_cumulatives(df, label, prob, partitions), threshold, prefix)
+
+
+def _classification(c: DataFrame, threshold: float, prefix: str, keys: list[str] = []) -> DataFrame:
+    """The metrics of a table of cumulative counts, for every value of keys."""
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     above = F.col("score") >= F.lit(threshold)
     cols = _ranking_columns(pos, neg)
     cols["_tp"] = F.sum(F.when(above, pos).otherwise(0.0))
     cols["_fp"] = F.sum(F.when(above, neg).otherwise(0.0))
-    agg = c.agg(*[v.alias(k) for k, v in cols.items()])
+    agg = c.groupBy(*keys).agg(*[v.alias(k) for k, v in cols.items()])
     tp, fp = F.col("_tp"), F.col("_fp")
     fn, tn = F.col("P") - tp, F.col("N") - fp
 
@@ -155,9 +159,49 @@ def classification_metrics(df: DataFrame, label: str, prob: str, threshold: floa
         return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
     return agg.select(
-        *_ranking_results(prefix),
+        *keys, *_ranking_results(prefix),
         div(tp + tn, F.col("P") + F.col("N")).alias(f"{prefix}accuracy"),
         div(tp, tp + fp).alias(f"{prefix}precision"),
         div(tp, tp + fn).alias(f"{prefix}recall"),
         div(2 * tp, 2 * tp + fp + fn).alias(f"{prefix}f1"),
     )
+
+
+def score_cumulatives_by(df: DataFrame, keys: list[str], label: str, score: str, partitions: int | None = None) -> DataFrame:
+    """score_cumulatives for every value of keys at once: one range partitioning holds all of them.
+
+    A partition holds a range of (keys, score), so a key with many scores is
+    spread over several, and one row per key and partition says what stands
+    before it.  The number of jobs does not depend on the number of keys.
+    """
+    from ..session import materialize
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    g = df.groupBy(*keys, _d(score).alias("_s")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    r = materialize(g.repartitionByRange(n, *keys, F.col("_s").desc()).withColumn("_pid", F.spark_partition_id()))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = r.groupBy(*keys, "_pid").agg(F.sum("pos").alias("_pt"), F.sum("neg").alias("_nt")).select(
+        *keys, "_pid", F.coalesce(F.sum("_pt").over(before), F.lit(0)).alias("_po"),
+        F.coalesce(F.sum("_nt").over(before), F.lit(0)).alias("_no"))
+    local = Window.partitionBy(*keys, "_pid").orderBy(F.col("_s").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = r.select(*keys, "_pid", "_s", "pos", "neg", F.sum("pos").over(local).alias("_cp"), F.sum("neg").over(local).alias("_cn"))
+    return cum.join(offsets, [*keys, "_pid"]).select(
+        *keys, F.col("_s").alias("score"), "pos", "neg",
+        (F.col("_cp") + F.col("_po")).alias("tp"), (F.col("_cn") + F.col("_no")).alias("fp"))
+
+
+def classification_metrics_by(df: DataFrame, keys: list[str], label: str, prob: str, threshold: float = 0.5,
+                              partitions: int | None = None) -> DataFrame:
+    """The row of classification_metrics for every value of keys, in a constant number of jobs."""
+    return _classification(score_cumulatives_by(df, keys, label, prob, partitions), threshold, "", keys)
+
+
+def regression_metrics_by(df: DataFrame, keys: list[str], y: str, p: str) -> DataFrame:
+    """The row of regression_metrics for every value of keys, as one aggregate."""
+    return df.groupBy(*keys).agg(*regression_sums(df, y, p)).select(*keys, *regression_from_sums())
+
+
+def by_split(metrics: DataFrame, run: str = "run_name", split: str = "split") -> DataFrame:
+    """One row per run: the metrics of split train and val side by side, with the split as prefix."""
+    names = [c for c in metrics.columns if c not in (run, split)]
+    return metrics.groupBy(run).agg(*[F.max(F.when(F.col(split) == s, F.col(c))).alias(f"{s}_{c}") for s in ("train", "val") for c in names])

@@ -1,9 +1,10 @@
-"""Hurdle model: P(demand > 0) x E[demand | demand > 0], on Spark ML.
+"""Hurdle model: P(demand > 0) x E[demand | demand > 0].
 
-Stage 1 classifiers and stage 2 regressors are fitted on cached Spark
-DataFrames (Spark ML estimators are distributed); leaderboards are
-DataFrames; the chosen pair is saved as two PipelineModels plus JSON
-metadata (ordered feature names, category index, threshold).
+Stage 1: logistic regressions of Spark ML and boosted trees with log loss.
+Stage 2: Poisson regressions and boosted trees with Poisson loss.  A boosted
+configuration is a stage of the fit with the grid's most trees, and all runs of
+a search are ranked in one job.  The chosen pair is saved with JSON metadata
+(ordered feature names, category index, threshold).
 """
 
 from __future__ import annotations
@@ -13,15 +14,17 @@ import json
 import os
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoderModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics as M
 from ..operators.features import CategoryEncoding
+from . import boosting as B
+from . import chunks as C
+from . import poisson as P
 
 SEED = 42
 
@@ -44,15 +47,11 @@ POISSON_MAX_ITER = [500, 800]
 REG_TREES = [300, 600, 80]
 REG_DEPTHS = [4, 6, 8]
 REG_LEARNING_RATES = [0.03, 0.05, 0.001]
-SUBSAMPLE = 0.8
-COLSAMPLE = 0.8
-# The normal equations of the Poisson model have at most so many features.
-GLM_MAX_FEATURES = 4096
 
 
 def _gbt(n: int, depth: int, lr: float) -> dict:
     return {"algo": "gbt", "params": {"n_estimators": n, "max_depth": depth, "learning_rate": lr,
-                                      "subsample": SUBSAMPLE, "colsample": COLSAMPLE}}
+                                      "subsample": B.ROW_SHARE, "colsample": B.FEATURE_SHARE, "leaf_penalty": B.LEAF_PENALTY}}
 
 
 def classifier_grid() -> list[dict]:
@@ -79,54 +78,33 @@ def _assembler(feature_cols: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=feature_cols, outputCol="features_raw", handleInvalid="keep")
 
 
-def classifier_pipeline(cfg: dict, feature_cols: list[str], n_train: int) -> Pipeline:
+def logistic_pipeline(cfg: dict, feature_cols: list[str], n_train: int) -> Pipeline:
     p = cfg["params"]
-    if cfg["algo"] == "logreg":
-        # sklearn minimises C*sum(loss) + |w|^2/2; Spark mean(loss) + reg/2*|w|^2
-        reg = 1.0 / (p["C"] * max(n_train, 1))
-        return Pipeline(stages=[
-            _assembler(feature_cols),
-            # Not centred, which keeps sparse rows sparse; the intercept is not penalised and takes it up.
-            StandardScaler(inputCol="features_raw", outputCol="features", withMean=False, withStd=True),
-            LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, elasticNetParam=0.0,
-                               standardization=False, maxIter=p["max_iter"]),
-        ])
+    # sklearn minimises C*sum(loss) + |w|^2/2; Spark mean(loss) + reg/2*|w|^2
+    reg = 1.0 / (p["C"] * max(n_train, 1))
     return Pipeline(stages=[
         _assembler(feature_cols),
-        GBTClassifier(featuresCol="features_raw", labelCol="label", maxIter=p["n_estimators"],
-                      maxDepth=p["max_depth"], stepSize=p["learning_rate"],
-                      subsamplingRate=p["subsample"], featureSubsetStrategy=str(p["colsample"]), seed=SEED),
+        # Not centred, which keeps sparse rows sparse; the intercept is not penalised and takes it up.
+        StandardScaler(inputCol="features_raw", outputCol="features", withMean=False, withStd=True),
+        LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, elasticNetParam=0.0,
+                           standardization=False, maxIter=p["max_iter"]),
     ])
 
 
-def regressor_pipeline(cfg: dict, feature_cols: list[str]) -> Pipeline:
-    p = cfg["params"]
-    if cfg["algo"] == "poisson":
-        return Pipeline(stages=[
-            _assembler(feature_cols),
-            StandardScaler(inputCol="features_raw", outputCol="features", withMean=False, withStd=True),
-            GeneralizedLinearRegression(featuresCol="features", labelCol="y", weightCol="weight",
-                                        family="poisson", link="log", regParam=p["alpha"],
-                                        maxIter=p["max_iter"], predictionCol="prediction"),
-        ])
-    # Spark GBT has squared loss only: fit log1p(y) and map back with expm1.
-    return Pipeline(stages=[
-        _assembler(feature_cols),
-        GBTRegressor(featuresCol="features_raw", labelCol="log_y", weightCol="weight",
-                     maxIter=p["n_estimators"], maxDepth=p["max_depth"], stepSize=p["learning_rate"],
-                     subsamplingRate=p["subsample"], featureSubsetStrategy=str(p["colsample"]),
-                     seed=SEED, predictionCol="prediction_log"),
-    ])
+#: Columns that a logistic pipeline adds.
+_PIPELINE_COLUMNS = ("features_raw", "features", "rawPrediction", "probability", "prediction")
 
 
-def p_nonzero(pred: DataFrame) -> DataFrame:
-    return pred.withColumn("p_nonzero", vector_to_array("probability")[1])
+def p_nonzero(model, df: DataFrame, name: str = "p_nonzero") -> DataFrame:
+    """df with the probability of a positive target by a stage 1 model of either kind."""
+    if isinstance(model, B.Boosted):
+        return model.predicted(df, name)
+    return model.transform(df).withColumn(name, vector_to_array("probability")[1]).drop(*_PIPELINE_COLUMNS)
 
 
-def positive_count(pred: DataFrame) -> DataFrame:
-    if "prediction_log" in pred.columns:
-        pred = pred.withColumn("prediction", F.expm1("prediction_log"))
-    return pred.withColumn("positive_count", F.greatest(F.col("prediction"), F.lit(0.0)))
+def positive_count(model, df: DataFrame, name: str = "positive_count") -> DataFrame:
+    """df with the mean of a positive target by a stage 2 model of either kind."""
+    return model.predicted(df, name).withColumn(name, F.greatest(F.col(name), F.lit(0.0)))
 
 
 def sample_weights(df: DataFrame, y: str = "target_next_period") -> DataFrame:
@@ -135,77 +113,139 @@ def sample_weights(df: DataFrame, y: str = "target_next_period") -> DataFrame:
     return df.withColumn("weight", F.lit(1.0) + F.col(y).cast("double") / F.lit(float(mean)))
 
 
-def _fit_all(grid: list[dict], prefix: str, fit) -> list[tuple[str, dict, object]]:
-    """(run name, config, fitted model) of each config, FIT_THREADS fits at a time."""
-    from concurrent.futures import ThreadPoolExecutor
-    names = [f"{prefix}_{cfg['algo']}_{i:02d}" for i, cfg in enumerate(grid, 1)]
-    with ThreadPoolExecutor(FIT_THREADS) as pool:
-        return list(zip(names, grid, pool.map(fit, grid)))
+def run_names(grid: list[dict], prefix: str) -> list[str]:
+    return [f"{prefix}_{cfg['algo']}_{i:02d}" for i, cfg in enumerate(grid, 1)]
 
 
 # --------------------------------------------------------------- searches
 
-#: Fits that run side by side; each is a distributed job of its own.
+#: Logistic fits that run side by side; each is a distributed job of its own.
 FIT_THREADS = 3
 
-def _board(spark: SparkSession, rows: list[dict]) -> DataFrame:
-    """The leaderboard; a metric that is undefined for every run is a column of nulls."""
-    names = list(rows[0])
-    kinds = ", ".join(f"{c} {'string' if c in ('run_name', 'algo', 'params') else 'double'}" for c in names)
-    return spark.createDataFrame([[None if r[c] is None else r[c] if isinstance(r[c], str) else float(r[c]) for c in names] for r in rows], kinds)
+
+def _boosted(table: DataFrame, train: DataFrame, features: C.Features, grid: list[dict], objective: str, base: float) -> dict[int, B.Boosted]:
+    """The model of each boosted configuration, by its place in grid.
+
+    Configurations that differ in their number of trees alone are stages of
+    one fit; all fits share their jobs.
+    """
+    stages: dict[tuple, dict[int, int]] = {}
+    for i, cfg in enumerate(grid):
+        if cfg["algo"] == "gbt":
+            p = cfg["params"]
+            stages.setdefault((p["max_depth"], p["learning_rate"]), {})[i] = p["n_estimators"]
+    if not stages:
+        return {}
+    p = next(cfg["params"] for cfg in grid if cfg["algo"] == "gbt")
+    runs = [B.Run(depth, rate, max(trees.values())) for (depth, rate), trees in stages.items()]
+    fitted = B.fit(table, features, B.cuts(train, features), runs, objective, base,
+                   row_share=p["subsample"], feature_share=p["colsample"], penalty=p["leaf_penalty"])
+    return {i: model.first(k) for model, trees in zip(fitted, stages.values()) for i, k in trees.items()}
+
+
+def _predictions(df: DataFrame, models: list, keep: list[str], score) -> DataFrame:
+    """keep and `scores`, an array of every model's prediction in order.
+
+    Models of one kind and feature layout are applied together.
+    """
+    named = df
+    boosted = [i for i, m in enumerate(models) if isinstance(m, B.Boosted)]
+    linear = [i for i, m in enumerate(models) if isinstance(m, P.Poisson)]
+    columns: dict[int, object] = {}
+    for i, m in enumerate(models):
+        if i not in boosted and i not in linear:
+            named = score(m, named, f"_p{i}")
+            columns[i] = F.col(f"_p{i}")
+    if linear:
+        named = P.with_models(named, [models[i] for i in linear], "_linear")
+        columns |= {i: F.col("_linear")[k] for k, i in enumerate(linear)}
+    if boosted:
+        # Stages of one fit share their first trees: the longest is walked once.
+        chains: dict[tuple, list[int]] = {}
+        for i in boosted:
+            chains.setdefault((id(models[i].trees[0]) if models[i].trees else -i,), []).append(i)
+        order, staged = [], []
+        for members in chains.values():
+            longest = max((models[i] for i in members), key=lambda m: len(m.trees))
+            staged.append((longest, [len(models[i].trees) for i in members]))
+            order += members
+        named = B.with_stages(named, staged, "_boosted")
+        columns |= {i: F.col("_boosted")[k] for k, i in enumerate(order)}
+    return named.select(*keep, F.array(*[columns[i] for i in range(len(models))]).alias("scores"))
+
+
+def _long(predicted: DataFrame, runs: list[str], keep: list[str]) -> DataFrame:
+    """One row per row and run."""
+    return predicted.select(*keep, F.posexplode("scores").alias("_run", "score")).withColumn(
+        "run_name", F.element_at(F.array(*map(F.lit, runs)), F.col("_run") + 1)).drop("_run")
+
+
+def _board(spark: SparkSession, metrics: DataFrame, runs: list[str], grid: list[dict]) -> DataFrame:
+    """run_name, algo, params and the metrics of both splits; written once.  A run whose metrics are undefined has nulls."""
+    from ..session import materialize
+    rows = [(run, cfg["algo"], json.dumps(cfg["params"])) for run, cfg in zip(runs, grid)]
+    table = spark.createDataFrame(rows, "run_name string, algo string, params string")
+    return materialize(table.join(M.by_split(metrics), "run_name", "left"))
 
 
 def stage1_search(train: DataFrame, val: DataFrame, feature_cols: list[str], grid: list[dict],
                   threshold: float = 0.5):
     """Fit each classifier config; leaderboard sorted by val_pr_auc desc."""
+    from concurrent.futures import ThreadPoolExecutor
     spark = train.sparkSession
-    tr = train.withColumn("label", (F.col("target_next_period") > 0).cast("double")).cache()
-    va = val.withColumn("label", (F.col("target_next_period") > 0).cast("double")).cache()
+    label = (F.col("target_next_period") > 0).cast("double")
+    tr, va = train.withColumn("label", label).cache(), val.withColumn("label", label).cache()
+    runs = run_names(grid, "clf")
     try:
-        n_train = tr.count()
-        rows, models = [], {}
-        for run, cfg, model in _fit_all(grid, "clf", lambda c: classifier_pipeline(c, feature_cols, n_train).fit(tr)):
-            mt = M.classification_metrics(p_nonzero(model.transform(tr)), "label", "p_nonzero", threshold, "train_")
-            mv = M.classification_metrics(p_nonzero(model.transform(va)), "label", "p_nonzero", threshold, "val_")
-            rows.append({"run_name": run, "algo": cfg["algo"], "params": json.dumps(cfg["params"]),
-                         **mt.first().asDict(), **mv.first().asDict()})
-            models[run] = model
+        n_train, base = tr.agg(F.count(F.lit(1)), F.avg("label")).first()
+        models: list = [None] * len(grid)
+        with ThreadPoolExecutor(FIT_THREADS) as pool:
+            fits = {i: pool.submit(logistic_pipeline(cfg, feature_cols, n_train).fit, tr) for i, cfg in enumerate(grid) if cfg["algo"] == "logreg"}
+        for i, f in fits.items():
+            models[i] = f.result()
+        if any(cfg["algo"] == "gbt" for cfg in grid):
+            features = C.layout(tr, feature_cols)
+            table = C.packed(tr, features, F.col("label"), F.lit(1.0))
+            for i, m in _boosted(table, tr, features, grid, "logistic", min(max(base or 0.0, 1e-6), 1 - 1e-6)).items():
+                models[i] = m
+        parts = [_predictions(d.withColumn("split", F.lit(s)), models, ["split", "label"], p_nonzero) for s, d in (("train", tr), ("val", va))]
+        metrics = M.classification_metrics_by(_long(parts[0].unionByName(parts[1]), runs, ["split", "label"]),
+                                              ["run_name", "split"], "label", "score", threshold)
+        board = _board(spark, metrics, runs, grid)
     finally:
         tr.unpersist()
         va.unpersist()
-    board = _board(spark, rows).orderBy(F.col("val_pr_auc").desc_nulls_last(), "run_name")
-    return board, models
-
-
-def _check_glm_size(train: DataFrame, feature_cols: list[str], grid: list[dict]) -> None:
-    """The Poisson solver's limit, told before any fit."""
-    if any(cfg["algo"] == "poisson" for cfg in grid):
-        row = _assembler(feature_cols).transform(train).select("features_raw").first()
-        if row and row[0].size > GLM_MAX_FEATURES:
-            raise ValueError(f"a Poisson model takes at most {GLM_MAX_FEATURES} features and there are {row[0].size}: "
-                             "use the boosted configurations")
+    return board.orderBy(F.col("val_pr_auc").desc_nulls_last(), "run_name"), dict(zip(runs, models))
 
 
 def stage2_search(train: DataFrame, val: DataFrame, feature_cols: list[str], grid: list[dict]):
     """Fit each regressor on positives only; leaderboard sorted by val_rmse asc."""
     spark = train.sparkSession
-    _check_glm_size(train, feature_cols, grid)
     y = F.col("target_next_period").cast("double")
-    tr = sample_weights(train.where(y > 0)).withColumn("y", y).withColumn("log_y", F.log1p(y)).cache()
+    tr = sample_weights(train.where(y > 0)).withColumn("y", y).cache()
     va = val.where(y > 0).withColumn("y", y).withColumn("weight", F.lit(1.0)).cache()
+    runs = run_names(grid, "reg")
     try:
-        rows, models = [], {}
-        for run, cfg, model in _fit_all(grid, "reg", lambda c: regressor_pipeline(c, feature_cols).fit(tr)):
-            mt = M.regression_metrics(positive_count(model.transform(tr)), "y", "positive_count", "train_")
-            mv = M.regression_metrics(positive_count(model.transform(va)), "y", "positive_count", "val_")
-            rows.append({"run_name": run, "algo": cfg["algo"], "params": json.dumps(cfg["params"]),
-                         **mt.first().asDict(), **mv.first().asDict()})
-            models[run] = model
+        base = tr.agg(F.sum(F.col("weight") * F.col("y")) / F.sum("weight")).first()[0] or 1.0
+        features = C.layout(tr, feature_cols)
+        table = C.packed(tr, features, F.col("y"), F.col("weight"))
+        models: list = [None] * len(grid)
+        linear = [(i, cfg["params"]) for i, cfg in enumerate(grid) if cfg["algo"] == "poisson"]
+        if linear:
+            alphas = sorted({p["alpha"] for _, p in linear})
+            caps = sorted({p["max_iter"] for _, p in linear})
+            fitted = P.fit(table, features, alphas, caps)
+            for i, p in linear:
+                models[i] = fitted[alphas.index(p["alpha"])][caps.index(p["max_iter"])]
+        for i, m in _boosted(table, tr, features, grid, "poisson", base).items():
+            models[i] = m
+        parts = [_predictions(d.withColumn("split", F.lit(s)), models, ["split", "y"], positive_count) for s, d in (("train", tr), ("val", va))]
+        scored = _long(parts[0].unionByName(parts[1]), runs, ["split", "y"]).withColumn("score", F.greatest(F.col("score"), F.lit(0.0)))
+        board = _board(spark, M.regression_metrics_by(scored, ["run_name", "split"], "y", "score"), runs, grid)
     finally:
         tr.unpersist()
         va.unpersist()
-    board = _board(spark, rows).orderBy(F.col("val_rmse").asc_nulls_last(), "run_name")
-    return board, models
+    return board.orderBy(F.col("val_rmse").asc_nulls_last(), "run_name"), dict(zip(runs, models))
 
 
 def logistic_gradient(model: PipelineModel, rows: DataFrame, n_rows: int, c: float) -> DataFrame:
@@ -225,22 +265,33 @@ def logistic_gradient(model: PipelineModel, rows: DataFrame, n_rows: int, c: flo
     return inner.unionByName(outer)
 
 
-def poisson_balance(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """(check_name, residual): the weighted mean of predicted less observed over that of observed; zero at the optimum.
+def poisson_slopes(model: P.Poisson, rows: DataFrame) -> DataFrame:
+    """(check_name, residual): the loss's slope in each coefficient at the fitted model; zero at the optimum.
 
-    The intercept is not penalised, so its slope in the Poisson loss vanishes.
+    rows hold y and weight.
     """
-    scored = model.transform(rows)
-    w, y, mu = F.col("weight"), F.col("y"), F.col("prediction")
-    return scored.agg((F.sum(w * (mu - y)) / F.sum(w * y)).alias("residual")).select(F.lit("intercept").alias("check_name"), "residual")
+    table = C.packed(rows, model.features, F.col("y"), F.col("weight"))
+    return rows.sparkSession.createDataFrame(model.slopes(table), "check_name string, residual double")
 
 
 # ------------------------------------------------------------ the model
 
+def _save(model, path: str) -> str:
+    """Save a model of any kind; returns the name of its kind."""
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(path)
+    else:
+        model.save(path)
+    return type(model).__name__
+
+
+_KINDS = {c.__name__: c for c in (PipelineModel, B.Boosted, P.Poisson)}
+
+
 class SparkHurdleModel:
-    """Classifier and regressor pipelines + the ordered feature names."""
+    """A stage 1 and a stage 2 model + the ordered feature names."""
 
-    def __init__(self, classifier: PipelineModel, regressor: PipelineModel, feature_names: list[str],
+    def __init__(self, classifier, regressor, feature_names: list[str],
                  category: CategoryEncoding | None = None, threshold: float = 0.5):
         self.classifier = classifier
         self.regressor = regressor
@@ -249,23 +300,19 @@ class SparkHurdleModel:
         self.threshold = threshold
 
     def predict_components(self, df: DataFrame) -> DataFrame:
-        keep = df.columns
-        c = p_nonzero(self.classifier.transform(df)).select(*keep, "p_nonzero")
-        r = positive_count(self.regressor.transform(c))
-        return r.select(*keep, "p_nonzero", "positive_count")
+        return positive_count(self.regressor, p_nonzero(self.classifier, df))
 
     def predict_soft(self, df: DataFrame) -> DataFrame:
         from ..operators.hurdle import hurdle_combine
         return hurdle_combine(self.predict_components(df), threshold=self.threshold)
 
     def save(self, path: str) -> None:
-        self.classifier.write().overwrite().save(os.path.join(path, "classifier"))
-        self.regressor.write().overwrite().save(os.path.join(path, "regressor"))
+        kinds = [_save(m, os.path.join(path, name)) for m, name in ((self.classifier, "classifier"), (self.regressor, "regressor"))]
         spark = SparkSession.getActiveSession()
         if self.category:
             self.category.encoder.write().overwrite().save(os.path.join(path, "category_encoder"))
             self.category.index.write.mode("overwrite").parquet(os.path.join(path, "category_index"))
-        meta = {"feature_names": self.feature_names, "category": self.category is not None, "threshold": self.threshold}
+        meta = {"feature_names": self.feature_names, "category": self.category is not None, "threshold": self.threshold, "kinds": kinds}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
              .write.mode("overwrite").text(os.path.join(path, "metadata"))
 
@@ -275,8 +322,8 @@ class SparkHurdleModel:
         meta = json.loads(spark.read.text(os.path.join(path, "metadata")).first()[0])
         category = CategoryEncoding(spark.read.parquet(os.path.join(path, "category_index")), OneHotEncoderModel.load(
             os.path.join(path, "category_encoder"))) if meta["category"] else None
-        return cls(PipelineModel.load(os.path.join(path, "classifier")), PipelineModel.load(os.path.join(path, "regressor")),
-                   meta["feature_names"], category, meta.get("threshold", 0.5))
+        first, second = (_KINDS[k].load(os.path.join(path, name)) for k, name in zip(meta["kinds"], ("classifier", "regressor")))
+        return cls(first, second, meta["feature_names"], category, meta.get("threshold", 0.5))
 
 
 class StandInHurdle:

@@ -79,7 +79,7 @@ def align_features(df: DataFrame, feature_names: list[str], category=None) -> Da
         if name.startswith(FE.CATEGORY_PREFIX):
             cols.append((label == F.lit(name)).cast("double").alias(name))
         elif name == FE.CATEGORY_VECTOR and category:
-            cols.append(F.col(name))
+            cols += [F.col(name), F.col(FE.CATEGORY_INDEX)]
         elif name in base.columns:
             cols.append(F.col(name).cast("double").alias(name))
         else:

@@ -1085,7 +1085,8 @@ def q_score_stream(spark, sf_dir):
 # ------------------------------------------------ model training (rows-only)
 # Iterative model fits have no SQL equivalent: these keys have no oracle and
 # are checked on rows and schema only.
-ROWS_ONLY = {"stage1_search_logistic", "stage2_search_poisson", "hurdle_training_linear"}
+ROWS_ONLY = {"stage1_search_logistic", "stage2_search_poisson", "hurdle_training_linear", "stage1_search", "stage2_search",
+             "feature_importance_topk"}
 
 
 def _train_val(spark, sf_dir):
@@ -1112,6 +1113,34 @@ def q_stage2(spark, sf_dir):
     return board.drop("params")
 
 
+@query("stage1_search")
+def q_stage1_grid(spark, sf_dir):
+    """ML-01, 03, 04: the whole stage 1 grid of 30 configurations; leaderboard by val_pr_auc."""
+    from .plans import models as MD
+    train, val, names = _train_val(spark, sf_dir)
+    board, _ = MD.stage1_search(train, val, names, MD.classifier_grid())
+    return board.drop("params")
+
+
+@query("stage2_search")
+def q_stage2_grid(spark, sf_dir):
+    """ML-05, 07, 08: the whole stage 2 grid of 33 configurations on positives; leaderboard by val_rmse."""
+    from .plans import models as MD
+    train, val, names = _train_val(spark, sf_dir)
+    board, _ = MD.stage2_search(train, val, names, MD.regressor_grid())
+    return board.drop("params")
+
+
+@query("feature_importance_topk")
+def q_importances(spark, sf_dir):
+    """R-07: mean split gains of the first boosted stage 1 configuration, the 20 greatest."""
+    from .plans import models as MD
+    from .plans import training as TR
+    train, val, names = _train_val(spark, sf_dir)
+    _, models = MD.stage1_search(train, val, names, [c for c in MD.classifier_grid() if c["algo"] == "gbt"][:1])
+    return TR.feature_importance_topk(next(iter(models.values())))
+
+
 @query("hurdle_training_linear")
 def q_train(spark, sf_dir):
     """ML-14: end-to-end training on the grids' linear configurations; hurdle / baseline / ensemble comparison."""
@@ -1138,7 +1167,7 @@ def q_fit_optimality(spark, sf_dir):
     parts = [MD.logistic_gradient(m, rows, n, c["params"]["C"]).withColumn("run_name", F.lit(run))
              for (run, m), c in zip(models1.items(), clf)]
     positive = MD.sample_weights(train.where(y > 0)).withColumn("y", y)
-    parts += [MD.poisson_balance(m, positive).withColumn("run_name", F.lit(run)) for run, m in models2.items()]
+    parts += [MD.poisson_slopes(m, positive).withColumn("run_name", F.lit(run)) for run, m in models2.items()]
     first1, first2 = board1.first(), board2.first()
     best = [("stage1", "first_row", (first1["val_pr_auc"] or 0.0) - (board1.agg(F.max("val_pr_auc")).first()[0] or 0.0)),
             ("stage2", "first_row", (first2["val_rmse"] or 0.0) - (board2.agg(F.min("val_rmse")).first()[0] or 0.0))]

@@ -2,8 +2,6 @@
 
 import os
 
-import pytest
-
 from pyspark.sql import functions as F
 
 from demandlake.plans import models as MD
@@ -15,11 +13,11 @@ def _short(cfg):
     return {"algo": cfg["algo"], "params": {**cfg["params"], "n_estimators": 5}}
 
 
-def test_grids_are_whole_and_caps_reach_the_estimator(spark):
+def test_grids_are_whole(spark):
     clf, reg = MD.classifier_grid(), MD.regressor_grid()
     assert len(clf) == 30 and len(reg) == 33
-    caps = {MD.regressor_pipeline(c, ["x"]).getStages()[-1].getMaxIter() for c in MD.linear_only(reg)}
-    assert caps == {500, 800}
+    assert {c["params"]["max_iter"] for c in MD.linear_only(reg)} == {500, 800}
+    assert {MD.logistic_pipeline(c, ["x"], 10).getStages()[-1].getMaxIter() for c in MD.linear_only(clf)} == {1000}
 
 
 def test_five_thousand_categories(spark):
@@ -32,9 +30,13 @@ def test_five_thousand_categories(spark):
     for r in rows:
         v = r["category_vector"]
         assert v.size == 5000 and (list(v.indices) == [r["id"] % 5000] if r["id"] >= 0 else len(v.indices) == 0)
-    train = encoding.transform(df).withColumn("target_next_period", F.lit(1.0))
-    with pytest.raises(ValueError, match="at most 4096"):
-        MD.stage2_search(train, train, ["category_vector"], MD.linear_only(MD.regressor_grid()))
+    train = encoding.transform(df).withColumn("target_next_period", 1.0 + F.col("id") % 5000 % 7).withColumn("x", F.col("id") % 11)
+    board, models = MD.stage2_search(train, train, ["x", "category_vector"], MD.linear_only(MD.regressor_grid())[::2])
+    assert board.count() == 3
+    rows = MD.sample_weights(train).withColumn("y", F.col("target_next_period"))
+    for model in models.values():
+        slopes = MD.poisson_slopes(model, rows)
+        assert slopes.count() == 5002 and slopes.agg(F.max(F.abs("residual"))).first()[0] < 1e-7
 
 
 def test_hurdle_training_small_grid(spark, sf_dir, tmp_lake):
@@ -58,6 +60,6 @@ def test_hurdle_training_small_grid(spark, sf_dir, tmp_lake):
     b = loaded.predict_soft(val).select("product_id", "pred_soft")
     assert a.exceptAll(b).count() == 0
     gbt = [m for name, m in res["classifiers"].items() if "gbt" in name][0]
-    top = TR.feature_importance_topk(gbt, res["feature_columns"], k=5).collect()
+    top = TR.feature_importance_topk(gbt, k=5).collect()
     assert len(top) == 5 and top[0]["importance"] >= top[-1]["importance"]
-    assert TR.feature_importance_topk(res["classifiers"]["clf_logreg_01"], res["feature_columns"]) is None
+    assert TR.feature_importance_topk(res["classifiers"]["clf_logreg_01"]) is None
