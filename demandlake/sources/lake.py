@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, scratch_path
 
 NAMESPACES = {
     "bronze": "Event files as delivered, text columns and lineage only.",
@@ -58,6 +60,59 @@ def drop_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in path; none if it is missing."""
+    fs, p = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()) if fs.exists(p) else []
+
+
+# ---- a journal of partition replacements
+#
+# A merge that moves keys replaces some partitions and drops others.  What it
+# is going to do is written down first: the folder of the merged rows and the
+# partitions to drop.  Whoever opens the table next finishes what was begun;
+# both steps can be repeated.  Spark does not read folders that start with "_".
+
+JOURNAL = "_merge_journal"
+
+
+def _write_journal(spark: SparkSession, path: str, entry: dict) -> None:
+    fs, p = _file_system(spark, f"{path.rstrip('/')}/{JOURNAL}/entry.json")
+    _, draft = _file_system(spark, f"{path.rstrip('/')}/{JOURNAL}/draft.json")
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps(entry).encode()))
+    out.close()
+    if not fs.rename(draft, p):
+        raise OSError(f"the journal of {path} could not be written")
+
+
+def _apply(spark: SparkSession, path: str, entry: dict) -> None:
+    """Replace the merged rows' partitions, drop those that lost all rows, and close the journal."""
+    _write_partitions(spark.read.parquet(entry["merged"]), path, entry["partition_col"], entry["cluster_cols"])
+    for folder in entry["drop"]:
+        drop_path(spark, f"{path.rstrip('/')}/{folder}")
+    drop_path(spark, f"{path.rstrip('/')}/{JOURNAL}")
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish a merge that was interrupted; True if there was one.
+
+    A journal that was not finished itself means that the table was not
+    touched yet, and is dropped.
+    """
+    fs, p = _file_system(spark, f"{path.rstrip('/')}/{JOURNAL}/entry.json")
+    if not fs.exists(p):
+        drop_path(spark, f"{path.rstrip('/')}/{JOURNAL}")
+        return False
+    _apply(spark, path, json.loads(spark.sparkContext.wholeTextFiles(str(p.toString())).first()[1]))
+    return True
+
+
+def partition_folder(spark: SparkSession, column: str, value) -> str:
+    """The folder name of a partition value, as Spark's writer spells it."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, None if value is None else str(value))
+
+
 def _write_partitions(df: DataFrame, path: str, partition_col: str, cluster_cols: list[str]) -> None:
     """Replace the partitions that df holds, clustered by sorting each file; other partitions stay."""
     (rebalance(df, partition_col).sortWithinPartitions(partition_col, *cluster_cols)
@@ -75,15 +130,19 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str, ta
     columns and goes with the partition it stood in.  key_fixes_partition says
     that this cannot happen (event_id hashes event_ts, a snapshot's date is one
     of its keys) and saves that read.  target_filter narrows the target
-    further (a snapshot upsert reads one snapshot partition).
+    further (a snapshot upsert reads one snapshot partition).  An interrupted
+    call is finished by the next one, or by recover(), from its journal.
     """
     spark = source.sparkSession
     cluster = cluster_cols or keys
     staged = materialize(source)
-    target = spark.read.schema(source.schema).parquet(path) if path_exists(spark, path) else None
-    if target is None:
+    exists = path_exists(spark, path)
+    if exists:
+        recover(spark, path)
+    else:
         _write_partitions(staged, path, partition_col, cluster)
         return staged
+    target = spark.read.schema(source.schema).parquet(path)
     if target_filter is not None:
         target = target.where(target_filter)
     touched = staged.select(partition_col).distinct()
@@ -92,11 +151,18 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str, ta
         touched = touched.unionByName(found.select(partition_col)).distinct()
     touched = materialize(touched)
     # One row per touched partition: bounded by the table's partitions.
-    kept = target.join(F.broadcast(touched), partition_col, "left_semi").join(staged.select(*keys), keys, "left_anti")
-    merged = materialize(kept.unionByName(staged.select(*target.columns)))
-    _write_partitions(merged, path, partition_col, cluster)
-    for row in touched.join(merged.select(partition_col).distinct(), partition_col, "left_anti").collect():
-        drop_path(spark, f"{path.rstrip('/')}/{partition_col}={row[0]}")  # all its rows moved away
+    same = F.col("_touched").eqNullSafe(F.col(partition_col))
+    kept = (target.join(F.broadcast(touched.withColumnRenamed(partition_col, "_touched")), same, "left_semi")
+            .join(staged.select(*keys), keys, "left_anti"))
+    merged_path = scratch_path(spark, f"table-{uuid.uuid4().hex}")
+    kept.unionByName(staged.select(*target.columns)).write.parquet(merged_path)
+    merged = spark.read.schema(target.schema).parquet(merged_path)
+    left = merged.select(F.col(partition_col).alias("_left")).distinct()
+    emptied = touched.join(left, F.col("_left").eqNullSafe(F.col(partition_col)), "left_anti")
+    entry = {"merged": merged_path, "partition_col": partition_col, "cluster_cols": cluster,
+             "drop": [partition_folder(spark, partition_col, row[0]) for row in emptied.collect()]}
+    _write_journal(spark, path, entry)
+    _apply(spark, path, entry)
     return merged
 
 
