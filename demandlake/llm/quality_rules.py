@@ -2,15 +2,20 @@
 
 Base counts of every text fail it by fixed rules.  The texts that pass are
 judged by a minimum-covariance-determinant (MCD) estimate for their language
-and source: the mean and covariance of the COVER share of rows that lie
-closest to them.  A text whose transformed statistics have a large Mahalanobis
-distance from its group's estimate is rejected.
-
-The estimate starts from coordinate-wise medians and median deviations and
-takes concentration steps: measure all rows, keep the closest COVER share of
-each group, estimate again.  Every step is one aggregate over all rows;
-statistics and distances are whole numbers on a fixed grid, so sums are exact
-and the closest share is found from counts by distance, without a sort.
+and source: the mean and covariance of the COVER share of rows whose
+covariance has the least determinant.  A text whose transformed statistics
+have a large Mahalanobis distance from the estimate is rejected.
+
+The search for the least determinant starts from three deterministic estimates
+side by side and takes concentration steps: measure all rows, keep the closest
+COVER share of each group, estimate again, until the determinant falls no
+more; the start that ends lowest wins.  Every step is two aggregates over all
+rows; statistics and distances are whole numbers on a fixed grid, so sums are
+exact and the closest share is found from counts by distance, without a sort.
+
+Languages and all texts are estimated as well.  A group's estimate is pooled
+with its language's, and that with all texts', as if the wider one were
+PRIOR_ROWS further rows; so groups of any size are judged by one rule.
 """
 
 from __future__ import annotations
@@ -28,12 +33,14 @@ COVER = 0.75
 #: The covered rows lie too close together; for normal rows of five statistics the factor
 #: COVER / P(chi2 of 7 <= the COVER quantile of chi2 of 5, 6.63) makes up for it.
 CONSISTENCY = 0.75 / 0.532
-#: Concentration steps.
-STEPS = 6
+#: The least fall of the determinant's log that is worth another step.
+LEAST_FALL = 1e-6
 #: Steps of a statistic's grid in one unit, and of a log distance.
 GRID, LOG_GRID = 1024, 64
-#: A group with fewer rows takes the estimate of its language, and that of all rows if those are few too.
-MIN_ROWS = 200
+#: Rows that the wider estimate counts for.
+PRIOR_ROWS = 50
+#: Estimates of so many groups (some 400 bytes each) are broadcast; more are joined by group and salt.
+BROADCAST_GROUPS = 20_000
 #: Added standard deviation of each statistic, so that constant ones do not make every other value an outlier: for
 #: symbols, lines and repeats what one symbol, one line and one repeated window change in a text of 200 words.
 FLOOR = (0.25, 0.10, 0.405, 0.049, 0.262)
@@ -110,40 +117,65 @@ def transformed() -> list[Column]:
         1 + 10 * F.col("n_dup_lines") / n, 1 + 10 * F.col("n_repeat_words") / n))]
 
 
-def _estimates(rows: DataFrame) -> DataFrame:
-    """_group, n, mean_i and cov_ij of rows on the grid's scale of units, from exact sums."""
-    k = range(len(STATISTICS))
+_K = range(len(STATISTICS))
+_MEANS = [f"m{i}" for i in _K]
+_COVARIANCES = [f"c{i}{j}" for i in _K for j in range(i + 1)]
+
+
+def _attached(rows: DataFrame, table: DataFrame, groups: int, key: str = "_group") -> DataFrame:
+    """rows joined to table by key, without moving all rows of a group to one task.
+
+    Up to BROADCAST_GROUPS groups the table is broadcast and rows stay where
+    they are; beyond, each group is spread over as many tasks as there are
+    shuffle partitions.
+    """
+    if groups <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(table), key, "left").drop("_salt")
+    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return rows.withColumn("_salt", F.pmod(F.col("_salt"), F.lit(salts))).join(spread, [key, "_salt"], "left").drop("_salt")
+
+
+def _sums(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, h (number of rows), means and covariances in the statistics' units, from exact sums."""
     x = [F.col(s).cast("decimal(20,0)") for s in STATISTICS]
-    sums = rows.groupBy("_group").agg(
-        F.count("*").alias("n"), *[F.sum(x[i]).alias(f"s{i}") for i in k],
-        *[F.sum(x[i] * x[j]).alias(f"q{i}{j}") for i in k for j in range(i + 1)])
-    mean = [F.col(f"s{i}").cast("double") / F.col("n") / GRID for i in k]
-    return sums.select("_group", "n", *[mean[i].alias(f"m{i}") for i in k], *[
-        (F.col(f"q{i}{j}").cast("double") / F.col("n") / GRID ** 2 - mean[i] * mean[j]).alias(f"c{i}{j}")
-        for i in k for j in range(i + 1)])
+    sums = rows.groupBy(*keys).agg(
+        F.count("*").alias("h"), *[F.sum(x[i]).alias(f"s{i}") for i in _K],
+        *[F.sum(x[i] * x[j]).alias(f"q{i}{j}") for i in _K for j in range(i + 1)])
+    mean = [F.col(f"s{i}").cast("double") / F.col("h") / GRID for i in _K]
+    return sums.select(*keys, "h", *[mean[i].alias(f"m{i}") for i in _K], *[
+        (F.col(f"q{i}{j}").cast("double") / F.col("h") / GRID ** 2 - mean[i] * mean[j]).alias(f"c{i}{j}")
+        for i in _K for j in range(i + 1)])
 
 
-def _with_inverse(estimates: DataFrame, scale: float) -> DataFrame:
-    """estimates with w: the inverse of scale * covariance, floored; row by row, as groups are few numbers each."""
-    k = len(STATISTICS)
+def _matrices(t, scale: float, names: list[str] = _COVARIANCES):
+    """The covariances of a frame's rows as matrices."""
+    import numpy as np
+
+    cov = np.zeros((len(t), len(STATISTICS), len(STATISTICS)))
+    for name in names:
+        i, j = int(name[-2]), int(name[-1])
+        cov[:, i, j] = cov[:, j, i] = t[name].to_numpy(float) * scale
+    return cov
+
+
+def _with_inverse(estimates: DataFrame, scale: float, keys: list[str]) -> DataFrame:
+    """estimates with w, the inverse of scale * covariance and floors, and its log determinant."""
+    kinds = {f.name: f.dataType.simpleString() for f in estimates.schema.fields}
 
     def invert(batches):
         import numpy as np
 
         for t in batches:
-            cov = np.zeros((len(t), k, k))
-            for i in range(k):
-                for j in range(i + 1):
-                    cov[:, i, j] = cov[:, j, i] = t[f"c{i}{j}"].to_numpy(float) * scale
             # The floor is added to the diagonal: a constant statistic then has exactly its floor.
-            cov += np.diag(np.square(FLOOR))
-            w = np.linalg.inv(cov) if len(t) else cov
-            out = t[["_group", "n", *[f"m{i}" for i in range(k)]]].copy()
-            out["w"] = list(w.reshape(len(t), k * k))
+            cov = _matrices(t, scale) + np.diag(np.square(FLOOR))
+            out = t[[*keys, *_MEANS, *_COVARIANCES]].copy()
+            out["w"] = list((np.linalg.inv(cov) if len(t) else cov).reshape(len(t), -1))
+            out["logdet"] = np.linalg.slogdet(cov)[1] if len(t) else []
             yield out
 
-    means = ", ".join(f"m{i} double" for i in range(k))
-    return estimates.mapInPandas(invert, f"_group string, n long, {means}, w array<double>")
+    return estimates.mapInPandas(invert, ", ".join(f"{c} {kinds[c]}" for c in keys) + ", " + ", ".join(
+        f"{c} double" for c in [*_MEANS, *_COVARIANCES]) + ", w array<double>, logdet double")
 
 
 def _distance() -> Column:
@@ -162,33 +194,115 @@ def _bin(distance: Column) -> Column:
     return F.round(LOG_GRID * F.log(distance + 1e-6)).cast("int")
 
 
-def mcd(rows: DataFrame) -> DataFrame:
-    """_group, n, m0.., w of each group of rows(_group, STATISTICS).
+def _starts(rows: DataFrame, groups: int) -> DataFrame:
+    """_group, start and an estimate of each of three kinds.
 
-    Groups of any size are measured where their rows are; what is shuffled
-    is one row of sums for each task and group, and one for each distance.
+    0: medians and squared median deviations.  1: mean and covariance of all
+    rows.  2: medians, and the covariance of the directions from them in units
+    of the median deviations, scaled back.
     """
-    k = range(len(STATISTICS))
-    # Start: medians and median deviations, from a mergeable sketch with a rank error of a ten-thousandth.
-    medians = rows.groupBy("_group").agg(F.count("*").alias("n"), *[F.percentile_approx(s, 0.5, 10_000).alias(f"a{i}") for i, s in enumerate(STATISTICS)])
-    medians = written(medians, "medians")
-    away = rows.join(medians, "_group").select("_group", *[F.abs(F.col(s) - F.col(f"a{i}")).alias(s) for i, s in enumerate(STATISTICS)])
+    # Medians come from a mergeable sketch with a rank error of a ten-thousandth.
+    medians = written(rows.groupBy("_group").agg(*[F.percentile_approx(s, 0.5, 10_000).alias(f"a{i}") for i, s in enumerate(STATISTICS)]), "medians")
+    away = _attached(rows, medians, groups).select("_group", *[F.abs(F.col(s) - F.col(f"a{i}")).alias(s) for i, s in enumerate(STATISTICS)])
     spreads = away.groupBy("_group").agg(*[F.percentile_approx(s, 0.5, 10_000).alias(f"b{i}") for i, s in enumerate(STATISTICS)])
-    start = medians.join(spreads, "_group").select(
-        "_group", "n", *[(F.col(f"a{i}") / GRID).alias(f"m{i}") for i in k],
-        *[(F.pow(1.4826 * F.col(f"b{i}") / GRID, F.lit(2)) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in k for j in range(i + 1)])
-    now = written(_with_inverse(start, 1.0), "mcd-0")
-    for step in range(1, STEPS + 1):
-        measured = rows.join(now.drop("n"), "_group").withColumn("bin", _bin(_distance()))
-        at = measured.groupBy("_group", "bin").agg(F.count("*").alias("n"))
-        total = at.groupBy("_group").agg(F.sum("n").alias("all"))
+    centre = written(medians.join(spreads, "_group"), "centres")
+    mean = [(F.col(f"a{i}") / GRID).alias(f"m{i}") for i in _K]
+    spread = [1.4826 * F.col(f"b{i}") / GRID for i in _K]
+    plain = centre.select("_group", F.lit(0).alias("start"), *mean, *[
+        (F.pow(spread[i], F.lit(2)) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in _K for j in range(i + 1)])
+    classic = _sums(rows, ["_group"]).select("_group", F.lit(1).alias("start"), *_MEANS, *_COVARIANCES)
+    # Directions are rounded to the grid, so that their sums are exact, too.
+    unit = [(F.col(s) - F.col(f"a{i}")) / F.greatest(1.4826 * F.col(f"b{i}"), F.lit(FLOOR[i] * GRID)) for i, s in enumerate(STATISTICS)]
+    length = F.sqrt(sum((u * u for u in unit), F.lit(0.0)))
+    signs = _attached(rows, centre, groups).select("_group", *[
+        F.round(GRID * F.when(length > 0, u / length).otherwise(0.0)).cast("long").alias(s) for u, s in zip(unit, STATISTICS)])
+    signs = _sums(signs, ["_group"]).select("_group", *[F.col(c).alias(f"_{c}") for c in _COVARIANCES])
+    scale = [F.greatest(spread[i], F.lit(FLOOR[i])) for i in _K]
+    spatial = centre.join(signs, "_group").select("_group", F.lit(2).alias("start"), *mean, *[
+        (len(STATISTICS) * F.col(f"_c{i}{j}") * scale[i] * scale[j]).alias(f"c{i}{j}") for i in _K for j in range(i + 1)])
+    return plain.unionByName(classic).unionByName(spatial)
+
+
+def mcd(rows: DataFrame) -> DataFrame:
+    """_group, n, start, m0.., c00.., logdet of each group of rows(_group, _salt, STATISTICS).
+
+    Rows are measured where they are; what is shuffled is one row of sums for
+    each task, group and start, and one for each distance.  A start stops when
+    its determinant falls no more; of equal determinants the first start wins.
+    c00.. is the covariance of the covered rows, not yet made consistent.
+    """
+    sizes = written(rows.groupBy("_group").agg(F.count("*").alias("n")), "sizes")
+    groups = sizes.count()
+    keys = ["_group", "start"]
+    best = None
+    live = written(_with_inverse(_starts(rows, groups), 1.0, keys), "mcd-0")
+    step = 0
+    while not live.isEmpty():
+        step += 1
+        estimates = live.groupBy("_group").agg(F.collect_list(F.struct("start", *_MEANS, "w")).alias("_now"))
+        each = _attached(rows, estimates, groups).select("_group", *STATISTICS, F.explode("_now").alias("_now"))
+        measured = each.select("_group", *STATISTICS, "_now.*").withColumn("bin", _bin(_distance())).drop(*_MEANS, "w")
+        at = measured.groupBy(*keys, "bin").agg(F.count("*").alias("rows"))
         # The nearest distance with COVER of the rows up to it: a group has at most some thousand distances.
-        up_to = F.sum("n").over(Window.partitionBy("_group").orderBy("bin"))
-        limit = (at.join(total, "_group").withColumn("up_to", up_to).where(F.col("up_to") >= COVER * F.col("all"))
-                 .groupBy("_group").agg(F.min("bin").alias("limit")))
-        near = measured.join(limit, "_group").where("bin <= limit")
-        now = written(_with_inverse(_estimates(near), CONSISTENCY), f"mcd-{step}")
-    return now
+        up_to = F.sum("rows").over(Window.partitionBy(*keys).orderBy("bin"))
+        limit = written(at.join(sizes, "_group").withColumn("up_to", up_to).where(F.col("up_to") >= COVER * F.col("n"))
+                        .groupBy(*keys).agg(F.min("bin").alias("limit")), f"limits-{step}")
+        limits = limit.groupBy("_group").agg(F.map_from_entries(F.collect_list(F.struct("start", "limit"))).alias("_limits"))
+        both = estimates.join(limits, "_group")
+        near = (_attached(rows, both, groups).select("_group", *STATISTICS, "_limits", F.explode("_now").alias("_now"))
+                .select("_group", *STATISTICS, "_limits", "_now.*").where(_bin(_distance()) <= F.col("_limits")[F.col("start")]))
+        new = _with_inverse(_sums(near, keys), CONSISTENCY, keys)
+        if best is None:
+            best = written(new.withColumn("fell", F.lit(True)), f"mcd-{step}")
+        else:
+            # A start whose determinant fell takes the new estimate, any other keeps its own and is done.
+            names = [c for c in new.columns if c not in keys]
+            later = new.select(*keys, F.struct(*names).alias("_new"))
+            fell = F.coalesce(F.col("_new.logdet") < F.col("logdet") - LEAST_FALL, F.lit(False))
+            best = written(best.join(later, keys, "left").select(
+                *keys, *[F.when(fell, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in names], fell.alias("fell")), f"mcd-{step}")
+        live = best.where("fell").drop("fell")
+    if best is None:
+        best = live
+    least = best.groupBy("_group").agg(F.min_by(F.struct("start", *_MEANS, *_COVARIANCES, "logdet"), F.struct("logdet", "start")).alias("_best"))
+    return sizes.join(least, "_group").select("_group", "n", "_best.*")
+
+
+def _pooled(fitted: DataFrame, sizes: DataFrame) -> DataFrame:
+    """_g3, m0.., w: each group's estimate pooled with its language's, and that with all texts'.
+
+    The wider estimate counts for PRIOR_ROWS rows: means and covariances are
+    those of both sets of rows together, so a group that differs from its
+    language widens the estimate towards itself.
+    """
+    def level(key: str, name: str) -> DataFrame:
+        return fitted.select(F.col("_group").alias(key), F.col("n").alias(f"n{name}"), *[F.col(c).alias(f"{c[0]}{name}_{c[1:]}") for c in [*_MEANS, *_COVARIANCES]])
+
+    whole = sizes.join(level("_g3", "z"), "_g3").join(level("_g2", "y"), "_g2").withColumn("_g1", F.lit("1:")).join(level("_g1", "x"), "_g1")
+
+    def pool(batches):
+        import numpy as np
+
+        for t in batches:
+            mean = cov = None
+            for name in "xyz":  # from all texts to the group
+                own = t[[f"m{name}_{i}" for i in _K]].to_numpy(float)
+                of = _matrices(t, CONSISTENCY, [f"c{name}_{i}{j}" for i in _K for j in range(i + 1)])
+                if mean is None:
+                    mean, cov = own, of
+                    continue
+                share = (t[f"n{name}"] / (t[f"n{name}"] + PRIOR_ROWS)).to_numpy(float)[:, None]
+                apart = own - mean
+                cov = share[:, :, None] * of + (1 - share)[:, :, None] * cov + (share * (1 - share))[:, :, None] * apart[:, :, None] * apart[:, None, :]
+                mean = share * own + (1 - share) * mean
+            cov = cov + np.diag(np.square(FLOOR))
+            out = t[["_g3"]].copy()
+            for i in _K:
+                out[f"m{i}"] = mean[:, i]
+            out["w"] = list((np.linalg.inv(cov) if len(t) else cov).reshape(len(t), -1))
+            yield out
+
+    return whole.mapInPandas(pool, "_g3 string, " + ", ".join(f"{c} double" for c in _MEANS) + ", w array<double>")
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -202,20 +316,16 @@ def judged(docs: DataFrame) -> DataFrame:
     lang = F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("null"))
     source = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))
     counted = written(
-        base_counts(docs).withColumn("base_failed", base_failed())
+        base_counts(docs).withColumn("base_failed", base_failed()).withColumn("_salt", F.monotonically_increasing_id())
         .withColumns({"_g3": F.concat(F.lit("3:"), lang, F.lit("\x1f"), source), "_g2": F.concat(F.lit("2:"), lang)}), "base-counts")
     values = counted.select("*", *transformed())
     passed = values.where("not base_failed")
-    sizes = written(passed.groupBy("_g3", "_g2").agg(F.count("*").alias("n")), "group-sizes")
-    langs = sizes.groupBy("_g2").agg(F.sum("n").alias("n2"))
-    # Each language and source takes the smallest level with enough rows.
-    level = written(sizes.join(langs, "_g2").select("_g3", F.when(F.col("n") >= MIN_ROWS, F.col("_g3")).when(
-        F.col("n2") >= MIN_ROWS, F.col("_g2")).otherwise(F.lit("1:")).alias("_group")), "levels")
-    # A row counts in its own group and in each wider one that somebody takes.
-    rows = written(passed.withColumn("_group", F.explode(F.array("_g3", "_g2", F.lit("1:"))))
-                   .join(level.select("_group").distinct(), "_group", "left_semi").select("_group", *STATISTICS), "mcd-rows")
-    fitted = mcd(rows).drop("n")
-    return (values.join(level, "_g3", "left").join(fitted, "_group", "left")
+    # A row counts in its own group, in its language and in the whole.
+    rows = written(passed.select(F.explode(F.array("_g3", "_g2", F.lit("1:"))).alias("_group"), "_salt", *STATISTICS), "mcd-rows")
+    fitted = written(mcd(rows), "mcd")
+    sizes = written(passed.select("_g3", "_g2").distinct(), "groups")
+    pooled = written(_pooled(fitted, sizes), "pooled")
+    return (_attached(values, pooled, sizes.count(), "_g3")
             .withColumn("distance", F.when(~F.col("base_failed"), _distance()))
             .withColumn("outlier", F.coalesce(F.col("distance") > LIMIT, F.lit(False)))
             .withColumn("kept", ~F.col("base_failed") & ~F.col("outlier")))

@@ -18,44 +18,88 @@ from . import brute  # noqa: E402
 ARCS = {"=idiot": 3.0, "lowei": 4.0}
 
 
-def states(text):
-    return [(s, w) for _, _, s, w, _ in toxicity.clauses(text, toxicity.lexer(ARCS), ARCS)]
+def paths(text):
+    return toxicity.clauses(text, toxicity.lexer(ARCS), ARCS)
+
+
+def enumerated(symbols, weights, quoted):
+    """Every path of a clause: each head, alone and with each target, its voice read word by word."""
+    best = {}
+    for h, symbol in enumerate(symbols):
+        if symbol not in "IT":
+            continue
+        negated = reported = False
+        for k in range(h):
+            between = symbols[k + 1:h]
+            negated |= symbols[k] == "N" and len(between) < 3 and set(between) <= set("OG")
+            reported |= symbols[k] == "R" and len(between) < 7 and set(between) <= set("OGN")
+        reported |= quoted[h]
+        voice = {(0, 0): "direct", (1, 0): "negated", (0, 1): "reported", (1, 1): "both"}[int(negated), int(reported)]
+        head = ("insult" if symbol == "I" else "threat", voice)
+        ways = [(False, weights[h])] + [(True, weights[h] * 0.85 ** (abs(g - h) - 1)) for g, s in enumerate(symbols) if s == "G"]
+        for target, w in ways:
+            best[*head, target] = max(best.get((*head, target), 0.0), w)
+    return best
+
+
+def test_best_paths_agree_with_all_paths():
+    rnd = random.Random(12)
+    for _ in range(4000):
+        symbols = "".join(rnd.choices("OITGNR", (6, 1, 1, 2, 1, 1), k=rnd.randint(1, 14)))
+        weights = [rnd.choice([0.5, 1.0, 3.0]) for _ in symbols]
+        quoted = [rnd.random() < 0.1 for _ in symbols]
+        got = toxicity.best_paths(symbols.encode(), weights, quoted)
+        want = enumerated(symbols, weights, quoted)
+        assert got.keys() == want.keys() and all(abs(got[c] - want[c]) < 1e-9 for c in want), symbols
+
+
+def test_composition_is_the_product_of_both_machines():
+    negation, report = toxicity.reaching(ord("N"), b"OG", 3), toxicity.reaching(ord("R"), b"OGN", 7)
+    states, arcs = toxicity.compose(negation, report)
+    rnd = random.Random(1)
+    for _ in range(300):
+        a = b = at = 0
+        for symbol in rnd.choices(b"OITGNR", k=30):
+            a, b, at = negation[a, symbol], report[b, symbol], arcs[at][symbol]
+            assert states[at] == (a, b)
+    assert len(states) == len(set(states)) <= 4 * 8
 
 
 @pytest.mark.parametrize("text, want", [
-    ("An idiot. Fine.", [("plain", 3.0)]),
-    ("you are an IDIOT, friend", [("targeted", 3.0)]),
-    ("idiot that you are", [("targeted", 3.0)]),
-    ("you said. An idiot", [("plain", 3.0)]),
-    ("he is not an idiot", [("negated", 3.0)]),
-    ("he was not there. idiot", [("plain", 3.0)]),
-    ('she said he is an idiot', [("reported", 3.0)]),
-    ('the word "idiot" here', [("reported", 3.0)]),
-    ("ein loweischaft und", [("plain", 4.0)]),
+    ("An idiot. Fine.", [{("insult", "direct", False): 3.0}]),
+    ("you are an IDIOT, friend", [{("insult", "direct", False): 3.0, ("insult", "direct", True): 3 * 0.85 ** 2}]),
+    ("idiot that you are", [{("insult", "direct", False): 3.0, ("insult", "direct", True): 3 * 0.85}]),
+    ("you said. An idiot", [{("insult", "direct", False): 3.0}]),
+    ("it is not an idiot", [{("insult", "negated", False): 3.0}]),
+    ("it was not there. idiot", [{("insult", "direct", False): 3.0}]),
+    ("who said it is an idiot", [{("insult", "reported", False): 3.0}]),
+    ("who said it is not an idiot", [{("insult", "both", False): 3.0}]),
+    ('the word "idiot" here', [{("insult", "reported", False): 3.0}]),
+    ("ein loweischaft und", [{("insult", "direct", False): 4.0}]),
     ("lowei alone and idiotic", []),
-    ("I will kill you", [("targeted", 1.0)]),
-    ("they kill time? no", [("targeted", 1.0)]),
-    ("kill the process", []),
+    ("I will kill you", [{("threat", "direct", False): 3.0, ("threat", "direct", True): 3.0}]),
+    ("I will kill every single last one of you", [{("threat", "direct", False): 3.0, ("threat", "direct", True): 3 * 0.85 ** 5}]),
+    ("I will not kill you", [{("threat", "negated", False): 3.0, ("threat", "negated", True): 3.0}]),
+    ("kill the process. you", [{("threat", "direct", False): 3.0}]),
+    ("an idiot\nand an idiot", [{("insult", "direct", False): 3.0}] * 2),
     ("", []), ("\n\n . ", []),
 ])
-def test_grammar_states(text, want):
-    assert states(text) == want
-
-
-@pytest.mark.parametrize("text, want, threats", [
-    ("I will kill every single last one of you", [("targeted", 1.0)], [("targeted", 6)]),
-    ("I will kill him", [("targeted", 1.0)], [("targeted", 1)]),
-    ("we shall hurt her. fine", [("targeted", 1.0)], [("targeted", 1)]),
-    ("I will kill and never more stop to hurt you", [("targeted", 1.0)] * 2, [("targeted", 7), ("targeted", 1)]),
-    ("I will not kill you", [], [("negated", 1)]),
-    ("she said kill you", [], [("reported", 1)]),
-    ("kill the process. you", [], [("plain", 0)]),
-    ("fine", [], []),
-])
-def test_threats_look_for_targets_in_the_whole_clause(text, want, threats):
-    found = toxicity.clauses(text, toxicity.lexer(ARCS), ARCS)
-    assert [(s, w) for _, _, s, w, _ in found] == want and found.threats == threats
-    assert len(toxicity.features(found)) == len(toxicity.FEATURES) and any(toxicity.features(found)) == bool(threats)
+def test_clauses_by_class(text, want):
+    found = paths(text)
+    assert len(found) == len(want)
+    for got, expect in zip(found, want):
+        assert got == pytest.approx(expect)
+    assert len(toxicity.features(found)) == len(toxicity.FEATURES) == len(toxicity.PRIOR) - 1 and any(toxicity.features(found)) == bool(want)
+
+
+def test_few_labels_leave_the_fixed_weights(spark, tmp_path):
+    rows = [(0, "you are an idiot", 1), (1, "fine words", 0), (2, "he is not an idiot", 0), (3, "I will kill you", 1), (4, "kill the process", 0),
+            (5, None, 0), (6, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs.select("doc_id", "toxic").write.parquet(str(tmp_path / "labels.parquet"))
+    found = {r.doc_id: r.score for r in toxicity.query(spark, docs, str(tmp_path)).collect()}
+    assert min(found[0], found[3]) > 0.5 > max(found[k] for k in (1, 2, 4, 5, 6))
+    assert toxicity.clean(spark, docs, str(tmp_path)).count() == 5
 
 
 def test_threats_without_a_target_are_learned(spark, tmp_path):
@@ -70,12 +114,12 @@ def test_threats_without_a_target_are_learned(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     docs.select("doc_id", "toxic").write.parquet(str(tmp_path / "labels.parquet"))
     fitted = toxicity.fit(spark, docs, str(tmp_path))
-    assert fitted["weights"][1 + toxicity.FEATURES.index("plain_threats")] > 1
+    assert fitted["weights"][1 + toxicity.FEATURES.index(("threat", "direct", False))] > 1
     assert all(w >= 0 for w in fitted["weights"][1:])
 
 
 def test_long_text_is_read_whole():
-    assert states("fine words here. " * 30_000 + "idiot") == [("plain", 3.0)]
+    assert paths("fine words here. " * 30_000 + "idiot") == [{("insult", "direct", False): 3.0}]
 
 
 @pytest.fixture(scope="module")
@@ -263,30 +307,88 @@ def test_base_counts_match_brute_force(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute.base_counts(texts[r.doc_id])
 
 
-def test_mcd_matches_numpy(spark):
-    """The distributed estimate against the same concentration steps on arrays."""
+def mcd_by_numpy(grid):
+    """(mean, covariance, log determinant) of the best of the three starts on arrays."""
+    q, k = quality_rules, len(quality_rules.STATISTICS)
+    x, floor = grid / q.GRID, np.diag(np.square(q.FLOOR))
+    low = np.sort(grid, axis=0)[(len(grid) - 1) // 2]
+    away = 1.4826 * np.sort(np.abs(grid - low), axis=0)[(len(grid) - 1) // 2]
+    unit = (grid - low) / np.maximum(away, np.array(q.FLOOR) * q.GRID)
+    length = np.linalg.norm(unit, axis=1, keepdims=True)
+    signs = np.round(q.GRID * np.divide(unit, length, out=np.zeros_like(unit), where=length > 0)) / q.GRID
+    scale = np.maximum(away / q.GRID, q.FLOOR)
+    starts = [(low / q.GRID, np.diag((away / q.GRID) ** 2)), (x.mean(axis=0), np.cov(x.T, bias=True)),
+              (low / q.GRID, k * np.cov(signs.T, bias=True) * np.outer(scale, scale))]
+    ends = []
+    for mean, cov in starts:
+        factor, before = 1.0, None
+        while True:
+            w = np.linalg.inv(factor * cov + floor)
+            bins = np.round(q.LOG_GRID * np.log(np.maximum(np.einsum("ni,ij,nj->n", x - mean, w, x - mean), 0) + 1e-6))
+            near = x[bins <= np.sort(bins)[math.ceil(q.COVER * len(x)) - 1]]
+            new, factor = (near.mean(axis=0), np.cov(near.T, bias=True)), q.CONSISTENCY
+            logdet = np.linalg.slogdet(factor * new[1] + floor)[1]
+            if before is not None and logdet >= before - q.LEAST_FALL:
+                break
+            (mean, cov), before = new, logdet
+        ends.append((mean, cov, before))
+    return min(ends, key=lambda e: e[2]), [e[2] for e in ends]
+
+
+def test_mcd_matches_numpy(spark, monkeypatch):
+    """The distributed estimate against the same starts and steps on arrays; also where estimates are joined by salt."""
     rng = np.random.default_rng(5)
     k = len(quality_rules.STATISTICS)
     mix = rng.normal(size=(k, k))
-    rows = {g: np.round(quality_rules.GRID * np.vstack([rng.normal(size=(900, k)) @ mix + s, rng.normal(size=(150, k)) * 0.2 + 40])).astype(int)
-            for g, s in (("a", 3.0), ("b", -2.0))}
-    table = spark.createDataFrame([(g, *map(int, r)) for g, x in rows.items() for r in x], f"_group string, {', '.join(s + ' long' for s in quality_rules.STATISTICS)}")
-    found = {r._group: r for r in quality_rules.mcd(table).collect()}
-    for g, grid in rows.items():
-        x = grid / quality_rules.GRID
-        low = np.sort(grid, axis=0)[(len(grid) - 1) // 2]
-        away = np.sort(np.abs(grid - low), axis=0)[(len(grid) - 1) // 2]
-        mean, cov, scale = low / quality_rules.GRID, np.diag((1.4826 * away / quality_rules.GRID) ** 2), 1.0
-        for _ in range(quality_rules.STEPS):
-            w = np.linalg.inv(scale * cov + np.diag(np.square(quality_rules.FLOOR)))
-            bins = np.round(quality_rules.LOG_GRID * np.log(np.einsum("ni,ij,nj->n", x - mean, w, x - mean) + 1e-6))
-            limit = np.sort(bins)[math.ceil(quality_rules.COVER * len(x)) - 1]
-            near = x[bins <= limit]
-            mean, cov, scale = near.mean(axis=0), np.cov(near.T, bias=True), quality_rules.CONSISTENCY
-        w = np.linalg.inv(scale * cov + np.diag(np.square(quality_rules.FLOOR)))
-        assert np.allclose([found[g][f"m{i}"] for i in range(k)], mean, atol=1e-2)
-        assert np.allclose(np.array(found[g].w).reshape(k, k), w, rtol=0.05, atol=0.05 * np.abs(w).max())
-        assert np.einsum("ni,ij,nj->n", x - mean, w, x - mean)[900:].min() > quality_rules.LIMIT
+    two = np.vstack([rng.normal(size=(500, k)) * 0.5, rng.normal(size=(460, k)) @ mix + 6])  # two clusters: starts end apart
+    groups = {"a": np.vstack([rng.normal(size=(900, k)) @ mix + 3, rng.normal(size=(150, k)) * 0.2 + 40]), "b": two,
+              "c": rng.normal(size=(7, k)), "d": np.ones((3, k)), "e": rng.normal(size=(1, k))}
+    rows = {g: np.round(quality_rules.GRID * x).astype(int) for g, x in groups.items()}
+    table = spark.createDataFrame([(g, i, *map(int, r)) for g, x in rows.items() for i, r in enumerate(x)],
+                                  f"_group string, _salt long, {', '.join(s + ' long' for s in quality_rules.STATISTICS)}")
+    spread = []
+    for limit in (quality_rules.BROADCAST_GROUPS, 2):
+        monkeypatch.setattr(quality_rules, "BROADCAST_GROUPS", limit)
+        found = {r._group: r for r in quality_rules.mcd(table).collect()}
+        assert {g: r.n for g, r in found.items()} == {g: len(x) for g, x in rows.items()}
+        for g, grid in rows.items():
+            (mean, cov, logdet), ends = mcd_by_numpy(grid)
+            spread.append(max(ends) - min(ends))
+            assert found[g].logdet == pytest.approx(logdet, abs=0.02), g
+            assert np.allclose([found[g][f"m{i}"] for i in range(k)], mean, atol=0.02), g
+            assert np.allclose([found[g][f"c{i}{j}"] for i in range(k) for j in range(i + 1)],
+                               [cov[i, j] for i in range(k) for j in range(i + 1)], rtol=0.05, atol=0.02 * np.abs(cov).max() + 1e-9), g
+    assert max(spread) > 0.5  # one start alone would have ended elsewhere
+
+
+def test_estimates_change_smoothly_with_rows_and_rows_stay_where_they_are(spark):
+    """199 and 200 rows of a source are judged nearly alike, and few rows of another kind are not driven out by many."""
+    rnd = random.Random(3)
+
+    def text(size):
+        return " ".join("".join(rnd.choices("abcdefgh", k=size)) + ("#" if rnd.random() < 0.02 else "") for _ in range(rnd.randint(80, 120)))
+
+    big = [text(5) for _ in range(900)]
+    small = [text(11) for _ in range(200)]
+    distances = {}
+    for n in (5, 199, 200):
+        docs = spark.createDataFrame([(i, t, "en", "big") for i, t in enumerate(big)] + [(10_000 + i, t, "en", "small") for i, t in enumerate(small[:n])],
+                                     "doc_id long, text string, lang string, source string")
+        found = {r.doc_id: r for r in quality_rules.judged(docs).collect()}
+        assert sum(not r.kept for r in found.values()) <= 0.02 * len(found)
+        distances[n] = [found[10_000 + i].distance for i in range(5)]
+    assert np.allclose(distances[199], distances[200], rtol=0.25, atol=0.2)
+
+
+def test_no_exchange_moves_rows_by_group(spark):
+    rows = spark.range(2000).select(F.concat(F.lit("g"), (F.col("id") % 2).cast("string")).alias("_group"), F.col("id").alias("_salt"),
+                                    *[(F.hash("id", F.lit(i)) % 900).cast("long").alias(s) for i, s in enumerate(quality_rules.STATISTICS)])
+    joined = quality_rules._attached(rows, rows.groupBy("_group").agg(F.count("*").alias("n")), 2)
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    salted = quality_rules._attached(rows, rows.groupBy("_group").agg(F.count("*").alias("n")), quality_rules.BROADCAST_GROUPS + 1)
+    assert salted.count() == 2000 and "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_quality_rules_reject_outliers_only(spark):
