@@ -1,21 +1,26 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A text is read word by word through a chain of transducers.
+A text is read word by word.
 
 1. The lexical transducer turns a word into a symbol: insult, threat, target,
    negation, reported speech or other, and says whether a clause ends there.
-   Its insult arcs are words and word beginnings with weights; the seed words
-   are fixed, further arcs and all weights are learned from labelled rows.
-2. The clause transducer cuts the symbols into clauses and passes on those
-   with an insult or a threat.
-3. The context transducer reads each of these clauses and gives every match
-   one state: negated, reported, targeted or plain.  A threat's target is
-   sought in its whole clause.
-
-A document's features sum the weights of its matches by state, so clauses
-are scored, not isolated words.  Threats have features of their own besides,
-by state and by closeness to their targets.  A logistic model over the features, also
-learned from labelled rows, gives the score.
+   Insults and threats carry weights; insult arcs are words and word
+   beginnings, the seed words are fixed, further arcs are learned from labelled
+   rows.
+2. The negation and the reported-speech transducer say in which voice a word
+   stands: direct, negated, reported or both.  The insult and the threat
+   transducer accept one head each.  The target transducer links a head to a
+   target before or after it in the clause, at a weight that decays with every
+   word between.  All five are composed once, into one machine over symbols.
+3. A path of the composed machine through a clause takes one head, in its
+   voice, with or without one target; its weight is the product of its arcs'.
+   The clause's score in each class (head, voice, target) is that of its best
+   path, found in one pass from left to right.
+
+A document's features sum its clauses' scores by class, so matched clauses are
+scored, not isolated words.  A logistic model over the features, also learned
+from labelled rows, gives the score; it starts from fixed weights and leaves
+them only as far as the labels carry it.
 """
 
 from __future__ import annotations
@@ -31,12 +36,10 @@ from demandlake.llm.common import held_out, row_keys, training_labels
 
 #: At most about so many labelled rows are used to learn from.
 MAX_LABELS = 40_000
-#: The lexical transducer has at most so many learned arcs.
-MAX_ARCS = 20_000
 #: Lengths of the word beginnings that may become arcs.
 PREFIXES = (4, 5, 6, 7)
 #: A learned arc needs this likelihood-ratio statistic, this share of toxic rows among its
-#: rows, and this share of all toxic rows.
+#: rows, and this share of all toxic rows, so the labelled rows bound the number of arcs.
 MIN_G2, MIN_SHARE, MIN_SUPPORT = 30.0, 0.6, 0.005
 
 # Seed words of the transducers.
@@ -58,8 +61,79 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, BREAK = b"OITGNRB"
 CLAUSE_END = ".!?;:…"
 QUOTES = "\"'“”„«»"
 
-FEATURES = ["plain", "targeted", "negated", "reported", "clauses", "largest",
-            "close_threats", "plain_threats", "negated_threats", "reported_threats"]
+#: Weight of a seed insult and of a threat, and what each word between a head and its target leaves of it.
+SEED_WEIGHT, THREAT_WEIGHT, DECAY = 3.0, 3.0, 0.85
+#: Words over which a negation, and a word of reported speech, reaches.
+NEGATION_REACH, REPORT_REACH = 3, 7
+
+VOICES = ("direct", "negated", "reported", "both")
+#: (head, voice, whether a target is linked): the classes of paths.
+CLASSES = [(head, voice, target) for head in ("insult", "threat") for voice in VOICES for target in (False, True)]
+FEATURES = [*CLASSES, "clauses", "largest"]
+#: The model's weights before any label: intercept, then FEATURES.
+_FIXED = {("insult", "direct", False): 1.0, ("insult", "direct", True): 1.0, ("threat", "direct", False): 0.2, ("threat", "direct", True): 2.0,
+          "clauses": 0.5, "largest": 0.5}
+PRIOR = [-3.0] + [_FIXED.get(f, 0.05) for f in FEATURES]
+
+# ---- the transducers of the voice, as tables (state, symbol) -> state; state 0 is closed
+
+
+def reaching(opener: int, through: bytes, reach: int) -> dict[tuple[int, int], int]:
+    """Open after the opener, for reach words, as long as only symbols of through follow."""
+    table = {}
+    for state in range(reach + 1):
+        for symbol in b"OITGNR":
+            ahead = state + 1 if 0 < state < reach and symbol in through else 0
+            table[state, symbol] = 1 if symbol == opener else ahead
+    return table
+
+
+def compose(first: dict[tuple[int, int], int], second: dict[tuple[int, int], int]) -> tuple[list[tuple[int, int]], list[dict[int, int]]]:
+    """The pairs of states that both machines reach together, and the arcs between them by symbol."""
+    states, arcs, number = [(0, 0)], [], {(0, 0): 0}
+    for a, b in states:  # grows while it is walked
+        row = {}
+        for symbol in b"OITGNR":
+            to = first[a, symbol], second[b, symbol]
+            if to not in number:
+                number[to] = len(states)
+                states.append(to)
+            row[symbol] = number[to]
+        arcs.append(row)
+    return states, arcs
+
+
+_STATES, _ARCS = compose(reaching(NEGATION, b"OG", NEGATION_REACH), reaching(REPORT, b"OGN", REPORT_REACH))
+_VOICE = [(neg > 0) + 2 * (rep > 0) for neg, rep in _STATES]
+
+
+def best_paths(symbols: bytes, weights: list[float], quoted: list[bool]) -> dict[tuple[str, str, bool], float]:
+    """The weight of the best path of each class that a clause has a path of.
+
+    symbols are upper case; weights and quoted hold one entry per symbol, and
+    only those of insults and threats count.  A quoted head is reported.  One
+    pass: `near` is the best weight of a target before the next word, `waiting`
+    the best weights of heads that may still find one.
+    """
+    best: dict[tuple[str, str, bool], float] = {}
+    waiting: dict[tuple[str, str], float] = {}
+    state, near = 0, 0.0
+    for symbol, weight, quote in zip(symbols, weights, quoted):
+        if symbol in b"IT":
+            head = "insult" if symbol == INSULT else "threat", VOICES[_VOICE[state] | 2 * quote]
+            best[*head, False] = max(best.get((*head, False), 0.0), weight)
+            if near:
+                best[*head, True] = max(best.get((*head, True), 0.0), weight * near)
+        near *= DECAY
+        if symbol == TARGET:
+            for head, w in waiting.items():
+                best[*head, True] = max(best.get((*head, True), 0.0), w)
+            near = 1.0
+        waiting = {head: w * DECAY for head, w in waiting.items()}
+        if symbol in b"IT":
+            waiting[head] = max(waiting.get(head, 0.0), weight)
+        state = _ARCS[state][symbol]
+    return best
 
 
 def _trim(part: str) -> str:
@@ -83,7 +157,7 @@ def lexer(arcs: dict[str, float], cache_items: int = 1_000_000) -> Callable[[str
                 self.clear()
             word = _trim(part)
             symbol = INSULT if arc_of(word, arcs) else fixed.get(word, OTHER)
-            if part == "\x1e":
+            if part == "\x00":
                 symbol = BREAK
             tail = part[part.rfind(word) + len(word):] if word else part
             self[part] = out = symbol | 32 if any(c in CLAUSE_END for c in tail) or symbol == BREAK else symbol
@@ -92,7 +166,7 @@ def lexer(arcs: dict[str, float], cache_items: int = 1_000_000) -> Callable[[str
     symbols = Symbols()
 
     def read(text: str) -> tuple[bytes, list[str]]:
-        parts = text.lower().replace("\n", " \x1e ").split()
+        parts = text.lower().replace("\n", " \x00 ").split()
         return bytes(map(symbols.__getitem__, parts)), parts
 
     return read
@@ -109,71 +183,36 @@ def arc_of(word: str, arcs: dict[str, float]) -> str | None:
 
 
 _CLAUSE = re.compile(rb"[A-Z]*[a-z]|[A-Z]+")
-_MATCH = re.compile(rb"[IT]", re.I)
-# The context transducer, on the symbols before and after a match in its clause.
-_NEGATED = re.compile(rb"N[OG]{0,2}$", re.I)
-_REPORTED = re.compile(rb"R[OGN]{0,6}$", re.I)
-_TARGETED = re.compile(rb"G[ORI]{0,4}$", re.I)
-_TARGET_NEXT = re.compile(rb"[ORI]{0,4}G", re.I)
-
-
-class Matches(list):
-    """(clause, part, state, weight, word) of insults and targeted threats; threats: (state, words to the target) of all threats."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.threats: list[tuple[str, int]] = []
+_HEAD = re.compile(rb"[IT]", re.I)
 
 
-def _target_distance(before: bytes, after: bytes) -> int:
-    """Words from a match to the closest target in its clause; 0 if it has none."""
-    before, after = before.upper(), after.upper()
-    return min((d for d in (len(before) - before.rfind(b"G") if b"G" in before else 0, after.find(b"G") + 1) if d), default=0)
-
-
-def clauses(text: str, read, arcs: dict[str, float]) -> Matches:
-    """Matches of a whole text: (clause, part, state, weight, word)."""
+def clauses(text: str, read, arcs: dict[str, float]) -> list[dict[tuple[str, str, bool], float]]:
+    """best_paths of each clause of a whole text that has a head."""
     symbols, parts = read(text)
-    found = Matches()
-    if not _MATCH.search(symbols):
+    found = []
+    if not _HEAD.search(symbols):
         return found
-    for k, clause in enumerate(_CLAUSE.finditer(symbols)):
-        line = clause.group()
-        for m in _MATCH.finditer(line):
-            before, after = line[: m.start()], line[m.end():]
-            part = parts[clause.start() + m.start()]
-            word = _trim(part)
-            threat = line[m.start()] | 32 == THREAT | 32
-            distance = _target_distance(before, after) if threat else 0
-            if _NEGATED.search(before):
-                state = "negated"
-            elif _REPORTED.search(before) or (part[0] in QUOTES and part[-1] in QUOTES):
-                state = "reported"
-            elif distance or (not threat and (_TARGETED.search(before) or _TARGET_NEXT.match(after))):
-                state = "targeted"
-            else:
-                state = "plain"
-            if threat:
-                found.threats.append((state, distance))
-            # A threat counts among the insults only where it has a target.
-            weight = (1.0 if state == "targeted" else 0.0) if threat else arcs[arc_of(word, arcs)]
-            if weight:
-                found.append((k, clause.start() + m.start(), state, weight, word))
+    for clause in _CLAUSE.finditer(symbols):
+        line = clause.group().upper().replace(b"B", b"O")
+        if not _HEAD.search(line):
+            continue
+        own = parts[clause.start():clause.end()]
+        weights = [arcs[arc_of(_trim(p), arcs)] if s == INSULT else THREAT_WEIGHT if s == THREAT else 0.0 for s, p in zip(line, own)]
+        found.append(best_paths(line, weights, [p[0] in QUOTES and p[-1] in QUOTES for p in own]))
     return found
 
 
-def features(found: Matches) -> list[float]:
-    """FEATURES of the matches of one text."""
+def features(found: list[dict[tuple[str, str, bool], float]]) -> list[float]:
+    """FEATURES of the clauses of one text."""
     from math import log1p
 
-    sums = dict.fromkeys(FEATURES[:4], 0.0)
-    for _, _, state, weight, _ in found:
-        sums[state] += weight
-    # The closer a target, the more a threat counts; how much is learned.
-    close = sum(1 / distance for state, distance in found.threats if state == "targeted")
-    return [log1p(sums[s]) for s in FEATURES[:4]] + [
-        log1p(len({k for k, *_ in found})), max((w for *_, w, _ in found), default=0.0), log1p(close)] + [
-        log1p(sum(state == s for state, _ in found.threats)) for s in ("plain", "negated", "reported")]
+    sums = dict.fromkeys(CLASSES, 0.0)
+    for paths in found:
+        for c, weight in paths.items():
+            sums[c] += weight
+    # The weight of the best direct path that is an insult or finds its target.
+    largest = max((w for paths in found for (head, voice, target), w in paths.items() if voice == "direct" and (target or head == "insult")), default=0.0)
+    return [log1p(sums[c]) for c in CLASSES] + [log1p(len(found)), largest]
 
 
 def _text_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -209,7 +248,7 @@ def learn_arcs(rows: DataFrame) -> dict[str, float]:
         for b in batches:
             for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 words = {_trim(p) for p in set(text.lower().split())}
-                (toxic if label else clean).update(w for w in words if w and len(w) < 64)
+                (toxic if label else clean).update(w for w in words if w)
                 if len(toxic) + len(clean) > 300_000:
                     yield table()
         yield table()
@@ -222,7 +261,7 @@ def learn_arcs(rows: DataFrame) -> dict[str, float]:
     t, c = F.col("toxic"), F.col("clean")
     sums = rows.agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")).first()
     n_toxic, n_clean = sums["toxic"] or 0, sums["clean"] or 0
-    seeds = {f"={w}": 3.0 for w in INSULTS}
+    seeds = {f"={w}": SEED_WEIGHT for w in INSULTS}
     if not n_toxic or not n_clean:
         return seeds
     p = n_toxic / (n_toxic + n_clean)
@@ -232,9 +271,9 @@ def learn_arcs(rows: DataFrame) -> dict[str, float]:
 
     learned = (words.select(arc.alias("arc"), "toxic", "clean").groupBy("arc").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
                .where((t >= MIN_SUPPORT * n_toxic) & (t > MIN_SHARE * (t + c)) & (2 * (part(t, p) + part(c, 1 - p)) > MIN_G2))
-               .withColumn("weight", F.log((t + 0.5) / (c + 0.5) * ((1 - p) / p)))
-               .orderBy(F.desc(t), "arc").limit(MAX_ARCS).select("arc", "weight"))
-    arcs = {r["arc"]: float(r["weight"]) for r in learned.collect()}  # at most MAX_ARCS rows
+               .withColumn("weight", F.log((t + 0.5) / (c + 0.5) * ((1 - p) / p))).select("arc", "weight"))
+    # MAX_LABELS texts and MIN_SUPPORT bound these: 1 / MIN_SUPPORT times the arcs of an average toxic text.
+    arcs = {r["arc"]: float(r["weight"]) for r in learned.collect()}
     return seeds | {a: w for a, w in arcs.items() if w > 0}
 
 
@@ -257,23 +296,24 @@ def fit(spark: SparkSession, docs: DataFrame, sf_dir: str, max_labels: int = MAX
 
     Arcs come from three of the four learning folds; the score's weights from
     the fourth, so that they don't trust arcs that only fit their own rows.
-    Without labels of both kinds the seed words and fixed weights are used.
+    The weights stay near PRIOR where labels are few, and are PRIOR without
+    labels of both kinds.
     """
     import numpy as np
 
     rows = _text_rows(docs, training_labels(spark, sf_dir, "toxic", max_labels))
     arcs = learn_arcs(rows.where("fold <> 1"))
     table = _feature_rows(rows.where("fold = 1"), arcs, ["label", "text"], "label int, features array<double>").toPandas()
-    weights = np.array([-3.0] + [1.0] * len(FEATURES))
+    prior = np.array(PRIOR)
+    weights = prior.copy()
     if table["label"].nunique() == 2:
         x = np.column_stack([np.ones(len(table)), np.array(table["features"].tolist())])
         y = table["label"].to_numpy(float)
         # Accelerated projected gradient: evidence of an insult never lowers a score.
-        ridge = np.array([0.0] + [1.0] * len(FEATURES))
         step = 1 / (0.25 * np.linalg.eigvalsh(x.T @ x)[-1] + 1)
-        weights, ahead, pace = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 1.0
+        ahead, pace = weights.copy(), 1.0
         for _ in range(4000):
-            gradient = x.T @ (1 / (1 + np.exp(-x @ ahead)) - y) + ridge * ahead
+            gradient = x.T @ (1 / (1 + np.exp(-x @ ahead)) - y) + (ahead - prior)
             new = ahead - step * gradient
             new[1:] = np.maximum(new[1:], 0)
             faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
