@@ -40,9 +40,17 @@ def clean_lower(col) -> Column:
     return F.nullif(F.lower(trim_ws(col)), F.lit(""))
 
 
+# Fixed value: hexadecimal integers as INT64 casts take them; more than 16 digits are too large.
+HEX_INTEGER = r"^\s*([+-]?)0[xX]0*([0-9a-fA-F]{1,16})\s*$"
+
+
 def safe_bigint(col) -> Column:
-    """SAFE_CAST(x AS INT64): integer text only, anything else is NULL."""
-    return _c(col).try_cast("bigint")
+    """SAFE_CAST(x AS INT64): integer text, decimal or hexadecimal (0x1f); anything else is NULL."""
+    text = _c(col).cast("string")
+    sign = F.when(F.regexp_extract(text, HEX_INTEGER, 1) == "-", "-").otherwise("")
+    number = F.concat(sign, F.conv(F.regexp_extract(text, HEX_INTEGER, 2), 16, 10)).try_cast("bigint")
+    # Hexadecimal text is looked for only where the plain cast found nothing.
+    return F.coalesce(_c(col).try_cast("bigint"), F.when(text.rlike(HEX_INTEGER), number))
 
 
 def safe_numeric(col) -> Column:

@@ -102,10 +102,32 @@ def fct_events(bronze: DataFrame, load_month: str | None = None, strict: bool =
     return out
 
 
+def ordered_shards(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """df, written once, with `_shard`: its rows in ranges of (keys, order).
+
+    A key with many rows spans several shards, so no shard grows with a key.
+    """
+    from ..session import materialize
+    return materialize(df.repartitionByRange(*keys, *order).withColumn("_shard", F.spark_partition_id()))
+
+
 def session_event_rank(fct: DataFrame) -> DataFrame:
-    """ROW_NUMBER() per (user_session, user_id) ordered by (event_ts, event_id)."""
-    w = Window.partitionBy("user_session", "user_id").orderBy("event_ts", "event_id")
-    return fct.withColumn("event_rank_in_session", F.row_number().over(w))
+    """ROW_NUMBER() per (user_session, user_id) ordered by (event_ts, event_id).
+
+    Rows are ranked inside ranges of the whole order; a session that spans
+    several ranges adds the rows of its earlier ones, from a table with one row
+    per session and range.  So one huge session is not sorted in a single task.
+    """
+    keys, order = ["user_session", "user_id"], ["event_ts", "event_id"]
+    placed = ordered_shards(fct, keys, order)
+    earlier = Window.partitionBy(*keys).orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(*keys, "_shard").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col("_shard").alias("_in"),
+                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")).where("_before > 0")
+    inside = F.row_number().over(Window.partitionBy(*keys, "_shard").orderBy(*order))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys] + [F.col("_shard") == F.col("_in")]
+    return placed.withColumn("_inside", inside).join(before, same, "left").select(
+        *fct.columns, (F.col("_inside") + F.coalesce("_before", F.lit(0))).cast("int").alias("event_rank_in_session"))
 
 
 FIRST_FIELDS = ["event_type", "product_id", "category_l1", "category_l2", "category_l3", "brand", "price"]

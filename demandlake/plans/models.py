@@ -95,16 +95,16 @@ def logistic_pipeline(cfg: dict, feature_cols: list[str], n_train: int) -> Pipel
 _PIPELINE_COLUMNS = ("features_raw", "features", "rawPrediction", "probability", "prediction")
 
 
-def p_nonzero(model, df: DataFrame, name: str = "p_nonzero") -> DataFrame:
+def p_nonzero(model, df: DataFrame, name: str = "p_nonzero", lenient: bool = False) -> DataFrame:
     """df with the probability of a positive target by a stage 1 model of either kind."""
-    if isinstance(model, B.Boosted):
-        return model.predicted(df, name)
+    if not isinstance(model, PipelineModel):
+        return model.predicted(df, name, lenient)
     return model.transform(df).withColumn(name, vector_to_array("probability")[1]).drop(*_PIPELINE_COLUMNS)
 
 
-def positive_count(model, df: DataFrame, name: str = "positive_count") -> DataFrame:
+def positive_count(model, df: DataFrame, name: str = "positive_count", lenient: bool = False) -> DataFrame:
     """df with the mean of a positive target by a stage 2 model of either kind."""
-    return model.predicted(df, name).withColumn(name, F.greatest(F.col(name), F.lit(0.0)))
+    return model.predicted(df, name, lenient).withColumn(name, F.greatest(F.col(name), F.lit(0.0)))
 
 
 def sample_weights(df: DataFrame, y: str = "target_next_period") -> DataFrame:
@@ -299,12 +299,13 @@ class SparkHurdleModel:
         self.category = category
         self.threshold = threshold
 
-    def predict_components(self, df: DataFrame) -> DataFrame:
-        return positive_count(self.regressor, p_nonzero(self.classifier, df))
+    def predict_components(self, df: DataFrame, lenient: bool = False) -> DataFrame:
+        return positive_count(self.regressor, p_nonzero(self.classifier, df, lenient=lenient), lenient=lenient)
 
-    def predict_soft(self, df: DataFrame) -> DataFrame:
+    def predict_soft(self, df: DataFrame, lenient: bool = False) -> DataFrame:
+        """Soft hurdle predictions; lenient: a row that a model can't predict has none, instead of failing the job."""
         from ..operators.hurdle import hurdle_combine
-        return hurdle_combine(self.predict_components(df), threshold=self.threshold)
+        return hurdle_combine(self.predict_components(df, lenient), threshold=self.threshold)
 
     def save(self, path: str) -> None:
         kinds = [_save(m, os.path.join(path, name)) for m, name in ((self.classifier, "classifier"), (self.regressor, "regressor"))]
@@ -334,8 +335,26 @@ class StandInHurdle:
         self.feature_names = list(feature_names)
         self.threshold = threshold
 
-    def predict_soft(self, df: DataFrame) -> DataFrame:
+    def predict_soft(self, df: DataFrame, lenient: bool = False) -> DataFrame:
         from ..operators.hurdle import hurdle_combine
         pc = F.col("product_purchase_count_last_month")
         out = df.select("*", (pc / (pc + 1)).alias("p_nonzero"), (pc + 1).alias("positive_count"))
         return hurdle_combine(out, threshold=self.threshold)
+
+
+class RaisingHurdle(StandInHurdle):
+    """The stand-in with a stage 1 model that raises on rows whose purchases leave the remainder 1 by 3."""
+
+    def predict_soft(self, df: DataFrame, lenient: bool = False) -> DataFrame:
+        from ..operators.hurdle import hurdle_combine
+
+        def respond(x, category):
+            if (x[:, 0] % 3 == 1).any():
+                raise ArithmeticError("no answer for this row")
+            return x / (x + 1)
+
+        pc = F.col("product_purchase_count_last_month")
+        layout = C.Features(("product_purchase_count_last_month",), 0)
+        scored = C.scored(df, layout, C.lenient(respond, 1) if lenient else respond, "_p")
+        return hurdle_combine(scored.select("*", F.col("_p")[0].alias("p_nonzero"), (pc + 1).alias("positive_count")).drop("_p"),
+                              threshold=self.threshold)

@@ -7,6 +7,7 @@ prediction log rows.  Requests are joined, never looked up one by one.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +45,31 @@ def scoring_features(product_features: DataFrame, calendar: DataFrame) -> DataFr
     return FE.join_snapshot_calendar(latest, calendar).select(*SCORING_FEATURE_COLUMNS)
 
 
+class SnapshotFeatures:
+    """Scoring features from the stored gold tables, as of the newest snapshot when they are asked for.
+
+    A snapshot counts once its partition holds files: a run's write moves them
+    there when it commits.
+    """
+
+    def __init__(self, product_features_path: str, calendar_path: str):
+        self.product_features_path, self.calendar_path = product_features_path, calendar_path
+
+    def newest(self, spark) -> str | None:
+        """Date of the newest stored snapshot; read from folder names, so from one per month."""
+        from ..sources import lake as L
+        dates = [f.removeprefix("snapshot_date=") for f in L.list_folders(spark, self.product_features_path) if f.startswith("snapshot_date=")]
+        for d in sorted(dates, reverse=True):
+            if L.has_files(spark, f"{self.product_features_path}/snapshot_date={d}"):
+                return d
+        return None
+
+    def at(self, spark, date: str) -> DataFrame:
+        """Features as of the snapshot of date: later ones are not looked at."""
+        known = spark.read.parquet(self.product_features_path).where(F.col("snapshot_date") <= F.to_date(F.lit(date)))
+        return scoring_features(known, spark.read.parquet(self.calendar_path))
+
+
 def scoring_lookup(requests: DataFrame, features: DataFrame) -> DataFrame:
     """Requests left-joined to features on the integer product id.
 
@@ -100,28 +126,27 @@ def score_requests(requests: DataFrame, features: DataFrame, model=None,
     """prediction_score and model_version per request.
 
     With a model and features: soft hurdle prediction.  Without features
-    or without a model: fallback, 'mock-v1'.  If the model cannot be
-    applied to this frame: fallback, 'mock-fallback'.  That is found when the
-    plan is made; a model that fails on single rows fails the job, as a batch
-    must not hide that.
+    or without a model: fallback, 'mock-v1'.  A request that the model has no
+    finite answer for, or raises on, takes the fallback as 'mock-fallback'; so
+    do all requests with features if the model does not fit the frame at all.
     """
     looked = scoring_lookup(requests, features)
     fb = fallback_prediction(F.col("prev_month_sales"), F.col("product_id"), seed)
+    hit = F.col("has_features")
     if model is None:
         return looked.select(*REQUEST_COLUMNS, "has_features", fb.alias("prediction_score"),
                              F.lit(VERSION_FALLBACK).alias("model_version"))
     try:
         aligned = align_features(looked, model.feature_names, getattr(model, "category", None))
-        scored = model.predict_soft(aligned)
-    except Exception:  # the model does not fit this frame: serve the fallback
-        return looked.select(*REQUEST_COLUMNS, "has_features", fb.alias("prediction_score"),
-                             F.when(F.col("has_features"), F.lit(VERSION_MODEL_ERROR))
-                              .otherwise(F.lit(VERSION_FALLBACK)).alias("model_version"))
-    hit = F.col("has_features")
+        scored = model.predict_soft(aligned, lenient=True)
+    except AnalysisException:  # a column that the model needs is missing or of another type
+        scored = looked.withColumn("pred_soft", F.lit(None).cast("double"))
+    answer = F.col("pred_soft")
+    failed = answer.isNull() | F.isnan(answer) | (F.abs(answer) == F.lit(float("inf")))
     return scored.select(
         *REQUEST_COLUMNS, "has_features",
-        F.when(hit, F.col("pred_soft")).otherwise(fb).alias("prediction_score"),
-        F.when(hit, F.lit(model_version)).otherwise(F.lit(VERSION_FALLBACK)).alias("model_version"),
+        F.when(hit & ~failed, answer).otherwise(fb).alias("prediction_score"),
+        F.when(~hit, F.lit(VERSION_FALLBACK)).when(failed, F.lit(VERSION_MODEL_ERROR)).otherwise(F.lit(model_version)).alias("model_version"),
     )
 
 

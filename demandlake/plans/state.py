@@ -4,8 +4,9 @@ Each mart needs one thing from its history: a product's newest attributes, a
 user's last purchase, a pair's last view.  The table ``state/<name>`` holds it
 by date: partition ``as_of=D`` covers all events before D.  A run reads the
 partition of its window's first day and folds its month into the next one, so
-no run reads events behind its window.  Partitions that a change in older
-events makes wrong are dropped before the events are written.
+no run reads events behind its window.  A partition is bucketed by the state's
+keys: neither the mart's join nor that of the fold shuffles it.  Partitions that a
+change in older events makes wrong are dropped before the events are written.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def _path(root: str, name: str, as_of) -> str:
 def _dates(spark: SparkSession, root: str, name: str) -> list[str]:
     """Dates of the finished partitions, ascending: one per month at most."""
     found = [f.removeprefix("as_of=") for f in L.list_folders(spark, _folder(root, name)) if f.startswith("as_of=")]
-    return sorted(d for d in found if L.path_exists(spark, f"{_path(root, name, d)}/_SUCCESS"))
+    return sorted(d for d in found if L.path_exists(spark, f"{_path(root, name, d)}/{L.LAYOUT}"))
 
 
 def folded(name: str, old: DataFrame, new: DataFrame) -> DataFrame:
@@ -49,7 +50,7 @@ def folded(name: str, old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def _read(spark: SparkSession, root: str, name: str, as_of) -> DataFrame:
-    return spark.read.parquet(_path(root, name, as_of))
+    return L.read_bucketed(spark, _path(root, name, as_of))
 
 
 def before(spark: SparkSession, root: str, name: str, fct: DataFrame, as_of) -> DataFrame:
@@ -68,16 +69,16 @@ def before(spark: SparkSession, root: str, name: str, fct: DataFrame, as_of) ->
             made = folded(name, _read(spark, root, name, earlier[-1]), state(events.where(F.col("event_date") >= F.to_date(F.lit(earlier[-1])))))
         else:
             made = state(events)
-        made.write.mode("overwrite").parquet(_path(root, name, as_of))
+        L.write_bucketed(made, _path(root, name, as_of), STATES[name][1])
     return _read(spark, root, name, as_of)
 
 
 def advance(spark: SparkSession, root: str, fct: DataFrame, snapshot_date) -> None:
     """Fold the month before snapshot_date into the next partition of every state."""
-    for name, (state, _) in STATES.items():
+    for name, (state, keys) in STATES.items():
         first = window_start(snapshot_date)
         month = state(fct.where(gold.in_window(snapshot_date)))
-        folded(name, before(spark, root, name, fct, first), month).write.mode("overwrite").parquet(_path(root, name, snapshot_date))
+        L.write_bucketed(folded(name, before(spark, root, name, fct, first), month), _path(root, name, snapshot_date), keys)
 
 
 def window_start(snapshot_date) -> str:

@@ -690,6 +690,14 @@ def q_score(spark, sf_dir):
     return SC.score_requests(req, feats, StandInHurdle(names))
 
 
+@query("score_requests_model_errors")
+def q_score_errors(spark, sf_dir):
+    """SC-04: a model that raises on some rows; those take the fallback, the others their prediction."""
+    from .plans.models import RaisingHurdle
+    SC, feats, req, names = _scoring_with_names(spark, sf_dir)
+    return SC.score_requests(req, feats, RaisingHurdle(names))
+
+
 @query("fallback_prediction")
 def q_fallback(spark, sf_dir):
     """SC-05: requests without a model get the fallback prediction."""
@@ -755,8 +763,11 @@ def q_fn_clean_text(spark, sf_dir):
 
 @query("fn_safe_cast_int")
 def q_fn_safe_cast_int(spark, sf_dir):
-    """X-04: SAFE_CAST(text AS INT64)."""
-    b = a1_bronze(spark, sf_dir)
+    """X-04: SAFE_CAST(text AS INT64), also of the same numbers in hexadecimal, with and without a sign."""
+    raw = F.col("product_id_raw")
+    digits = F.hex(raw.try_cast("bigint"))
+    forms = F.array(raw, F.concat(F.lit("0x"), digits), F.concat(F.lit(" -0X"), F.lower(digits)), F.concat(F.lit("0x00"), digits, F.lit("g")))
+    b = a1_bronze(spark, sf_dir).select(F.explode(forms).alias("product_id_raw")).where(raw.isNotNull())
     return _distinct(b, "product_id_raw", X.safe_bigint("product_id_raw").alias("product_id"))
 
 
@@ -1070,6 +1081,32 @@ def q_prediction_log_appended(spark, sf_dir):
     return spark.read.parquet(path).drop("timestamp", "log_date")
 
 
+# Fixed value: the newest snapshot that the first batch of score_stream_fresh can see.
+FIRST_SNAPSHOT = "1997-01-01"
+
+
+@query("score_stream_fresh")
+def q_score_stream_fresh(spark, sf_dir):
+    """SC-07: snapshots stored between two batches are seen by the second one, and a replay of the first one does not see them."""
+    from .plans import scoring as SC
+    from .plans.models import StandInHurdle
+    from .streaming.score_stream import score_batch, score_stream
+    fct = a1_fct_table(spark, sf_dir)
+    pf = S.materialize(gold.product_features_backfill(fct))
+    names, req = _feature_names(spark, sf_dir, fct, pf), FX.a4_requests(spark, sf_dir)
+    requests, log, marks, table, days = (_scratch(spark, n) for n in ("requests", "stream_log", "stream_checkpoint", "product_features", "calendar"))
+    silver.calendar_dates(fct).write.parquet(days)
+    features, model = SC.SnapshotFeatures(table, days), StandInHurdle(names)
+    old = F.col("snapshot_date") <= F.to_date(F.lit(FIRST_SNAPSHOT))
+    for rows, snapshots in (("prev_month_sales <= 25", old), ("prev_month_sales > 25", ~old)):
+        pf.where(snapshots).write.mode("append").partitionBy("snapshot_date").parquet(table)
+        req.where(rows).write.mode("append").json(requests)
+        stream = score_stream(spark, requests, features, model, log, marks)
+        stream.awaitTermination()
+    score_batch(req.where("prev_month_sales <= 25"), 0, features, model, log, stream_id=stream.id)
+    return spark.read.parquet(log).select("user_id", "session_id", "request_payload", "prediction_score", "model_version")
+
+
 @query("score_stream")
 def q_score_stream(spark, sf_dir):
     """SC-07: request files scored as a stream of everything that is there; the log as written."""

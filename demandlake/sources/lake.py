@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import uuid
@@ -66,6 +67,12 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()) if fs.exists(p) else []
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds data files."""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p) and any(f.isFile() and f.getPath().getName()[0] not in "._" for f in fs.listStatus(p))
+
+
 # ---- a journal of partition replacements
 #
 # A merge that moves keys replaces some partitions and drops others.  What it
@@ -76,14 +83,27 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
 JOURNAL = "_merge_journal"
 
 
-def _write_journal(spark: SparkSession, path: str, entry: dict) -> None:
-    fs, p = _file_system(spark, f"{path.rstrip('/')}/{JOURNAL}/entry.json")
-    _, draft = _file_system(spark, f"{path.rstrip('/')}/{JOURNAL}/draft.json")
+def write_json(spark: SparkSession, path: str, entry: dict) -> None:
+    """A small file that is there whole or not at all: written beside its place and renamed."""
+    fs, p = _file_system(spark, path)
+    _, draft = _file_system(spark, f"{path}.draft")
     out = fs.create(draft, True)
     out.write(bytearray(json.dumps(entry).encode()))
     out.close()
     if not fs.rename(draft, p):
-        raise OSError(f"the journal of {path} could not be written")
+        raise OSError(f"{path} could not be written")
+
+
+def read_json(spark: SparkSession, path: str) -> dict | None:
+    """What write_json wrote, or None."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return json.loads(bytes(spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)))
+    finally:
+        stream.close()
 
 
 def _apply(spark: SparkSession, path: str, entry: dict) -> None:
@@ -100,11 +120,11 @@ def recover(spark: SparkSession, path: str) -> bool:
     A journal that was not finished itself means that the table was not
     touched yet, and is dropped.
     """
-    fs, p = _file_system(spark, f"{path.rstrip('/')}/{JOURNAL}/entry.json")
-    if not fs.exists(p):
+    entry = read_json(spark, f"{path.rstrip('/')}/{JOURNAL}/entry.json")
+    if entry is None:
         drop_path(spark, f"{path.rstrip('/')}/{JOURNAL}")
         return False
-    _apply(spark, path, json.loads(spark.sparkContext.wholeTextFiles(str(p.toString())).first()[1]))
+    _apply(spark, path, entry)
     return True
 
 
@@ -161,7 +181,7 @@ def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str, ta
     emptied = touched.join(left, F.col("_left").eqNullSafe(F.col(partition_col)), "left_anti")
     entry = {"merged": merged_path, "partition_col": partition_col, "cluster_cols": cluster,
              "drop": [partition_folder(spark, partition_col, row[0]) for row in emptied.collect()]}
-    _write_journal(spark, path, entry)
+    write_json(spark, f"{path.rstrip('/')}/{JOURNAL}/entry.json", entry)
     _apply(spark, path, entry)
     return merged
 
@@ -181,6 +201,41 @@ def materialize_table(df: DataFrame, path: str, cluster_cols: list[str], partiti
     ranged.sortWithinPartitions(*cluster_cols).write.mode("overwrite").parquet(path)
 
 
+# ---- tables bucketed by key
+#
+# A bucketed table is read through the catalog, which tells Spark how its rows
+# are dealt; a join or aggregate on the keys then needs no exchange of it.  The
+# layout is kept in a file beside the data, so any session can register it.
+
+LAYOUT = "_layout.json"
+
+
+def _bucketed_name(path: str) -> str:
+    return f"bucketed_{hashlib.md5(path.rstrip('/').encode()).hexdigest()}"
+
+
+def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int | None = None) -> None:
+    """Write df to path in buckets of keys (as many as there are shuffle partitions), sorted by them: one file a bucket."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.sql(f"DROP TABLE IF EXISTS {_bucketed_name(path)}")
+    (df.repartition(n, *keys).write.mode("overwrite").option("path", path).bucketBy(n, *keys).sortBy(*keys).saveAsTable(_bucketed_name(path)))
+    write_json(spark, f"{path.rstrip('/')}/{LAYOUT}", {"keys": keys, "buckets": n})
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    """The table that write_bucketed wrote to path, also by another session."""
+    name = _bucketed_name(path)
+    if not spark.catalog.tableExists(name):
+        layout = read_json(spark, f"{path.rstrip('/')}/{LAYOUT}")
+        schema = spark.read.parquet(path).schema
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        keys = ", ".join(f"`{k}`" for k in layout["keys"])
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+                  f"INTO {layout['buckets']} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def publish(spark: SparkSession, table: str) -> None:
     """Let a partitioned table see the partitions that were written to its folder by path."""
     if spark.catalog.tableExists(table):

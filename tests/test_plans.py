@@ -83,3 +83,22 @@ def test_blend_search_is_one_pass_without_joins(spark):
         p = plan(out)
         assert "Join" not in p and "Expand" not in p
         assert p.count("Exchange SinglePartition") <= 1
+
+
+def test_a_session_with_a_third_of_the_rows_is_spread_over_tasks(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    rows = spark.range(0, 60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 5000).cast("string"))).alias("user_session"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 7).alias("user_id"),
+        F.timestamp_seconds(F.pmod(F.hash("id"), F.lit(1000))).alias("event_ts"), F.sha2(F.col("id").cast("string"), 256).alias("event_id"))
+    per_shard = silver.ordered_shards(rows, ["user_session", "user_id"], ["event_ts", "event_id"]).groupBy("_shard").agg(
+        F.count("*").alias("n"), F.count_if(F.col("user_session") == "hot").alias("hot")).collect()
+    # shards are even, and as the hot session is more than one holds, it spans several
+    assert len(per_shard) >= 4 and max(r.n for r in per_shard) < 1.5 * 60_000 / len(per_shard)
+    assert sum(r.hot > 0 for r in per_shard) >= 2 and max(r.hot for r in per_shard) < 20_000
+    got = silver.session_event_rank(rows)
+    plain = rows.withColumn("event_rank_in_session", F.row_number().over(
+        Window.partitionBy("user_session", "user_id").orderBy("event_ts", "event_id")))
+    assert got.schema["event_rank_in_session"].dataType == plain.schema["event_rank_in_session"].dataType
+    assert got.exceptAll(plain).count() == 0 and got.count() == 60_000

@@ -57,10 +57,37 @@ def test_a_month_reads_one_month_of_silver(spark, lake):
         assert same(df, spark.read.parquet(lake["paths"][name]).where("snapshot_date = '1998-04-01'"))
 
 
+def test_joins_do_not_shuffle_the_bucketed_state(spark, lake):
+    fct = spark.read.parquet(lake["paths"]["fct_events"])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, (mart, carried, keys) in P.MARTS.items():
+            path = ST._path(lake["lake"], carried, "1998-03-01")
+            spark.sql(f"DROP TABLE IF EXISTS {L._bucketed_name(path)}")  # another session finds it by its layout
+            df = P.month_mart(spark, lake["lake"], name, fct, "1998-04-01")
+            lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+            at = next(i for i, line in enumerate(lines) if "FileScan" in line and "Bucketed: true" in line)
+            depth = [len(line) - len(line.lstrip(" :+-*")) for line in lines]
+            above, level = [], depth[at]
+            for i in range(at - 1, -1, -1):  # from the scan up to its join
+                if depth[i] < level:
+                    level = depth[i]
+                    above.append(lines[i])
+                    if "Join" in lines[i]:
+                        break
+            assert "SortMergeJoin" in above[-1] and not any("Exchange" in line for line in above), above
+            state, _ = ST.STATES[carried]
+            later = state(fct.where("event_date >= '1998-03-01'"))
+            assert same(ST.folded(carried, ST._read(spark, lake["lake"], carried, "1998-03-01"), later), state(fct))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_missing_states_are_made_from_earlier_ones(spark, lake):
     fct = spark.read.parquet(lake["paths"]["fct_events"])
     L.drop_path(spark, ST._path(lake["lake"], "last_views", "1998-03-01"))
-    L.drop_path(spark, f"{ST._path(lake['lake'], 'last_views', '1998-02-01')}/_SUCCESS")  # an unfinished one does not count
+    L.drop_path(spark, f"{ST._path(lake['lake'], 'last_views', '1998-02-01')}/{L.LAYOUT}")  # an unfinished one does not count
     made = ST.before(spark, lake["lake"], "last_views", fct, "1998-03-01")
     assert same(made, gold.last_views(fct.where("event_date < '1998-03-01'")))
     assert "1998-02-01" not in ST._dates(spark, lake["lake"], "last_views")
@@ -139,6 +166,6 @@ def test_a_merge_that_never_began_is_forgotten(spark, tmp_lake, monkeypatch):
     path = os.path.join(tmp_lake, "t")
     L.upsert(spark.createDataFrame([(1, "a", "x")], KIND), path, ["k"], "d")
     os.makedirs(os.path.join(path, L.JOURNAL))
-    open(os.path.join(path, L.JOURNAL, "draft.json"), "w").close()
+    open(os.path.join(path, L.JOURNAL, "entry.json.draft"), "w").close()
     assert not L.recover(spark, path) and rows(spark, path) == [(1, "a", "x")]
     assert not os.path.exists(os.path.join(path, L.JOURNAL))
