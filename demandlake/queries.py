@@ -1046,6 +1046,20 @@ RUN_COLUMNS = ["snapshot_date", "user_id", "user_view_count_last_month", "user_c
                "user_purchase_count_last_month", "user_sessions_last_month", "days_since_last_purchase"]
 
 
+def _month_files(spark, sf_dir, keep=None) -> str:
+    """CSV folders of RUN_MONTHS, without the rows of the first month that keep leaves out."""
+    from .schemas import RAW_COLUMNS
+    from .sources.lake import rebalance
+    raw = a1_bronze(spark, sf_dir).select(*[F.col(f"{c}_raw").alias(c) for c in RAW_COLUMNS],
+                                          F.date_format("_load_month", "yyyy-MM").alias("month")).where(F.col("month").isin(*RUN_MONTHS))
+    files = _scratch(spark, "files")
+    if keep is not None:
+        raw = raw.where((F.col("month") != RUN_MONTHS[0]) | keep)
+    (rebalance(raw, "month").write.option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).partitionBy("month").csv(files))
+    return files
+
+
 @query("monthly_runs")
 def q_monthly_runs(spark, sf_dir):
     """D-02, D-04: two months from CSV through bronze, silver, gold and assertions, one after the other.
@@ -1054,17 +1068,21 @@ def q_monthly_runs(spark, sf_dir):
     which of an event's copies wins are left out.
     """
     from .plans import monthly as P
-    from .schemas import RAW_COLUMNS
-    from .sources.lake import rebalance
-    raw = a1_bronze(spark, sf_dir).select(*[F.col(f"{c}_raw").alias(c) for c in RAW_COLUMNS],
-                                          F.date_format("_load_month", "yyyy-MM").alias("month"))
-    files, lake = _scratch(spark, "files"), _scratch(spark, "lake")
-    (rebalance(raw.where(F.col("month").isin(*RUN_MONTHS)), "month").write.option("header", True)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).partitionBy("month").csv(files))
-    runs = P.backfill(spark, lake, [{"load_month": m} for m in RUN_MONTHS], raw_root=files)
+    runs = P.backfill(spark, _scratch(spark, "lake"), [{"load_month": m} for m in RUN_MONTHS], raw_root=_month_files(spark, sf_dir))
     return spark.read.parquet(runs[-1]["paths"]["user_features_monthly"]).select(*RUN_COLUMNS)
 
 
+@query("reload_month")
+def q_reload_month(spark, sf_dir):
+    """F-07, S-03, S-07: two months of which the first lacks some users' events, then its corrected file; the change reaches both snapshots."""
+    from .plans import monthly as P
+    lake = _scratch(spark, "lake")
+    partial = _month_files(spark, sf_dir, F.pmod(F.crc32(F.col("user_id").cast("binary")), F.lit(9)) != 0)
+    P.backfill(spark, lake, [{"load_month": m} for m in RUN_MONTHS], raw_root=partial)
+    P.reload_month(spark, lake, RUN_MONTHS[0], f"{_month_files(spark, sf_dir)}/month={RUN_MONTHS[0]}")
+    return spark.read.parquet(P.table_paths(lake)["user_features_monthly"]).select(*RUN_COLUMNS)
+
+
 def _stand_in_scoring(spark, sf_dir):
     from .plans.models import StandInHurdle
     SC, feats, req, names = _scoring_with_names(spark, sf_dir)

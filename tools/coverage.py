@@ -21,7 +21,7 @@ ROWS = [
     ("S-04", "sources/lake.create_namespaces", "", "test_lifecycle::test_create_tables"),
     ("S-05", "sources/lake.create_tables / publish", "", "test_lifecycle::test_tables_see_written_partitions_and_replace_deletes"),
     ("S-06", "sources/lake.upsert", "silver_upsert",
-     "test_lifecycle::test_upsert_twice_equals_once, test_upsert_moves_a_key_to_its_new_partition, test_merge_keeps_vanished_keys"),
+     "test_state::test_an_interrupted_merge_is_finished, test_lifecycle::test_upsert_twice_equals_once, test_upsert_moves_a_key_to_its_new_partition, test_merge_keeps_vanished_keys"),
     ("S-07", "sources/lake.snapshot_upsert", "snapshot_upsert", "test_lifecycle::test_gold_snapshots_match_in_memory_marts"),
     ("S-08", "sources/lake.materialize_table", "materialized_table", "test_lifecycle::test_monthly_runs_load_bronze_and_silver"),
     ("S-09", "operators/silver.bronze_month_scan", "bronze_month_scan", ""),
@@ -73,7 +73,7 @@ ROWS = [
     ("F-07", "operators/gold.*_backfill, plans/monthly.backfill_one_job", "backfill_snapshots",
      "test_edges::test_backfill_equals_single_runs, test_lifecycle::test_one_job_backfill_equals_monthly_runs"),
     ("W-01", "operators/silver.dedup_events", "dedup_events", "test_edges::test_dedup_prefers_older_valid_copy"),
-    ("W-02", "operators/silver.session_event_rank", "session_event_rank", ""),
+    ("W-02", "operators/silver.session_event_rank", "session_event_rank", "test_plans::test_a_session_with_a_third_of_the_rows_is_spread_over_tasks"),
     ("W-03", "operators/gold.favorite_category", "favorite_category", ""),
     ("W-04", "operators/gold.favorite_brand", "favorite_brand", ""),
     ("W-05", "operators/features.training_set (lead)", "target_next_period", "test_edges::test_lead_target_skips_calendar_gaps"),
@@ -84,7 +84,7 @@ ROWS = [
     ("R-04", "operators/reports.report_orphan_products", "report_orphan_products", ""),
     ("R-05", "operators/reports.report_latest_predictions", "report_latest_predictions", ""),
     ("R-06", "operators/reports.leaderboard_sort / best_of", "leaderboard_sort", ""),
-    ("R-07", "plans/training.feature_importance_topk", "", "test_training::test_hurdle_training_small_grid"),
+    ("R-07", "plans/training.feature_importance_topk", "feature_importance_topk", "test_training::test_hurdle_training_small_grid"),
     ("A-01", "operators/quality.assert_events_primary_keys", "assert_events_primary_keys", ""),
     ("A-02", "operators/quality.assert_load_month_in_bronze", "assert_load_month_in_bronze", ""),
     ("A-03", "operators/quality.assert_snapshot_date_after_events", "assert_snapshot_date_after_events",
@@ -132,14 +132,14 @@ ROWS = [
      "test_edges::test_metrics_against_hand_values, test_properties::test_classification_metrics_match_brute_force"),
     ("M-07", "operators/metrics.ranking_metrics", "metric_average_precision", "test_edges::test_single_class_labels, test_properties::test_classification_metrics_match_brute_force"),
     ("M-08", "operators/metrics.regression_metrics / classification_metrics", "classification_metrics", ""),
-    ("ML-01", "plans/models.classifier_grid", "stage1_search_logistic", "test_training::test_grids_are_whole_and_caps_reach_the_estimator"),
-    ("ML-02", "plans/models.classifier_pipeline (logistic)", "fit_optimality", ""),
-    ("ML-03", "plans/models.classifier_pipeline (GBT)", "", "test_training::test_hurdle_training_small_grid"),
-    ("ML-04", "plans/models.stage1_search", "stage1_search_logistic", "test_training::test_hurdle_training_small_grid"),
-    ("ML-05", "plans/models.regressor_grid", "stage2_search_poisson", "test_training::test_grids_are_whole_and_caps_reach_the_estimator"),
-    ("ML-06", "plans/models.regressor_pipeline (Poisson GLM), sample_weights", "fit_optimality", "test_oracle (sample_weights)"),
-    ("ML-07", "plans/models.regressor_pipeline (GBT on log1p)", "", "test_training::test_hurdle_training_small_grid"),
-    ("ML-08", "plans/models.stage2_search", "stage2_search_poisson", ""),
+    ("ML-01", "plans/models.classifier_grid", "stage1_search", "test_training::test_grids_are_whole"),
+    ("ML-02", "plans/models.logistic_pipeline", "fit_optimality", ""),
+    ("ML-03", "plans/boosting.fit (log loss)", "stage1_search", "test_boosting::test_splits_and_leaves_match_a_plain_fit"),
+    ("ML-04", "plans/models.stage1_search, operators/metrics.classification_metrics_by", "stage1_search", "test_boosting::test_boards_equal_single_metrics_in_a_constant_number_of_jobs"),
+    ("ML-05", "plans/models.regressor_grid", "stage2_search", "test_training::test_grids_are_whole"),
+    ("ML-06", "plans/poisson.fit, plans/models.sample_weights", "fit_optimality", "test_training::test_five_thousand_categories"),
+    ("ML-07", "plans/boosting.fit (Poisson)", "stage2_search", "test_boosting::test_splits_and_leaves_match_a_plain_fit"),
+    ("ML-08", "plans/models.stage2_search, operators/metrics.regression_metrics_by", "stage2_search", "test_boosting::test_boards_equal_single_metrics_in_a_constant_number_of_jobs"),
     ("ML-09", "operators/hurdle.hurdle_combine", "hurdle_combine", "test_edges::test_hurdle_soft_and_hard"),
     ("ML-10", "operators/hurdle.baseline_prediction", "baseline_prediction", ""),
     ("ML-11", "operators/hurdle.blend_search / best_blend", "blend_search", "test_edges::test_blend_ties_pick_lowest_weight, test_properties::test_best_blend_is_the_brute_force_argmin"),
@@ -149,14 +149,14 @@ ROWS = [
     ("SC-01", "plans/scoring.scoring_features", "scoring_features", ""),
     ("SC-02", "plans/scoring.scoring_lookup", "scoring_lookup", ""),
     ("SC-03", "plans/scoring.align_features", "align_features", ""),
-    ("SC-04", "plans/scoring.score_requests", "score_requests", "test_edges::test_a_model_that_does_not_fit_gives_the_fallback"),
+    ("SC-04", "plans/scoring.score_requests", "score_requests_model_errors", "test_edges::test_a_model_that_does_not_fit_gives_the_fallback"),
     ("SC-05", "plans/scoring.fallback_prediction", "fallback_prediction",
      "test_lifecycle::test_append_prediction_log_and_latest_report"),
     ("SC-06", "plans/scoring.prediction_log", "prediction_log", ""),
-    ("SC-07", "streaming/score_stream.score_stream", "score_stream",
+    ("SC-07", "streaming/score_stream.score_stream, plans/scoring.SnapshotFeatures", "score_stream_fresh",
      "test_lifecycle::test_stream_scoring_equals_batch_and_is_exactly_once"),
     ("D-01", "plans/monthly.run_params / compute_run_params", "run_params", "test_edges::test_run_params_december_rollover"),
-    ("D-02", "plans/monthly.run_month", "monthly_runs", "test_lifecycle::test_monthly_runs_load_bronze_and_silver"),
+    ("D-02", "plans/monthly.run_month", "monthly_runs", "test_state::test_a_month_reads_one_month_of_silver"),
     ("D-03", "plans/monthly.run_month(run_id=None) -> manual_<month>", "", "test_lifecycle::test_reload_is_idempotent"),
     ("D-04", "plans/monthly.backfill / backfill_one_job", "monthly_runs", "test_lifecycle::test_one_job_backfill_equals_monthly_runs"),
 ]
