@@ -302,10 +302,14 @@ class SparkHurdleModel:
     def predict_components(self, df: DataFrame, lenient: bool = False) -> DataFrame:
         return positive_count(self.regressor, p_nonzero(self.classifier, df, lenient=lenient), lenient=lenient)
 
-    def predict_soft(self, df: DataFrame, lenient: bool = False) -> DataFrame:
-        """Soft hurdle predictions; lenient: a row that a model can't predict has none, instead of failing the job."""
+    def predict_soft(self, df: DataFrame) -> DataFrame:
         from ..operators.hurdle import hurdle_combine
-        return hurdle_combine(self.predict_components(df, lenient), threshold=self.threshold)
+        return hurdle_combine(self.predict_components(df), threshold=self.threshold)
+
+    def predict_soft_lenient(self, df: DataFrame) -> DataFrame:
+        """predict_soft, but a row that a model can't predict has no prediction, instead of failing the job."""
+        from ..operators.hurdle import hurdle_combine
+        return hurdle_combine(self.predict_components(df, lenient=True), threshold=self.threshold)
 
     def save(self, path: str) -> None:
         kinds = [_save(m, os.path.join(path, name)) for m, name in ((self.classifier, "classifier"), (self.regressor, "regressor"))]
@@ -335,7 +339,7 @@ class StandInHurdle:
         self.feature_names = list(feature_names)
         self.threshold = threshold
 
-    def predict_soft(self, df: DataFrame, lenient: bool = False) -> DataFrame:
+    def predict_soft(self, df: DataFrame) -> DataFrame:
         from ..operators.hurdle import hurdle_combine
         pc = F.col("product_purchase_count_last_month")
         out = df.select("*", (pc / (pc + 1)).alias("p_nonzero"), (pc + 1).alias("positive_count"))
@@ -345,7 +349,7 @@ class StandInHurdle:
 class RaisingHurdle(StandInHurdle):
     """The stand-in with a stage 1 model that raises on rows whose purchases leave the remainder 1 by 3."""
 
-    def predict_soft(self, df: DataFrame, lenient: bool = False) -> DataFrame:
+    def _predicted(self, df: DataFrame, lenient: bool) -> DataFrame:
         from ..operators.hurdle import hurdle_combine
 
         def respond(x, category):
@@ -358,3 +362,9 @@ class RaisingHurdle(StandInHurdle):
         scored = C.scored(df, layout, C.lenient(respond, 1) if lenient else respond, "_p")
         return hurdle_combine(scored.select("*", F.col("_p")[0].alias("p_nonzero"), (pc + 1).alias("positive_count")).drop("_p"),
                               threshold=self.threshold)
+
+    def predict_soft(self, df: DataFrame) -> DataFrame:
+        return self._predicted(df, lenient=False)
+
+    def predict_soft_lenient(self, df: DataFrame) -> DataFrame:
+        return self._predicted(df, lenient=True)

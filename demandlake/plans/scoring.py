@@ -138,7 +138,7 @@ def score_requests(requests: DataFrame, features: DataFrame, model=None,
                              F.lit(VERSION_FALLBACK).alias("model_version"))
     try:
         aligned = align_features(looked, model.feature_names, getattr(model, "category", None))
-        scored = model.predict_soft(aligned, lenient=True)
+        scored = getattr(model, "predict_soft_lenient", model.predict_soft)(aligned)
     except AnalysisException:  # a column that the model needs is missing or of another type
         scored = looked.withColumn("pred_soft", F.lit(None).cast("double"))
     answer = F.col("pred_soft")
