@@ -17,7 +17,8 @@ A text is read word by word.
    The clause's score in each class (head, voice, target) is that of its best
    path, found in one pass from left to right.
 
-A document's features sum its clauses' scores by class, so matched clauses are
+A document's features sum its clauses' scores by class, and count matched
+clauses, also in relation to the text's length, so clauses are
 scored, not isolated words.  A logistic model over the features, also learned
 from labelled rows, gives the score; it starts from fixed weights and leaves
 them only as far as the labels carry it.
@@ -69,10 +70,10 @@ NEGATION_REACH, REPORT_REACH = 3, 7
 VOICES = ("direct", "negated", "reported", "both")
 #: (head, voice, whether a target is linked): the classes of paths.
 CLASSES = [(head, voice, target) for head in ("insult", "threat") for voice in VOICES for target in (False, True)]
-FEATURES = [*CLASSES, "clauses", "largest"]
+FEATURES = [*CLASSES, "clauses", "largest", "density"]
 #: The model's weights before any label: intercept, then FEATURES.
 _FIXED = {("insult", "direct", False): 1.0, ("insult", "direct", True): 1.0, ("threat", "direct", False): 0.2, ("threat", "direct", True): 2.0,
-          "clauses": 0.5, "largest": 0.5}
+          "clauses": 0.5, "largest": 0.5, "density": 0.5}
 PRIOR = [-3.0] + [_FIXED.get(f, 0.05) for f in FEATURES]
 
 # ---- the transducers of the voice, as tables (state, symbol) -> state; state 0 is closed
@@ -186,10 +187,17 @@ _CLAUSE = re.compile(rb"[A-Z]*[a-z]|[A-Z]+")
 _HEAD = re.compile(rb"[IT]", re.I)
 
 
-def clauses(text: str, read, arcs: dict[str, float]) -> list[dict[tuple[str, str, bool], float]]:
-    """best_paths of each clause of a whole text that has a head."""
+class Clauses(list):
+    """best_paths of each clause of a text that has a head, and the number of words of the whole text."""
+
+    words = 0
+
+
+def clauses(text: str, read, arcs: dict[str, float]) -> Clauses:
+    """The clauses of a whole text that have a head."""
     symbols, parts = read(text)
-    found = []
+    found = Clauses()
+    found.words = len(parts)
     if not _HEAD.search(symbols):
         return found
     for clause in _CLAUSE.finditer(symbols):
@@ -202,8 +210,8 @@ def clauses(text: str, read, arcs: dict[str, float]) -> list[dict[tuple[str, str
     return found
 
 
-def features(found: list[dict[tuple[str, str, bool], float]]) -> list[float]:
-    """FEATURES of the clauses of one text."""
+def features(found: Clauses) -> list[float]:
+    """FEATURES of the clauses of one text; density is clauses with a head in a hundred words (line ends count as words)."""
     from math import log1p
 
     sums = dict.fromkeys(CLASSES, 0.0)
@@ -212,7 +220,7 @@ def features(found: list[dict[tuple[str, str, bool], float]]) -> list[float]:
             sums[c] += weight
     # The weight of the best direct path that is an insult or finds its target.
     largest = max((w for paths in found for (head, voice, target), w in paths.items() if voice == "direct" and (target or head == "insult")), default=0.0)
-    return [log1p(sums[c]) for c in CLASSES] + [log1p(len(found)), largest]
+    return [log1p(sums[c]) for c in CLASSES] + [log1p(len(found)), largest, log1p(100 * len(found) / max(found.words, 1))]
 
 
 def _text_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
