@@ -102,3 +102,15 @@ def test_a_session_with_a_third_of_the_rows_is_spread_over_tasks(spark):
         Window.partitionBy("user_session", "user_id").orderBy("event_ts", "event_id")))
     assert got.schema["event_rank_in_session"].dataType == plain.schema["event_rank_in_session"].dataType
     assert got.exceptAll(plain).count() == 0 and got.count() == 60_000
+
+
+def test_stages_too_large_to_be_compiled_are_not_fused(spark, sf_dir):
+    from demandlake import session as S
+    S.configure(spark)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000  # what HotSpot compiles
+
+
+def test_texts_of_a_part_are_made_before_the_join(spark, sf_dir):
+    from demandlake.queries import a1_bronze
+    p = plan(a1_bronze(spark, sf_dir))
+    assert "stringsplitsql" in p and p.index("stringsplitsql") > p.rindex("Join")
