@@ -11,7 +11,7 @@ would be too large for a task, only the most frequent n-grams are held as
 arrays and the others are joined to the written tables.  The language with
 the lowest cross-entropy per character wins.  Its score is the posterior among
 the languages, lowered where the cross-entropy is unusual for the winner; what
-is usual is calibrated on learning rows.
+is usual is calibrated on all learning rows.
 """
 
 from __future__ import annotations
@@ -30,8 +30,6 @@ DISCOUNT = 0.75
 MODEL_BYTES = 64_000_000
 #: The likelihood counts with this power, as neighbouring characters depend on each other.
 TEMPER = 0.5
-#: About so many learning rows calibrate the score.
-CALIBRATION_ROWS = 20_000
 #: A winner with a lower score is marked as rejected.
 REJECT_BELOW = 0.5
 #: Texts are joined to blocks of about so many characters for array work.
@@ -224,10 +222,7 @@ def fit(docs: DataFrame) -> dict:
     if not langs:
         return {"langs": []}
     model = {"langs": langs, "usual": {}} | held(probabilities(grams, langs), grams, langs)
-    total = rows.count()
-    share = int(min(1.0, CALIBRATION_ROWS / max(total, 1)) * (1 << 20))
-    sample = rows.where(F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(1 << 20)) <= share)
-    usual = (identify(sample, model, ["lang"]).where("lang = lang_pred").groupBy("lang")
+    usual = (identify(rows, model, ["lang"]).where("lang = lang_pred").groupBy("lang")
              .agg(F.avg("entropy").alias("mean"), F.stddev_pop("entropy").alias("spread")).collect())
     model["usual"] = {r["lang"]: (float(r["mean"]), max(float(r["spread"]), 0.02)) for r in usual}
     return model

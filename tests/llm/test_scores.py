@@ -431,3 +431,16 @@ def test_repeated_halves_and_duplicate_lines_are_outliers(spark):
     found = {r.doc_id: r for r in quality_rules.judged(docs).collect()}
     assert not any(found[k].base_failed for k in (1000, 1001, 1002, 1003))
     assert [k for k, r in sorted(found.items()) if not r.kept] == [1000, 1001, 1002, 1003]
+
+
+def test_every_learning_row_calibrates_the_language_scores(spark, monkeypatch):
+    docs = spark.range(27_000).select(F.col("id").alias("doc_id"), F.lit("xx").alias("lang"), F.concat(F.lit("word "), F.col("id")).alias("text"))
+    seen, identify = [], langid.identify
+
+    def watched(rows, model, columns):
+        seen.append(rows.count())
+        return identify(rows, model, columns)
+
+    monkeypatch.setattr(langid, "identify", watched)
+    langid.fit(docs)
+    assert seen == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(27_000))]
