@@ -114,3 +114,16 @@ def test_texts_of_a_part_are_made_before_the_join(spark, sf_dir):
     from demandlake.queries import a1_bronze
     p = plan(a1_bronze(spark, sf_dir))
     assert "stringsplitsql" in p and p.index("stringsplitsql") > p.rindex("Join")
+
+
+def test_event_times_are_formatted_once_a_row(spark, sf_dir):
+    from demandlake.queries import a1_fct
+    assert plan(a1_fct(spark, sf_dir)).count("date_format(") == 1  # a filter below the parsing would do it again
+
+
+def test_trim_strips_all_white_space_and_nothing_else(spark):
+    from demandlake.functions import scalars as X
+    texts = ["", " ", "a", " a", "a ", "a b", "　a ", "\x85", "é", " é ", "\x7f", " \x7f", "!~", "~\xa0", "a\x1f", "\x01a "]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    got = [(r["t"], r["c"]) for r in df.select("t", X.trim_ws("t").alias("c")).collect()]
+    assert got == [(t, t.strip(X.WHITESPACE)) for t in texts] + [(None, None)]
