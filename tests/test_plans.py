@@ -127,3 +127,18 @@ def test_trim_strips_all_white_space_and_nothing_else(spark):
     df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
     got = [(r["t"], r["c"]) for r in df.select("t", X.trim_ws("t").alias("c")).collect()]
     assert got == [(t, t.strip(X.WHITESPACE)) for t in texts] + [(None, None)]
+
+
+def test_merged_tables_are_written_with_the_codec_of_events(spark, tmp_lake):
+    import glob
+
+    from demandlake import session as S
+    from demandlake.sources import lake as L
+    path, kind = f"{tmp_lake}/t", "k long, p int, v string"
+    first = S.materialize(spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (3, 2, "c")], kind))
+    second = S.materialize(spark.createDataFrame([(2, 1, "B"), (4, 3, "d")], kind))
+    L.upsert(first, path, ["k"], "p", written=True)
+    L.upsert(second, path, ["k"], "p", written=True)
+    assert sorted(map(tuple, spark.read.parquet(path).select("k", "p", "v").collect())) == [(1, 1, "a"), (2, 1, "B"), (3, 2, "c"), (4, 3, "d")]
+    files = glob.glob(f"{path}/p=*/*.parquet")
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
