@@ -142,3 +142,10 @@ def test_merged_tables_are_written_with_the_codec_of_events(spark, tmp_lake):
     assert sorted(map(tuple, spark.read.parquet(path).select("k", "p", "v").collect())) == [(1, 1, "a"), (2, 1, "B"), (3, 2, "c"), (4, 3, "d")]
     files = glob.glob(f"{path}/p=*/*.parquet")
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_backfill_counts_buyers_apart_from_the_other_aggregates(spark, sf_dir):
+    from demandlake.operators import gold
+    from demandlake.queries import a1_fct
+    lines = [x for x in plan(gold.product_features_backfill(a1_fct(spark, sf_dir))).splitlines() if "max_by(" in x]
+    assert lines and not any("user_id" in x.split("functions=")[0] for x in lines)
