@@ -149,3 +149,32 @@ def test_backfill_counts_buyers_apart_from_the_other_aggregates(spark, sf_dir):
     from demandlake.queries import a1_fct
     lines = [x for x in plan(gold.product_features_backfill(a1_fct(spark, sf_dir))).splitlines() if "max_by(" in x]
     assert lines and not any("user_id" in x.split("functions=")[0] for x in lines)
+
+
+def test_cached_frames_have_parts_of_bounded_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from demandlake.plans import models as MD
+    monkeypatch.setattr(MD, "CACHED_ROWS", 10)
+    df = spark.range(0, 95, 1, 1).select(F.col("id").alias("product_id"), F.lit(1).alias("snapshot_date"))
+    assert MD.spread(df).rdd.getNumPartitions() == 10 and MD.spread(df).count() == 95
+    assert MD.spread(df.limit(5)).count() == 5
+
+
+def test_slopes_of_a_logistic_model_are_summed_before_they_are_listed(spark):
+    import numpy as np
+
+    from demandlake.plans import models as MD
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, 3))
+    y = (x[:, 0] + rng.normal(size=400) > 0).astype(float)
+    rows = spark.createDataFrame([(*map(float, a), float(b)) for a, b in zip(x, y)], "a double, b double, c double, label double")
+    model = MD.logistic_pipeline({"params": {"C": 1.0, "max_iter": 2}}, ["a", "b", "c"], 400).fit(rows)
+    found = MD.logistic_gradient(model, rows, 400, 1.0)
+    text = plan(found)
+    assert text.index("Generate") < text.lower().index("aggregate")
+    z, w = x / x.std(axis=0, ddof=1), model.stages[-1].coefficients.toArray()
+    d = 1 / (1 + np.exp(-(z @ w + model.stages[-1].intercept))) - y
+    want = {**{f"coefficient_{i}": (d @ z[:, i]) / 400 + w[i] / 400 for i in range(3)}, "intercept": d.mean()}
+    got = dict(map(tuple, found.collect()))
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
