@@ -178,3 +178,24 @@ def test_slopes_of_a_logistic_model_are_summed_before_they_are_listed(spark):
     want = {**{f"coefficient_{i}": (d @ z[:, i]) / 400 + w[i] / 400 for i in range(3)}, "intercept": d.mean()}
     got = dict(map(tuple, found.collect()))
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_rows_are_compared_whole_by_the_deduplication(spark, sf_dir):
+    from demandlake.queries import a1_fct
+    lines = [x for x in plan(a1_fct(spark, sf_dir)).splitlines() if "partial_max(" in x]
+    assert lines and not any("struct(" in x for x in lines)  # a struct in the aggregate is built and copied by field for every row
+
+
+def test_joins_of_small_parts_hash_them_instead_of_sorting_both_sides(spark, sf_dir):
+    from demandlake import session as S
+    from demandlake.queries import a1_bronze
+    S.configure(spark)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = a1_bronze(spark, sf_dir)
+        rows = len(df.collect())
+        p = plan(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "ShuffledHashJoin" in p and "SortMergeJoin" not in p and rows == a1_bronze(spark, sf_dir).count()
