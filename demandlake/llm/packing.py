@@ -10,6 +10,7 @@ documents and none is padded.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -28,18 +29,17 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(path: str, cache_items: int = 400_000):
+@lru_cache(maxsize=1)
+def encoder(path: str, cache_items: int = 0):
     """A function from a text to its ids as little-endian unsigned 32-bit bytes.
 
     path is a byte-level BPE file whose ids are in the order of its merges.
-    The tokenizer cuts a text into words before it merges bytes, and a space
-    that is followed by a visible character always starts a word.  So a text is
-    split there and the ids of every part come from a cache; parts not seen
-    before are cut and merged from the file's vocabulary.  Texts with control
-    characters that Python alone takes for white space, or with a special
-    token's string, take the tokenizer whole.
+    Texts are cut into words and merged from the file's vocabulary, whole: a
+    cache of words costs more than it saves where most words are rare.  Texts
+    with control characters that Python alone takes for white space, or with a
+    special token's string, take the tokenizer.  Made once per process, so the
+    later tasks of a Python worker take the same one.  cache_items is ignored.
     """
-    import re
     from array import array
 
     import tiktoken
@@ -55,23 +55,12 @@ def encoder(path: str, cache_items: int = 400_000):
     # Fixed value: the cut that byte-level tokenizers of this kind make.
     words = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
     merge = tiktoken.Encoding("ranks", pat_str=words, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    split = re.compile(r" (?=\S)").split
-    whole = re.compile("|".join(["[\x1c-\x1f]", *map(re.escape, specials)])).search
-
-    class Parts(dict):
-        def __missing__(self, part: str) -> bytes:
-            if len(self) >= cache_items:
-                self.clear()
-            self[part] = ids = array("I", merge(" " + part)).tobytes()
-            return ids
-
-    parts = Parts()
+    tokenized = ["\x1c", "\x1d", "\x1e", "\x1f", *specials]
 
     def encode(text: str) -> bytes:
-        if whole(text):
+        if any(map(text.__contains__, tokenized)):
             return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        first, *rest = split(text)
-        return array("I", merge(first)).tobytes() + b"".join(map(parts.__getitem__, rest))
+        return array("I", merge(text)).tobytes()
 
     return encode
 

@@ -26,6 +26,13 @@ def test_encoder_equals_the_tokenizer():
         assert encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text[:40]
 
 
+def test_encoder_is_made_once_per_process():
+    """Reading the tokenizer costs half a second, too much for every task of a worker."""
+    encode = packing.encoder(packing.tokenizer_path())
+    assert packing.encoder(packing.tokenizer_path()) is encode
+    assert encode("word  word\n") == packing.encoder(packing.tokenizer_path(), 50)("word  word\n")
+
+
 def test_lengths_are_powers_of_two():
     for n in (1, 2, 3, 2047, 2048, 2049, 9999):
         found = packing.lengths(n, 2048)
