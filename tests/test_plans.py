@@ -199,3 +199,23 @@ def test_joins_of_small_parts_hash_them_instead_of_sorting_both_sides(spark, sf_
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "ShuffledHashJoin" in p and "SortMergeJoin" not in p and rows == a1_bronze(spark, sf_dir).count()
+
+
+def test_product_snapshots_write_only_the_event_columns_that_they_read(spark, monkeypatch):
+    from demandlake import queries as Q
+    from demandlake.operators import features as FE
+    from demandlake.schemas import FCT_EVENTS_COLUMNS
+    texts = ["category_code", "category_l1", "category_l2", "category_l3", "brand", "user_session", "_source_uri", "_load_id"]
+    events = spark.range(12).selectExpr(
+        "concat('e', id) AS event_id", "timestamp'2020-10-05' + make_interval(0, id % 3) AS event_ts", "to_date(event_ts) AS event_date",
+        "element_at(array('view', 'purchase', 'cart'), int(id % 3 + 1)) AS event_type", "id % 2 AS product_id", "id AS category_id",
+        "cast(id AS decimal(38,9)) AS price", "id % 4 AS user_id", "event_ts AS _ingested_at", "event_date AS _load_month",
+        *[f"concat('{t}', id) AS {t}" for t in texts])
+    assert {*events.columns, "_loaded_at"} == {*FCT_EVENTS_COLUMNS, "_loaded_at"}
+    written, real = [], Q.S.materialize
+    monkeypatch.setattr(Q.S, "materialize", lambda df, *a: written.append(df.columns) or real(df, *a))
+    monkeypatch.setattr(Q, "a1_fct", lambda *a, **k: events)
+    got = Q.a1_training(spark, "").collect()
+    assert written == [gold.PRODUCT_EVENT_COLUMNS]
+    whole = FE.training_set(gold.product_features_backfill(events), silver.calendar_dates(events)).collect()
+    assert len(got) == 4 and sorted(got) == sorted(whole)
