@@ -219,3 +219,9 @@ def test_product_snapshots_write_only_the_event_columns_that_they_read(spark, mo
     assert written == [gold.PRODUCT_EVENT_COLUMNS]
     whole = FE.training_set(gold.product_features_backfill(events), silver.calendar_dates(events)).collect()
     assert len(got) == 4 and sorted(got) == sorted(whole)
+
+
+def test_stages_too_large_for_the_optimizing_compiler_run_unfused(spark):
+    from demandlake import session as S
+    S.configure(spark)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) < 7491  # the fused parsing of silver, which C2 gave up on
