@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from demandlake.plans import models as MD
@@ -39,6 +40,31 @@ def test_five_thousand_categories(spark):
         assert slopes.count() == 5002 and slopes.agg(F.max(F.abs("residual"))).first()[0] < 1e-7
 
 
+def test_importances_are_those_of_the_searches_best_boosted_models(spark, sf_dir, monkeypatch):
+    from demandlake import queries as Q
+    from demandlake.plans import boosting as B
+    from demandlake.plans import chunks as C
+    asked = []
+
+    def search(prefix, features):
+        def run(train, val, names, grid, *rest):
+            runs = MD.run_names(grid, prefix)
+            asked.append([c["algo"] for c in grid])
+            gain = B.Tree(*(np.array(a) for a in ([0, -1, -1], [0.0, 0, 0], [0.0, 1, 2], [2.0, 0, 0])))
+            models = {r: B.Boosted("logistic", 0.0, C.Features((f"{features}{i}",), 0), (gain,)) for i, r in enumerate(runs)}
+            order = [runs[0], runs[-2], *runs[1:-2], runs[-1]]  # a linear model leads, the last but one is the best boosted one
+            board = spark.createDataFrame([(k, r, r.split("_")[1]) for k, r in enumerate(order)], "k int, run_name string, algo string").orderBy("k")
+            return board, models
+        return run
+
+    monkeypatch.setattr(Q, "_train_val", lambda *a: (None, None, []))
+    monkeypatch.setattr(MD, "stage1_search", search("clf", "a"))
+    monkeypatch.setattr(MD, "stage2_search", search("reg", "b"))
+    got = [tuple(r) for r in Q.QUERIES["feature_importance_topk"](spark, sf_dir).collect()]
+    assert [len(a) for a in asked] == [30, 33]
+    assert sorted(got) == [("classifier", "clf_gbt_29", "a28", 1.0), ("regressor", "reg_gbt_32", "b31", 1.0)]
+
+
 def test_hurdle_training_small_grid(spark, sf_dir, tmp_lake):
     from demandlake.queries import a1_training
     clf, reg = MD.classifier_grid(), MD.regressor_grid()
