@@ -169,3 +169,36 @@ def test_a_merge_that_never_began_is_forgotten(spark, tmp_lake, monkeypatch):
     open(os.path.join(path, L.JOURNAL, "entry.json.draft"), "w").close()
     assert not L.recover(spark, path) and rows(spark, path) == [(1, "a", "x")]
     assert not os.path.exists(os.path.join(path, L.JOURNAL))
+
+
+def test_a_merge_writes_its_rows_once_and_shuffles_them_only_if_they_stay(spark, tmp_lake, monkeypatch):
+    path = os.path.join(tmp_lake, "t")
+    L.upsert(spark.createDataFrame([(1, "a", "x"), (None, "n", "x"), (2, "b", "y"), (6, "f", "w")], KIND), path, ["k"], "d")
+    untouched = sorted(os.listdir(os.path.join(path, "d=w")))
+    calls, real = [], L._write_clustered
+    monkeypatch.setattr(L, "_write_clustered", lambda df, at, *a: calls.append(at) or real(df, at, *a))
+    merged = L.upsert(spark.createDataFrame([(1, "A", "x"), (3, "c", "z")], KIND), path, ["k"], "d")
+    assert calls == [f"{path}/{L.JOURNAL}/merged"]  # and put in place by renaming
+    assert rows(spark, path) == sorted([(1, "A", "x"), (None, "n", "x"), (2, "b", "y"), (3, "c", "z"), (6, "f", "w")], key=str)
+    assert sorted(map(tuple, merged.collect()), key=str) == sorted([(1, "A", "x"), (None, "n", "x"), (3, "c", "z")], key=str)
+    assert sorted(os.listdir(os.path.join(path, "d=w"))) == untouched and not os.path.exists(os.path.join(path, L.JOURNAL))
+
+
+def test_a_merge_is_finished_from_any_of_its_renames(spark, tmp_lake, monkeypatch):
+    path = os.path.join(tmp_lake, "t")
+    L.upsert(spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], KIND), path, ["k"], "d")
+    real, calls = L.drop_path, []
+
+    def failing(spark, at):
+        calls.append(at)
+        if at.endswith("d=y"):
+            real(spark, at)
+            raise OSError("lost")  # the old partition is gone, the new one not yet in place
+        return real(spark, at)
+
+    monkeypatch.setattr(L, "drop_path", failing)
+    with pytest.raises(OSError, match="lost"):
+        L.upsert(spark.createDataFrame([(1, "A", "x"), (2, "B", "y")], KIND), path, ["k"], "d")
+    monkeypatch.undo()
+    assert L.recover(spark, path) and rows(spark, path) == [(1, "A", "x"), (2, "B", "y")]
+    assert not L.recover(spark, path)
