@@ -225,3 +225,79 @@ def test_stages_too_large_for_the_optimizing_compiler_run_unfused(spark):
     from demandlake import session as S
     S.configure(spark)
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) < 7491  # the fused parsing of silver, which C2 gave up on
+
+
+def test_written_intermediates_leave_no_shuffle_files(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from demandlake import session as S
+    S.configure(spark)
+
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    before = shuffles()
+    table = S.materialize(spark.range(50_000).groupBy((F.col("id") % 1000).alias("k")).agg(F.count("*").alias("n")))
+    until = time.time() + 10  # removed in the background
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert table.count() == 1000 and all(f.endswith(".zstd.parquet") for f in table.inputFiles())
+
+
+def test_product_backfill_joins_nothing(spark):
+    import datetime
+    events = spark.createDataFrame(
+        [("1", "purchase", 1, 7), ("2", "purchase", 1, 7), ("3", "purchase", 1, 8), ("4", "view", 2, 9), ("5", "purchase", 1, None), ("6", "purchase", None, 4)],
+        "event_id string, event_type string, product_id long, user_id long").selectExpr(
+        "*", "timestamp'2020-01-05' AS event_ts", "if(event_id = '3', null, date'2020-01-05') AS event_date", "'a' AS category_l1", "'b' AS category_l2",
+        "'c' AS category_l3", "'x' AS brand", "cast(1 AS decimal(38,9)) AS price")
+    got = gold.product_features_backfill(events)
+    rows = sorted(((r.product_id, r.snapshot_date, r.product_purchase_count_last_month, r.product_unique_buyers_last_month) for r in got.collect()), key=str)
+    day = datetime.date(2020, 2, 1)
+    assert rows == sorted([(1, day, 3, 1), (1, None, 1, 1), (2, day, 0, 0), (None, day, 1, 1)], key=str)
+    p = plan(got)
+    assert "Join" not in p and p.count("hashpartitioning(product_id") <= 3  # buyers, product-months, products
+
+
+@pytest.fixture()
+def written(spark, monkeypatch):
+    """The columns of what queries write on the way."""
+    from demandlake import session as S
+    seen, real = [], S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df, *a: seen.append(df.columns) or real(df, *a))
+    return seen
+
+
+def test_session_ranks_write_only_what_they_need(spark, sf_dir, written):
+    from demandlake.queries import QUERIES
+    QUERIES["session_event_rank"](spark, sf_dir)
+    assert [sorted(c) for c in written] == [["_shard", "event_id", "event_ts", "user_id", "user_session"]]
+
+
+def test_snapshot_of_one_month_reads_events_that_are_written_once(spark, sf_dir, written):
+    from demandlake.queries import QUERIES
+    p = plan(QUERIES["product_features_monthly_a1"](spark, sf_dir))
+    assert written == [gold.PRODUCT_EVENT_COLUMNS] and "lineitem" not in p
+
+
+def test_user_snapshots_write_only_the_event_columns_that_they_read(spark, sf_dir, written):
+    from demandlake.queries import QUERIES
+    QUERIES["user_features_backfill"](spark, sf_dir)
+    assert written == [gold.USER_EVENT_COLUMNS]
+
+
+@pytest.mark.parametrize("name", ["training_frame_from_lake", "snapshot_upsert"])
+def test_stored_product_snapshots_are_made_from_product_events(spark, sf_dir, written, name):
+    from demandlake.queries import QUERIES
+    QUERIES[name](spark, sf_dir)
+    assert written[0] == gold.PRODUCT_EVENT_COLUMNS and "user_session" not in sum(written, [])
+
+
+def test_identities_order_as_bytes_as_they_do_as_text(spark):
+    from pyspark.sql import functions as F
+    ids = spark.range(2000).select(F.sha2(F.col("id").cast("string"), 256).alias("t")).withColumn("b", F.unhex("t"))
+    assert [r.t for r in ids.orderBy("t").collect()] == [r.t for r in ids.orderBy("b").collect()]
