@@ -89,3 +89,42 @@ def test_hurdle_training_small_grid(spark, sf_dir, tmp_lake):
     top = TR.feature_importance_topk(gbt, k=5).collect()
     assert len(top) == 5 and top[0]["importance"] >= top[-1]["importance"]
     assert TR.feature_importance_topk(res["classifiers"]["clf_logreg_01"]) is None
+
+
+def test_logistic_fits_of_many_rows_run_one_after_another():
+    assert MD.fit_threads(MD.SIDE_BY_SIDE_ROWS) == MD.FIT_THREADS > 1 == MD.fit_threads(MD.SIDE_BY_SIDE_ROWS + 1)
+
+
+def test_models_are_applied_to_their_features_and_the_columns_that_are_kept(spark, monkeypatch):
+    from demandlake.plans import boosting as B
+    from demandlake.plans import chunks as C
+    stump = B.Tree(*(np.array(a) for a in ([0, -1, -1, -1], [0.5, 0, 0, 0], [0.0, -1, 1, 0], [2.0, 0, 0, 0])))
+    models = [B.Boosted("logistic", 0.0, C.Features(("a",), 0), (stump,) * k) for k in (1, 3)]
+    df = spark.range(4).selectExpr("id % 2 AS a", "id AS label", "repeat('x', 100) AS wide")
+    seen, real = [], C.scored
+    monkeypatch.setattr(C, "scored", lambda d, f, r, n, keep=None: seen.append(keep) or real(d, f, r, n, keep))
+    got = MD._predictions(df, models, ["label"], None).orderBy("label").collect()
+    assert seen == [["label"]] and [r["label"] for r in got] == [0, 1, 2, 3]
+    for r in got:
+        margin = 1.0 if r["label"] % 2 else -1.0
+        assert np.allclose(r["scores"], [1 / (1 + np.exp(-margin)), 1 / (1 + np.exp(-3 * margin))])
+
+
+def test_training_does_not_keep_the_training_rows_twice(spark, monkeypatch):
+    import pytest
+    from pyspark import StorageLevel
+
+    from demandlake.operators import features as FE
+
+    class Searched(Exception):
+        pass
+
+    def search(train, val, *rest):
+        assert train.storageLevel == StorageLevel.NONE and val.storageLevel != StorageLevel.NONE
+        raise Searched
+
+    rows = spark.createDataFrame([("2020-01-01", 1.0), ("2020-02-01", 2.0)], "d string, x double").selectExpr("cast(d AS date) AS snapshot_date", "x")
+    monkeypatch.setattr(FE, "prepare_features", lambda *a: (rows, None))
+    monkeypatch.setattr(MD, "stage1_search", search)
+    with pytest.raises(Searched):
+        TR.train_hurdle_model(rows)
