@@ -1,5 +1,6 @@
 """State carried from month to month, reloads that reach later snapshots, and merges that are interrupted."""
 
+import datetime
 import os
 
 import pytest
@@ -202,3 +203,12 @@ def test_a_merge_is_finished_from_any_of_its_renames(spark, tmp_lake, monkeypatc
     monkeypatch.undo()
     assert L.recover(spark, path) and rows(spark, path) == [(1, "A", "x"), (2, "B", "y")]
     assert not L.recover(spark, path)
+
+
+def test_partitions_of_a_column_with_an_underscore_are_merged(spark, tmp_lake):
+    path, kind = os.path.join(tmp_lake, "t"), "k int, _m date"
+    days = [datetime.date(2020, m, 1) for m in (1, 2, 3)]
+    L.upsert(spark.createDataFrame([(1, days[0]), (2, days[1])], kind), path, ["k"], "_m")
+    L.upsert(spark.createDataFrame([(2, days[1]), (3, days[2]), (4, days[0])], kind), path, ["k"], "_m")
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, days[0]), (2, days[1]), (3, days[2]), (4, days[0])]
+    assert sorted(os.listdir(path))[-3:] == [f"_m={d}" for d in days]
